@@ -42,8 +42,7 @@ def format_month(col) -> Column:
 
 def parse_month(col) -> Column:
     """``PARSE_DATE('%B %Y', s)`` → first day of that month (null when unparsable)."""
-    return F.try_to_date(_c(col), F.lit("MMMM yyyy")) if hasattr(F, "try_to_date") else \
-        F.to_date(_c(col), "MMMM yyyy")
+    return F.try_to_date(_c(col), "MMMM yyyy")
 
 
 def month_start(col) -> Column:
