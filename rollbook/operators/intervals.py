@@ -7,9 +7,10 @@ that no single key has to fit into one task:
 1. rows are bucketed by start time; a window over ``(key, bucket)`` gives the
    running max end *within* the bucket;
 2. a per-``(key, bucket)`` summary (one row per bucket) carries the max end
-   of all earlier buckets of the key;
-3. a row opens a new island when its start is after both; island numbers are
-   a second two-level prefix sum of those starts.
+   of all earlier buckets of the key and their last island start;
+3. a row opens a new island when its start is after both; an island is named
+   by its first row, found by a running max inside the bucket or the carried
+   start from earlier buckets.
 
 Every window is partitioned by ``(key, bucket)``, so a key holding a third of
 all rows is spread over as many tasks as it has buckets; the bucket summaries
@@ -51,41 +52,55 @@ def _bucketed(df: DataFrame, start: str, bucket_seconds: int) -> DataFrame:
     return df.withColumn(_B, F.floor(secs / F.lit(bucket_seconds)).cast("long"))
 
 
-def _carry(summary: DataFrame, keys: Sequence[str], value: str, out: str, how: str) -> DataFrame:
-    """Per (key, bucket): aggregate of ``value`` over all *earlier* buckets of the key."""
-    w = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    agg = F.max(value) if how == "max" else F.sum(value)
-    return summary.withColumn(out, agg.over(w)).drop(value)
+def _row_key(start: str, end: str, id_col: str) -> Column:
+    """Struct that sorts like the scan order (start asc, end desc, id asc)."""
+    return F.struct(F.col(start).alias("s"),
+                    (-F.unix_micros(F.col(end).cast("timestamp"))).alias("ne"),
+                    F.col(id_col).alias("i"))
 
 
 def scan_islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: str,
                  bucket_seconds: int = 3600) -> DataFrame:
-    """Tag each row with ``island_no`` (1-based within its key) and ``is_island_start``.
+    """Tag each row with ``island_key`` (its island's first row) and ``is_island_start``.
 
     Rows must have non-null keys, start and end. Order inside a key is
     (start asc, end desc, id asc): touching ends (``start == previous max end``)
     stay in one island, as in the closed-interval overlap test.
+
+    One pass per ``(key, bucket)`` gives the running max end before each row
+    and the bucket's last *local* start (a row after every earlier row of its
+    bucket). Local starts later in a bucket have later starts, so whether the
+    bucket's last local start is a real start only depends on the max end of
+    the earlier buckets. The per-bucket summary therefore needs no second
+    pass: two running aggregates over the (small) summary give each bucket
+    the earlier buckets' max end and their last real start.
     """
     keys = list(keys)
-    rows = _bucketed(df, start, bucket_seconds)
+    # Same explicit filter on both uses of ``rows`` so their shuffles are reused.
+    rows = _bucketed(df, start, bucket_seconds).filter(F.col(_B).isNotNull())
     order = [F.col(start).asc(), F.col(end).desc(), F.col(id_col).asc()]
     w_local = Window.partitionBy(*keys, _B).orderBy(*order)
-    before = w_local.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w_local.rowsBetween(Window.unboundedPreceding, 0)
-
-    rows = rows.withColumn("__prev_local", F.max(end).over(before))
-    bucket_max = rows.groupBy(*keys, _B).agg(F.max(end).alias("__bmax"))
-    carry = _carry(bucket_max, keys, "__bmax", "__carry", "max")
-    rows = rows.join(carry, on=[*keys, _B], how="inner")
-
-    prev = F.greatest(F.col("__prev_local"), F.col("__carry"))
-    rows = rows.withColumn("is_island_start", prev.isNull() | (F.col(start) > prev)) \
-        .withColumn("__local_n", F.sum(F.col("is_island_start").cast("long")).over(upto))
-    starts = rows.groupBy(*keys, _B).agg(F.sum(F.col("is_island_start").cast("long")).alias("__bn"))
-    offsets = _carry(starts, keys, "__bn", "__off", "sum")
-    rows = rows.join(offsets, on=[*keys, _B], how="inner") \
-        .withColumn("island_no", F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local_n"))
-    return rows.drop("__prev_local", "__carry", "__local_n", "__off", _B)
+    key = _row_key(start, end, id_col)
+
+    rows = rows.withColumn("__m", F.max(end).over(w_local.rowsBetween(Window.unboundedPreceding, -1))) \
+        .withColumn("__local_start", F.col("__m").isNull() | (F.col(start) > F.col("__m")))
+    summary = rows.groupBy(*keys, _B).agg(
+        F.max(end).alias("__bmax"),
+        F.max(F.when(F.col("__local_start"), key)).alias("__last_local"))
+    earlier = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumn("__carry", F.max("__bmax").over(earlier))
+    real = F.col("__last_local").isNotNull() & (
+        F.col("__carry").isNull() | (F.col("__last_local.s") > F.col("__carry")))
+    summary = summary.withColumn("__start_carry", F.max(F.when(real, F.col("__last_local"))).over(earlier)) \
+        .select(*keys, _B, "__carry", "__start_carry")
+
+    rows = rows.join(summary, on=[*keys, _B], how="inner")
+    is_start = F.col("__local_start") & (F.col("__carry").isNull() | (F.col(start) > F.col("__carry")))
+    rows = rows.withColumn("is_island_start", is_start) \
+        .withColumn("__own", F.max(F.when(F.col("is_island_start"), key)).over(
+            w_local.rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumn("island_key", F.coalesce(F.col("__own"), F.col("__start_carry")))
+    return rows.drop("__m", "__local_start", "__carry", "__start_carry", "__own", _B)
 
 
 def islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: str,
@@ -100,22 +115,22 @@ def islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: st
     bad = _any_null([*keys, start, end])
     good = df.filter(~bad)
     tagged = scan_islands(good, keys, start, end, id_col, bucket_seconds)
-    merged = tagged.groupBy(*keys, "island_no").agg(
+    merged = tagged.groupBy(*keys, "island_key").agg(
         F.min(start).alias("island_start"), F.max(end).alias("island_end"),
         F.count(F.lit(1)).alias("n_sessions"),
         *[F.first(c, ignorenulls=True).alias(c) for c in carry])
     single = df.filter(bad).select(
-        *keys, F.lit(None).cast("long").alias("island_no"),
+        *keys, F.lit(None).cast(tagged.schema["island_key"].dataType).alias("island_key"),
         F.col(start).alias("island_start"), F.col(end).alias("island_end"),
         F.lit(1).cast("long").alias("n_sessions"), *carry)
     out = merged.unionByName(single)
     return out.withColumn("duration_seconds", seconds_between("island_start", "island_end")) \
-        .drop("island_no")
+        .drop("island_key")
 
 
 def _hull_single_label(rows: DataFrame, keys, labels, start, end, id_col, bucket_seconds):
     tagged = scan_islands(rows, keys, start, end, id_col, bucket_seconds)
-    sizes = tagged.groupBy(*keys, "island_no").agg(
+    sizes = tagged.groupBy(*keys, "island_key").agg(
         F.count(F.lit(1)).alias("__n"), F.min(start).alias("__s"), F.max(end).alias("__e"),
         *[F.first(c).alias(c) for c in labels])
     return sizes.filter(F.col("__n") >= 2).groupBy(*keys).agg(
@@ -170,12 +185,13 @@ def hull_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, id_
     rows = df.select(*keys, *labels, id_col, start, end)
     ok = rows.filter(~_any_null([*keys, start, end]))
     if labels:
-        n_labels = ok.groupBy(*keys).agg(
-            F.count_distinct(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
-                                        for c in labels])).alias("__nlab"))
-        ok = ok.join(n_labels, on=keys, how="inner")
-        single = ok.filter(F.col("__nlab") == 1).drop("__nlab")
-        multi = ok.filter(F.col("__nlab") > 1).drop("__nlab")
+        # More than one label in a key <=> min(label) != max(label); a plain
+        # hash aggregate (no distinct aggregation), joined back on the key.
+        tag = F.to_json(F.struct(*[F.col(c) for c in labels]))
+        spread = ok.groupBy(*keys).agg((F.min(tag) != F.max(tag)).alias("__multi"))
+        ok = ok.join(spread, on=keys, how="inner")
+        single = ok.filter(~F.col("__multi")).drop("__multi")
+        multi = ok.filter(F.col("__multi")).drop("__multi")
         hull = _hull_single_label(single, keys, labels, start, end, id_col, bucket_seconds) \
             .unionByName(_hull_multi_label(multi, keys, labels, start, end, id_col))
     else:
