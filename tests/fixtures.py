@@ -84,3 +84,62 @@ def attendance_tables(spark) -> TableRegistry:
         ("question_id_6", "FORM_ID_001", TS(2025, 1, 10, 0, 0), "travel"),
     ], "question_id string, form_id string, submitted_at timestamp_ntz, response string"))
     return t
+
+
+def mbr_tables(spark) -> TableRegistry:
+    t = TableRegistry(spark)
+    summary_schema = (
+        "client_program_name string, program_code string, country string, start_date date, end_date date, "
+        "months_since_completion string, admitted long, enrolled_or_graduated long, dropped_out long, "
+        "placed_fellows long, beyond long, direct_beyond long, indirect_beyond long, internal_hire long, "
+        "external_qualifying long, internal_training long, program_revenue double, cost_per_placement double, "
+        "cost_per_placement_without_beyond double, program_nps double, placed_without_indirect long, "
+        "beyond_without_indirect long")
+    t.register("mbr_summary", spark.createDataFrame([
+        ("Data EU", "PX", "DEU", D(2024, 1, 1), D(2024, 6, 30), "7", 10, 8, 2, 4, 1, None, 1, 1, 1, 1,
+         1000.0, 100.0, 90.0, 50.0, 3, 1),
+        ("Data EU", "PX", "FRA", D(2024, 2, 1), D(2024, 7, 31), "12", 20, 16, 4, 0, 2, 1, 1, 1, 1, 1,
+         None, 200.0, 150.0, None, 0, 2),
+        ("Data EU", "PX", "USA", D(2024, 2, 1), D(2024, 7, 31), "Ongoing", 5, 5, 0, 1, 0, 0, 0, 0, 0, 0,
+         10.0, 50.0, 50.0, 70.0, 1, 0),
+        ("Solo", "PY", "ITA", D(2024, 3, 1), D(2024, 9, 30), "0", 7, 0, 7, 0, 0, 0, 0, 0, 0, 0,
+         0.0, None, None, None, 0, 0),
+        ("Zero", "PZ", "ESP", D(2024, 3, 1), D(2024, 9, 30), "abc", 3, 3, 0, 0, 0, 0, 0, 0, 0, 0,
+         0.0, 10.0, 10.0, None, 0, 0),
+        ("Zero", "PZ", "GBR", D(2024, 3, 1), D(2024, 9, 30), "abc", 3, 3, 0, 0, 0, 0, 0, 0, 0, 0,
+         0.0, 30.0, 30.0, None, 0, 0),
+    ], summary_schema))
+    t.register("programs", spark.createDataFrame([
+        ("PX", None, None, "Cloud Cert"), ("PZ", None, None, "Zero Cert"),
+    ], "program_code string, program_start_ts timestamp_ntz, program_end_ts timestamp_ntz, "
+       "sponsored_industry_certification string"))
+    t.register("cert_updates", spark.createDataFrame([
+        ("PX", "DEU", 3, 2, 4, 1, 0, 1, 0, 0, 0.5, None, 0.25),
+        ("PX", "DEU", 1, None, 0, 0, 0, 0, 0, 0, 0.1, 0.2, None),
+    ], "program_code string, country string, certification_attempted long, certification_received long, "
+       "cert_eligible long, job_transitions_with_certificate long, external_qualifying_with_certificate long, "
+       "internal_hire_with_certificate long, beyond_with_certificate long, "
+       "internal_training_with_certificate long, percent_exam_attempted double, percent_of_graduated double, "
+       "percent_of_job_transitions_with_certificate double"))
+    t.register("mbr_backfill", spark.createDataFrame([
+        (D(2025, 10, 31), "October 2025", "7-12 MO. SINCE GRADUATION", "Data EU", "PX", "DEU", D(2024, 1, 1),
+         D(2024, 6, 30), "6", 10, 8, 2, 3, 1, 1, 1, 1, 0.375, 0.8, 0.0625, "Cloud Cert", 1, 1, 0.1, 0.1, 1,
+         0.3, 0, 0, 0, 0, 2, 900.0, 100.0, 90.0, 40.0, TS(2025, 10, 31, 12, 0)),
+        (None, "November 2025", "Ongoing", "Data EU", "PX", "USA", D(2024, 2, 1), D(2024, 7, 31), "Ongoing",
+         5, 5, 0, 1, 0, 0, 0, 0, 0.2, 1.0, None, None, 0, 0, 0.0, 0.0, 0, 0.0, 0, 0, 0, 0, 0, 10.0, 50.0,
+         50.0, 70.0, TS(2025, 11, 28, 12, 0)),
+        (D(2025, 12, 5), "December 2025", "Ongoing", "Data EU", "PX", "USA", D(2024, 2, 1), D(2024, 7, 31),
+         "Ongoing", 5, 5, 0, 1, 0, 0, 0, 0, 0.2, 1.0, None, None, 0, 0, 0.0, 0.0, 0, 0.0, 0, 0, 0, 0, 0,
+         10.0, 50.0, 50.0, 70.0, TS(2025, 12, 5, 12, 0)),  # current month: filtered out
+    ], "snapshot_date date, mbr_reference string, Phase string, Program_name string, Program_Code string, "
+       "Country string, Start_date date, End_Date date, Months_Since_Completion string, Admitted long, "
+       "Enrolled long, Dropped_Out long, Placed_Fellows long, Beyond long, Internal_Hire long, "
+       "External_Qualifying long, Internal_Training long, Placement_Rate double, Retention_Rate double, "
+       "Run_Rate double, Certificate_Name string, Certification_Attempted long, Certification_Received long, "
+       "Percent_Exam_Attempted double, Percent_Of_Graduated double, Job_transitions_with_Certificate long, "
+       "Percent_Of_Job_transitions_with_Certificate double, External_Qualifying_with_Certificate long, "
+       "Internal_Hire_with_Certificate long, Beyond_with_Certificate long, "
+       "Internal_Training_with_Certificate long, Cert_Eligible long, Program_Revenue double, "
+       "Cost_Per_Placement double, Cost_Per_Placement_Without_Beyond double, Program_NPS double, "
+       "last_snapshot_ts_est timestamp_ntz"))
+    return t
