@@ -33,26 +33,31 @@ def temporal_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def _wrap_sql(sql: str, dates: Sequence[str], stamps: Sequence[str]) -> str:
+def _wrap_sql(sql: str, dates: Sequence[str], stamps: Sequence[str], doubles: Sequence[str] = ()) -> str:
     parts = [f"CAST({c} AS VARCHAR) AS {c}" for c in dates] + \
-            [f"strftime({c}, '{STAMP_FORMAT_DUCK}') AS {c}" for c in stamps]
+            [f"strftime({c}, '{STAMP_FORMAT_DUCK}') AS {c}" for c in stamps] + \
+            [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles]
     if not parts:
         return sql.strip()
     return f"SELECT * REPLACE ({', '.join(parts)}) FROM (\n{sql.strip()}\n)"
 
 
 def register(name: str, sql: str | None = None, dates: Sequence[str] = (),
-             stamps: Sequence[str] = ()):
+             stamps: Sequence[str] = (), doubles: Sequence[str] = ()):
+    """``doubles``: integer columns that can hold NULLs, rendered as DOUBLE on both
+    sides (client libraries turn nullable integers into floats on one side and
+    nullable integer types on the other)."""
     def deco(fn: Builder) -> Builder:
         if name in QUERIES:
             raise ValueError(f"duplicate query name {name}")
 
         @functools.wraps(fn)
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return temporal_as_text(fn(spark, sf_dir))
+            out = temporal_as_text(fn(spark, sf_dir))
+            return out.withColumns({c: out[c].cast("double") for c in doubles}) if doubles else out
 
         QUERIES[name] = build
         if sql is not None:
-            ORACLE_SQL[name] = _wrap_sql(sql, dates, stamps)
+            ORACLE_SQL[name] = _wrap_sql(sql, dates, stamps, doubles)
         return fn
     return deco

@@ -48,6 +48,18 @@ def _rows(pdf):
     return cols, sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+def _kind(dtype: str) -> str:
+    """Coarse pandas dtype family: int, float, bool, text/other."""
+    d = dtype.lower()
+    if d.startswith("int") or d.startswith("uint"):
+        return "int"
+    if d.startswith("float"):
+        return "float"
+    if d.startswith("bool"):
+        return "bool"
+    return "other"
+
+
 def _isnull(x):
     try:
         import pandas as pd
@@ -87,6 +99,10 @@ def compare(spark, sf_dir, names=None, verbose=True):
                     diff_s = [r for r in sr if r not in set(orows)][:3]
                     diff_o = [r for r in orows if r not in set(sr)][:3]
                     detail = f"rows spark={len(sr)} oracle={len(orows)} spark_only={diff_s} oracle_only={diff_o}"
+            kinds = {c: (str(sdf[c].dtype), str(odf[c].dtype)) for c in sdf.columns if c in odf.columns}
+            odd = {c: k for c, k in kinds.items() if _kind(k[0]) != _kind(k[1])}
+            if odd:
+                detail = (detail + "; " if detail else "") + f"dtypes {odd}"
             results[name] = ("ok" if ok else "MISMATCH", len(sr), detail)
         except Exception as e:  # noqa: BLE001
             t1 = time.time()
