@@ -160,7 +160,9 @@ def _hull_multi_label(rows: DataFrame, keys, labels, start, end, id_col):
         "__prev_own", F.max(F.when(F.col("__own"), F.col(end))).over(
             w.rowsBetween(Window.unboundedPreceding, -1))
     ).withColumn(
-        "__tie_own", F.sum(own_valid).over(Window.partitionBy(*part, start)) - own_valid
+        # peers with the same start, in the same (key, label) partition: no extra shuffle
+        "__tie_own", F.sum(own_valid).over(Window.partitionBy(*part).orderBy(F.col(start))
+                                           .rangeBetween(Window.currentRow, Window.currentRow)) - own_valid
     )
     covered = (F.col("__prev_own") >= F.col(start)) | (F.col("__tie_own") > 0)
     member = F.col("__own") & F.coalesce(F.col("__has_partner"), F.lit(False))
