@@ -129,7 +129,11 @@ def islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: st
 
 
 def _hull_single_label(rows: DataFrame, keys, labels, start, end, id_col, bucket_seconds):
-    tagged = scan_islands(rows, keys, start, end, id_col, bucket_seconds)
+    # A session with no leave time can only be the covered side of a pair: scan it
+    # as ending just before it starts, so it sorts after every tie that could cover
+    # it and never extends an island. The hull still uses the real end.
+    scan = rows.withColumn("__scan_end", F.coalesce(F.col(end), F.col(start) - F.expr("INTERVAL 1 MICROSECOND")))
+    tagged = scan_islands(scan, keys, start, "__scan_end", id_col, bucket_seconds)
     sizes = tagged.groupBy(*keys, "island_key").agg(
         F.count(F.lit(1)).alias("__n"), F.min(start).alias("__s"), F.max(end).alias("__e"),
         *[F.first(c).alias(c) for c in labels])
@@ -138,34 +142,47 @@ def _hull_single_label(rows: DataFrame, keys, labels, start, end, id_col, bucket
         *[F.first(c).alias(c) for c in labels])
 
 
-def _hull_multi_label(rows: DataFrame, keys, labels, start, end, id_col):
+def _hull_multi_label(rows: DataFrame, keys, labels, start, end, id_col, bucket_seconds):
     """Per (key, label): pair members found by a sweep, no pair is formed.
 
     Each row of a key is copied once per label present in that key, so the
-    cost is rows x labels-per-key (a handful of e-mail/name spellings).
+    cost is rows x labels-per-key (a handful of e-mail/name spellings). The
+    sweep is bucketed like ``scan_islands``: windows run per (key, label,
+    bucket); the label's running max end from earlier buckets and the first
+    start of later buckets come from a one-row-per-bucket summary. Tied
+    starts always share a bucket.
     """
     g = {c: f"__g_{c}" for c in labels}
     label_sets = rows.select(*keys, *[F.col(c).alias(g[c]) for c in labels]).distinct()
     dup = rows.join(label_sets, on=list(keys), how="inner")
     own = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(g[c])) for c in labels])
-    dup = dup.withColumn("__own", own)
+    dup = _bucketed(dup.withColumn("__own", own), start, bucket_seconds).filter(F.col(_B).isNotNull())
     part = [*keys, *g.values()]
-    w = Window.partitionBy(*part).orderBy(F.col(start).asc(), F.col(end).desc(), F.col(id_col).asc())
-    valid = F.col(start) <= F.col(end)
+    w = Window.partitionBy(*part, _B).orderBy(F.col(start).asc(), F.col(end).desc(), F.col(id_col).asc())
     own_valid = F.when(F.col("__own") & (F.col(end) >= F.col(start)), 1).otherwise(0)
-    dup = dup.withColumn(
-        "__has_partner",
-        valid & ((F.lead(start).over(w) <= F.col(end)) | (F.lag(start).over(w) == F.col(start)))
-    ).withColumn(
-        "__prev_own", F.max(F.when(F.col("__own"), F.col(end))).over(
-            w.rowsBetween(Window.unboundedPreceding, -1))
-    ).withColumn(
-        # peers with the same start, in the same (key, label) partition: no extra shuffle
-        "__tie_own", F.sum(own_valid).over(Window.partitionBy(*part).orderBy(F.col(start))
-                                           .rangeBetween(Window.currentRow, Window.currentRow)) - own_valid
-    )
-    covered = (F.col("__prev_own") >= F.col(start)) | (F.col("__tie_own") > 0)
-    member = F.col("__own") & F.coalesce(F.col("__has_partner"), F.lit(False))
+    own_end = F.when(F.col("__own"), F.col(end))
+    dup = dup.withColumns({
+        "__lead": F.lead(start).over(w),
+        "__lag": F.lag(start).over(w),
+        "__prev_own": F.max(own_end).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        # peers with the same start share the bucket: count them in the same partition
+        "__tie_own": F.sum(own_valid).over(Window.partitionBy(*part, _B).orderBy(F.col(start))
+                                           .rangeBetween(Window.currentRow, Window.currentRow)) - own_valid,
+    })
+    summary = dup.groupBy(*part, _B).agg(F.max(own_end).alias("__bown"), F.min(start).alias("__bmin"))
+    by_bucket = Window.partitionBy(*part).orderBy(_B)
+    summary = summary.withColumns({
+        "__carry_own": F.max("__bown").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)),
+        "__next_start": F.min("__bmin").over(by_bucket.rowsBetween(1, Window.unboundedFollowing)),
+    }).select(*part, _B, "__carry_own", "__next_start")
+    dup = dup.join(summary, on=[*part, _B], how="inner")
+
+    valid = F.col(start) <= F.col(end)
+    nxt = F.coalesce(F.col("__lead"), F.col("__next_start"))
+    has_partner = valid & ((nxt <= F.col(end)) | (F.col("__lag") == F.col(start)))
+    prev_own = F.greatest(F.col("__prev_own"), F.col("__carry_own"))
+    covered = (prev_own >= F.col(start)) | (F.col("__tie_own") > 0)
+    member = F.col("__own") & F.coalesce(has_partner, F.lit(False))
     hull = dup.groupBy(*part).agg(
         F.min(F.when(member, F.col(start))).alias("hull_start"),
         F.max(F.when(member | F.coalesce(covered, F.lit(False)), F.col(end))).alias("hull_end"))
@@ -185,7 +202,8 @@ def hull_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, id_
     """
     keys, labels = list(keys), list(labels)
     rows = df.select(*keys, *labels, id_col, start, end)
-    ok = rows.filter(~_any_null([*keys, start, end]))
+    # rows without a start never pair; rows without an end can still be covered
+    ok = rows.filter(~_any_null([*keys, start]))
     if labels:
         # More than one label in a key <=> min(label) != max(label); a plain
         # hash aggregate (no distinct aggregation), joined back on the key.
@@ -195,7 +213,7 @@ def hull_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, id_
         single = ok.filter(~F.col("__multi")).drop("__multi")
         multi = ok.filter(F.col("__multi")).drop("__multi")
         hull = _hull_single_label(single, keys, labels, start, end, id_col, bucket_seconds) \
-            .unionByName(_hull_multi_label(multi, keys, labels, start, end, id_col))
+            .unionByName(_hull_multi_label(multi, keys, labels, start, end, id_col, bucket_seconds))
     else:
         hull = _hull_single_label(ok, keys, labels, start, end, id_col, bucket_seconds)
 

@@ -64,7 +64,8 @@ def _spark_df(spark, pdf):
 
 @pytest.mark.parametrize("seed,labels,bucket", [
     (1, ("x",), 3600), (2, ("x",), 600), (3, ("x", "y"), 3600), (4, ("x", "y", "z"), 900),
-    (5, ("x",), 60),
+    (5, ("x",), 60), (6, ("x", "y"), 60), (12, ("x", "y", "z", "w"), 300),
+    (13, ("x",), 300), (14, ("x", "y"), 120), (15, ("x",), 3600), (16, ("x", "y", "z"), 60),
 ])
 def test_hull_matches_reference_sql(spark, seed, labels, bucket):
     pdf = _random_sessions(seed, labels=labels)
