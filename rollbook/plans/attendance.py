@@ -46,7 +46,7 @@ from rollbook.functions.text import normalize_email, staff_email_pattern
 from rollbook.operators.dims import current_rows, latest_per_key
 from rollbook.operators.grid import entity_grid, expand_date_range
 from rollbook.operators.intervals import merge_intervals, presence_ratio
-from rollbook.operators.joins import any_key_match, substring_join
+from rollbook.operators.joins import any_key_match, broadcast_if_small, substring_join
 from rollbook.operators.rollup import pivot_form
 from rollbook.operators.status import overall_status
 from rollbook.operators.weeks import UPCOMING, upcoming_scaffold, week_label, week_spine
@@ -65,6 +65,8 @@ WAIVER_QUESTIONS = {
     "QUESTION_ID_6": "waived_reason",
 }
 
+PROGRAM_DIM_MAX_ROWS = 100_000
+
 STAGING_COLUMNS = (
     "program_code", "meeting_id", "meeting_instance_id", "lesson_id", "lesson_title",
     "lesson_start_date_ts", "lesson_end_date_ts", "primary_user_service_id",
@@ -238,7 +240,8 @@ def weeks(t: TableRegistry) -> DataFrame:
 
 def participants(t: TableRegistry) -> DataFrame:
     learn = current_rows(t.ref("learners")).filter(F.col("enrollments_status") == "ENROLLED")
-    prog = t.ref("programs").select("program_code", "program_start_ts")
+    # one row per programme: broadcast after a bounded size probe
+    prog = broadcast_if_small(t.ref("programs").select("program_code", "program_start_ts"), PROGRAM_DIM_MAX_ROWS)
     return learn.join(prog, "program_code").select(
         F.col("user_service_id").alias("primary_user_service_id"),
         _concat_name("first_name", "last_name").alias("participant_name"),

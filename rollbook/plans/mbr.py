@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from rollbook.context import RunContext
 from rollbook.functions.dates import format_month, month_start, parse_month
+from rollbook.operators.joins import broadcast_if_small
 from rollbook.operators.rollup import regional_rollup, weighted_avg_or_avg
 from rollbook.operators.status import phase_bucket, placement_rate, retention_rate, run_rate
 from rollbook.quality import conform
@@ -117,7 +118,8 @@ def history_baseline(t: TableRegistry, ctx: RunContext, target: str | None) -> D
 
 def summary_base(t: TableRegistry, ctx: RunContext) -> DataFrame:
     s = t.ref("mbr_summary")
-    air = t.ref("programs").select(F.col("program_code").alias("__air_pc"), "sponsored_industry_certification")
+    air = broadcast_if_small(t.ref("programs").select(F.col("program_code").alias("__air_pc"),
+                                                      "sponsored_industry_certification"), 100_000)
     j = s.join(air, s["program_code"] == air["__air_pc"], "left")
     return j.select(
         ctx.as_of().alias("snapshot_date"), format_month(ctx.as_of()).alias("mbr_reference"),

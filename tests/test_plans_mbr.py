@@ -7,7 +7,7 @@ import tempfile
 import pytest
 
 from rollbook.context import RunContext
-from rollbook.plans.mbr import SNAPSHOT_COLUMNS, current_rows, run_snapshot
+from rollbook.plans.mbr import SNAPSHOT_COLUMNS, current_rows, history_report, ongoing_programs, run_snapshot
 from rollbook.sinks.snapshot import FullRefreshNotAllowed, should_snapshot
 from tests.fixtures import mbr_tables
 
@@ -104,3 +104,14 @@ def test_first_run_then_incremental(spark, tables):
     snap = spark.read.parquet(target)
     assert tuple(sorted(snap.columns)) == tuple(sorted(SNAPSHOT_COLUMNS))
     assert snap.filter("snapshot_date = date'2025-10-31'").count() == 1  # other days untouched
+
+
+def test_review_queries(spark, tables):
+    ongoing = sorted((r.program_code, r.country) for r in ongoing_programs(tables.ref("mbr_summary")).collect())
+    assert ongoing == [("PX", "USA")]
+    snap = current_rows(tables, FRIDAY).unionByName(current_rows(tables, RunContext.at("2025-11-28 20:00")))
+    order = [(r.snapshot_date, r.months_since_completion) for r in history_report(snap).collect()]
+    assert order[0][0] == dt.date(2025, 12, 5) and order[-1][0] == dt.date(2025, 11, 28)
+    months_first_day = [m for d, m in order if d == dt.date(2025, 12, 5)]
+    # unparsable months sort first (NULL), then numbers ascending, 'Ongoing' (999) last
+    assert months_first_day[0] == "abc" and months_first_day[-1] == "Ongoing"
