@@ -196,7 +196,10 @@ def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = Attendance
         "primary_user_service_id", "user_service_id_in_program_service", "participant_email",
         "participant_name", "enrollments_status",
         *[F.coalesce(F.col(f"__c1_{m}"), F.col(f"__c2_{m}")).alias(m) for m in _MEASURES[2:]]
-    ).distinct()
+    )
+    # The original dedupes after each join step; the later left joins map a row to rows
+    # fixed by its values, so one DISTINCT at the end gives the same set and saves two
+    # full shuffles of the grid.
 
     ex = _excuses(t)
     lesson_day = F.to_date(F.col("lesson_start_date_ts"))
@@ -217,7 +220,7 @@ def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = Attendance
     excused = cur.select(
         *applied.columns, has_excuse.alias("has_excused_attendance"),
         F.to_date(F.coalesce(*[F.col(p + "submitted_at") for p in routes])).alias("excuse_submitted_date"),
-        F.coalesce(*[F.col(p + "excuse_reason") for p in routes]).alias("excuse_reason")).distinct()
+        F.coalesce(*[F.col(p + "excuse_reason") for p in routes]).alias("excuse_reason"))
 
     link = t.ref("user_links").select(F.col("primary_user_service_id").alias("__lk_pid"))
     act = t.ref("learner_activity").filter(F.col("activity_type") == "lesson")
@@ -272,9 +275,10 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
          staged: DataFrame | None = None) -> DataFrame:
     """Participant x week x weekday attendance with statuses, plus upcoming weeks (13 columns)."""
     today = ctx.today_utc()
-    stg = staged if staged is not None else cut_lineage(staging(t, ctx, o))
+    # staging() ends with DISTINCT, so its rows need no second dedupe
+    stg = staged.distinct() if staged is not None else cut_lineage(staging(t, ctx, o))
     day = F.to_date(F.coalesce(F.to_date("lesson_start_date_ts"), F.to_date("meeting_start_time_ts")))
-    raw = stg.distinct().withColumn("lesson_date", day).withColumn("day_of_week", day_name(day)) \
+    raw = stg.withColumn("lesson_date", day).withColumn("day_of_week", day_name(day)) \
         .filter(F.to_date("lesson_start_date_ts").isNull() | (F.to_date("lesson_start_date_ts") <= today))
     lbw = raw.filter(F.col("lesson_title").isNotNull()) \
         .select("program_code", "lesson_date", "day_of_week", "lesson_title").distinct()
