@@ -19,10 +19,12 @@ are tiny and re-attached by equi-join.
 ``hull``: the reference's multi-device rule. Per key and label it takes the
 earliest join and latest leave over every session taking part in an overlap
 pair (``a.join <= b.join <= a.leave``, ``a != b``), then keeps the sessions
-that stick out of that hull. It never forms the pairs: with one label per
-key the pair members are exactly the sessions in islands of two or more rows
-(ties ordered by longer interval first), so the hull is an aggregate over the
-islands; keys with several labels use a per-label sweep over the key's rows.
+that stick out of that hull. It never forms the pairs. Without labels the
+pair members are exactly the sessions in islands of two or more rows (ties
+ordered by longer interval first), so the hull is an aggregate over the
+islands. With labels (e-mail, name) a per-label sweep copies each row once
+per label of its key and finds, with bucketed running aggregates, which rows
+of the label have a later partner and which rows a label row covers.
 """
 
 from __future__ import annotations
@@ -205,15 +207,10 @@ def hull_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, id_
     # rows without a start never pair; rows without an end can still be covered
     ok = rows.filter(~_any_null([*keys, start]))
     if labels:
-        # More than one label in a key <=> min(label) != max(label); a plain
-        # hash aggregate (no distinct aggregation), joined back on the key.
-        tag = F.to_json(F.struct(*[F.col(c) for c in labels]))
-        spread = ok.groupBy(*keys).agg((F.min(tag) != F.max(tag)).alias("__multi"))
-        ok = ok.join(spread, on=keys, how="inner")
-        single = ok.filter(~F.col("__multi")).drop("__multi")
-        multi = ok.filter(F.col("__multi")).drop("__multi")
-        hull = _hull_single_label(single, keys, labels, start, end, id_col, bucket_seconds) \
-            .unionByName(_hull_multi_label(multi, keys, labels, start, end, id_col, bucket_seconds))
+        # The per-label sweep is exact for any number of labels per key (one
+        # included) and bucketed like the islands scan, so every key goes through
+        # it: no label count, join-back or second hull path is needed.
+        hull = _hull_multi_label(ok, keys, labels, start, end, id_col, bucket_seconds)
     else:
         hull = _hull_single_label(ok, keys, labels, start, end, id_col, bucket_seconds)
 

@@ -59,12 +59,20 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a private one only when none is set."""
+    """Return the checkpoint folder.
+
+    A private folder is created only for a ``local[...]`` session without one
+    (tests, laptops); on a cluster the folder must be shared storage named by
+    ``spark.checkpoint.dir``, so its absence is an error.
+    """
     current = checkpoint_dir(spark)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return spark.sparkContext.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
+                           "(checkpoints and merge scratch tables are written there)")
     local = tempfile.mkdtemp(prefix="rollbook-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
