@@ -40,11 +40,6 @@ from rollbook.functions.safe import seconds_between
 _B = "__bucket"
 
 
-def _null_safe_all(cols: Sequence[str], left: str, right: str) -> Column:
-    conds = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols]
-    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
-
-
 def _any_null(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols]) if cols else F.lit(False)
 
@@ -144,11 +139,12 @@ def _hull_single_label(rows: DataFrame, keys, labels, start, end, id_col, bucket
         *[F.first(c).alias(c) for c in labels])
 
 
-def _hull_multi_label(rows: DataFrame, keys, labels, start, end, id_col, bucket_seconds):
+def _hull_by_label(rows: DataFrame, keys, labels, start, end, id_col, bucket_seconds):
     """Per (key, label): pair members found by a sweep, no pair is formed.
 
     Each row of a key is copied once per label present in that key, so the
-    cost is rows x labels-per-key (a handful of e-mail/name spellings). The
+    cost is rows x labels-per-key (1 for almost every key; a handful of
+    e-mail/name spellings at most). The
     sweep is bucketed like ``scan_islands``: windows run per (key, label,
     bucket); the label's running max end from earlier buckets and the first
     start of later buckets come from a one-row-per-bucket summary. Tied
@@ -210,7 +206,7 @@ def hull_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, id_
         # The per-label sweep is exact for any number of labels per key (one
         # included) and bucketed like the islands scan, so every key goes through
         # it: no label count, join-back or second hull path is needed.
-        hull = _hull_multi_label(ok, keys, labels, start, end, id_col, bucket_seconds)
+        hull = _hull_by_label(ok, keys, labels, start, end, id_col, bucket_seconds)
     else:
         hull = _hull_single_label(ok, keys, labels, start, end, id_col, bucket_seconds)
 

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from rollbook.context import RunContext
 from rollbook.functions.dates import format_month, month_start, parse_month
+from rollbook.functions.safe import safe_divide
 from rollbook.operators.joins import broadcast_if_small
 from rollbook.operators.rollup import regional_rollup, weighted_avg_or_avg
 from rollbook.operators.status import phase_bucket, placement_rate, retention_rate, run_rate
@@ -227,3 +228,31 @@ def history_report(snapshot: DataFrame) -> DataFrame:
 def ongoing_programs(summary: DataFrame) -> DataFrame:
     """Programmes still running, per country."""
     return summary.filter(F.col("months_since_completion") == "Ongoing").select("program_code", "country")
+
+
+def summary_formulas(df: DataFrame, program_cost: str = "program_cost") -> DataFrame:
+    """Derived summary columns as the output contract defines them (the summary's
+    builder is not part of the original; only these formulas are).
+
+    placed / beyond without the indirect-beyond category, cost per placed fellow,
+    and cost per placed fellow outside the beyond category. Divisions by zero give NULL.
+    """
+    indirect = F.coalesce(F.col("indirect_beyond"), F.lit(0))
+    return df.withColumns({
+        "placed_without_indirect": F.col("placed_fellows") - indirect,
+        "beyond_without_indirect": F.col("beyond") - indirect,
+        "cost_per_placement": safe_divide(program_cost, "placed_fellows"),
+        "cost_per_placement_without_beyond": safe_divide(
+            F.col(program_cost), F.col("placed_fellows") - F.coalesce(F.col("beyond"), F.lit(0))),
+    })
+
+
+def certification_percentages(df: DataFrame) -> DataFrame:
+    """Certification shares as the contract defines them: attempted out of eligible,
+    received out of enrolled-or-graduated, job transitions with a certificate out of placed."""
+    return df.withColumns({
+        "percent_exam_attempted": safe_divide("certification_attempted", "cert_eligible"),
+        "percent_of_graduated": safe_divide("certification_received", "enrolled_or_graduated"),
+        "percent_of_job_transitions_with_certificate": safe_divide("job_transitions_with_certificate",
+                                                                   "placed_fellows"),
+    })

@@ -1,8 +1,8 @@
 """Session construction and lineage cutting.
 
 Settings follow the engine's needs: UTC session clock, ANSI casts, AQE with
-skew-join splitting, dynamic partition overwrite for the day-partitioned
-snapshot. ``spark.checkpoint.dir`` is read from the session; it is set here
+skew-join splitting. Dynamic partition overwrite is set on the snapshot
+writer itself, not on the session. ``spark.checkpoint.dir`` is read from the session; it is set here
 only when the cluster left it unset (tests, local runs).
 """
 
@@ -19,7 +19,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }

@@ -80,7 +80,8 @@ def snapshot_merge(new_rows: DataFrame, path: str, key: Sequence[str], day: dt.d
     else:
         merged = batch
     merged = cut_lineage(merged)
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(partition_col).parquet(path)
     return merged.count()
 
 

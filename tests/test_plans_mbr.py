@@ -7,7 +7,10 @@ import tempfile
 import pytest
 
 from rollbook.context import RunContext
-from rollbook.plans.mbr import SNAPSHOT_COLUMNS, current_rows, history_report, ongoing_programs, run_snapshot
+from rollbook.plans.mbr import (
+    SNAPSHOT_COLUMNS, certification_percentages, current_rows, history_report, ongoing_programs, run_snapshot,
+    summary_formulas,
+)
 from rollbook.sinks.snapshot import FullRefreshNotAllowed, should_snapshot
 from tests.fixtures import mbr_tables
 
@@ -115,3 +118,16 @@ def test_review_queries(spark, tables):
     months_first_day = [m for d, m in order if d == dt.date(2025, 12, 5)]
     # unparsable months sort first (NULL), then numbers ascending, 'Ongoing' (999) last
     assert months_first_day[0] == "abc" and months_first_day[-1] == "Ongoing"
+
+
+def test_contract_formulas(spark):
+    df = spark.createDataFrame([(10, 4, 1, 1000.0, 8, 3, 6, 5, 2), (0, 0, None, 50.0, 0, 0, 0, 0, 0)],
+                               "placed_fellows long, beyond long, indirect_beyond long, program_cost double, "
+                               "enrolled_or_graduated long, certification_attempted long, cert_eligible long, "
+                               "certification_received long, job_transitions_with_certificate long")
+    a, b = certification_percentages(summary_formulas(df)).collect()
+    assert (a.placed_without_indirect, a.beyond_without_indirect) == (9, 3)
+    assert a.cost_per_placement == 100.0 and a.cost_per_placement_without_beyond == pytest.approx(1000 / 6)
+    assert a.percent_exam_attempted == 0.5 and a.percent_of_graduated == 5 / 8
+    assert a.percent_of_job_transitions_with_certificate == 0.2
+    assert b.cost_per_placement is None and b.percent_of_graduated is None
