@@ -33,8 +33,9 @@ def temporal_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def _wrap_sql(sql: str, dates: Sequence[str], stamps: Sequence[str], doubles: Sequence[str] = ()) -> str:
-    parts = [f"CAST({c} AS VARCHAR) AS {c}" for c in dates] + \
+def _wrap_sql(sql: str, dates: Sequence[str], stamps: Sequence[str], doubles: Sequence[str] = (),
+              texts: Sequence[str] = ()) -> str:
+    parts = [f"CAST({c} AS VARCHAR) AS {c}" for c in [*dates, *texts]] + \
             [f"strftime({c}, '{STAMP_FORMAT_DUCK}') AS {c}" for c in stamps] + \
             [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles]
     if not parts:
@@ -43,10 +44,11 @@ def _wrap_sql(sql: str, dates: Sequence[str], stamps: Sequence[str], doubles: Se
 
 
 def register(name: str, sql: str | None = None, dates: Sequence[str] = (),
-             stamps: Sequence[str] = (), doubles: Sequence[str] = ()):
+             stamps: Sequence[str] = (), doubles: Sequence[str] = (), texts: Sequence[str] = ()):
     """``doubles``: integer columns that can hold NULLs, rendered as DOUBLE on both
-    sides (client libraries turn nullable integers into floats on one side and
-    nullable integer types on the other)."""
+    sides; ``texts``: boolean columns that can hold NULLs, rendered as 'true' /
+    'false' text (client libraries map both kinds of nullable column to different
+    pandas types per engine)."""
     def deco(fn: Builder) -> Builder:
         if name in QUERIES:
             raise ValueError(f"duplicate query name {name}")
@@ -54,10 +56,11 @@ def register(name: str, sql: str | None = None, dates: Sequence[str] = (),
         @functools.wraps(fn)
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
             out = temporal_as_text(fn(spark, sf_dir))
-            return out.withColumns({c: out[c].cast("double") for c in doubles}) if doubles else out
+            casts = {**{c: out[c].cast("double") for c in doubles}, **{c: out[c].cast("string") for c in texts}}
+            return out.withColumns(casts) if casts else out
 
         QUERIES[name] = build
         if sql is not None:
-            ORACLE_SQL[name] = _wrap_sql(sql, dates, stamps, doubles)
+            ORACLE_SQL[name] = _wrap_sql(sql, dates, stamps, doubles, texts)
         return fn
     return deco
