@@ -32,3 +32,10 @@ def json_bool(col, path: str) -> Column:
     text = F.lower(F.trim(json_scalar(col, path)))
     return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False)) \
         .otherwise(F.lit(None).cast("boolean"))
+
+
+def json_query(col, path: str) -> Column:
+    """``JSON_QUERY``: the JSON text of the node at ``path`` (object, array or
+    JSON-encoded scalar); NULL for a missing path or bad JSON."""
+    node = F.try_variant_get(F.try_parse_json(_c(col)), path, "variant")
+    return F.when(node.isNotNull(), F.to_json(node))

@@ -14,7 +14,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions.json import json_scalar
+from rollbook.functions.json import json_query, json_scalar
 from rollbook.functions.safe import seconds_between
 from rollbook.operators.dims import latest_per_key
 
@@ -29,10 +29,12 @@ def bronze_extract(landing: DataFrame, endpoint: str, fields: Mapping[str, tuple
     """Rows of one endpoint with ``{out: (json_path, spark_type)}`` fields extracted.
 
     Values that do not convert become NULL (``try_cast``); objects and arrays
-    at a scalar path are NULL, as ``JSON_VALUE`` gives.
+    at a scalar path are NULL, as ``JSON_VALUE`` gives. Kind ``"json"`` keeps
+    the node as JSON text (``JSON_QUERY``), for nested documents.
     """
     rows = landing.filter(F.col(endpoint_col) == endpoint)
-    cols = [json_scalar(data_col, path).try_cast(kind).alias(out) for out, (path, kind) in fields.items()]
+    cols = [(json_query(data_col, path) if kind == "json" else json_scalar(data_col, path).try_cast(kind))
+            .alias(out) for out, (path, kind) in fields.items()]
     return rows.select(*cols, F.col(batch_col))
 
 

@@ -96,6 +96,12 @@ class Check:
     quality_dimension: str = "validity"
     tags: Sequence[str] = field(default_factory=tuple)
 
+    def __post_init__(self):
+        if self.quality_dimension not in QUALITY_DIMENSIONS:
+            raise ValueError(f"quality_dimension must be one of {QUALITY_DIMENSIONS}")
+        if self.severity not in ("warn", "error"):
+            raise ValueError("severity must be 'warn' or 'error'")
+
 
 def status_of(n: Column, total: Column, check: Check) -> Column:
     """pass / warn / fail. With severity 'error' the error threshold can fail the

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.functions.json import json_bool, json_scalar
+from rollbook.functions.json import json_bool, json_query, json_scalar
 from rollbook.functions.safe import safe_int, seconds_between
 from rollbook.functions.text import is_staff_email
 from rollbook.operators.dims import latest_per_key
@@ -145,3 +145,16 @@ def test_bronze_and_silver(spark):
     hosts = spark.createDataFrame([("h1", dt.date(2025, 1, 1), 1, "old"), ("h1", dt.date(2025, 1, 2), 1, "new")],
                                   "host_id string, execution_date date, updated_at int, email string")
     assert [r.email for r in host_dim(hosts).collect()] == ["new"]
+
+
+def test_json_query_subdocuments(spark):
+    df = spark.createDataFrame([('{"a": {"b": [1, 2]}, "s": "x"}',), ("bad",), (None,)], "d string")
+    got = [(r.o, r.s, r.m) for r in df.select(json_query("d", "$.a").alias("o"), json_query("d", "$.s").alias("s"),
+                                              json_query("d", "$.zz").alias("m")).collect()]
+    assert got == [('{"b":[1,2]}', '"x"', None), (None, None, None), (None, None, None)]
+    landing = spark.createDataFrame([("polls", '{"id": "p1", "questions": [{"q": 1}]}', dt.date(2025, 1, 1))],
+                                    "endpoint_url string, data string, execution_date date")
+    row = bronze_extract(landing, "polls", {"id": ("$.id", "string"), "questions": ("$.questions", "json")}).first()
+    assert row.questions == '[{"q":1}]'
+    with pytest.raises(ValueError):
+        Check("x", lambda: landing, quality_dimension="speed")
