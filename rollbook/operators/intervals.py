@@ -144,11 +144,10 @@ def _hull_by_label(rows: DataFrame, keys, labels, start, end, id_col, bucket_sec
 
     Each row of a key is copied once per label present in that key, so the
     cost is rows x labels-per-key (1 for almost every key; a handful of
-    e-mail/name spellings at most). The
-    sweep is bucketed like ``scan_islands``: windows run per (key, label,
-    bucket); the label's running max end from earlier buckets and the first
-    start of later buckets come from a one-row-per-bucket summary. Tied
-    starts always share a bucket.
+    e-mail/name spellings at most). The sweep is bucketed like
+    ``scan_islands``: windows run per (key, label, bucket); the label's
+    running max end from earlier buckets and the first start of later buckets
+    come from a one-row-per-bucket summary. Tied starts always share a bucket.
     """
     g = {c: f"__g_{c}" for c in labels}
     label_sets = rows.select(*keys, *[F.col(c).alias(g[c]) for c in labels]).distinct()
