@@ -12,14 +12,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Fixed values that must equal the reference's: the staff / test account pattern,
+# matched unanchored against the lower-cased address.
+STAFF_EMAIL_PATTERN = r"@company\.com\b|\bcompany\b.*\btest\b|\btest\b.*\bcompany\b|\+test\d*@|@internal\.com\b"
+
+
 def staff_email_pattern(staff_domain: str = "company.com", company_word: str = "company",
                         internal_domain: str = "internal.com") -> str:
-    """Build the exclusion pattern for staff and test accounts.
+    """The exclusion pattern with another organisation's domains and name.
 
-    Fixed values that must equal the reference's: the pattern shape below,
-    applied to the lower-cased address, unanchored:
-    ``@<staff domain>\\b | \\b<company>\\b.*\\btest\\b | \\btest\\b.*\\b<company>\\b |
-    \\+test\\d*@ | @<internal domain>\\b``.
+    With the defaults it is exactly ``STAFF_EMAIL_PATTERN``.
     """
     sd, cw, idm = (re.escape(staff_domain), re.escape(company_word), re.escape(internal_domain))
     return (rf"@{sd}\b|\b{cw}\b.*\btest\b|\btest\b.*\b{cw}\b|\+test\d*@|@{idm}\b")
@@ -32,4 +34,4 @@ def normalize_email(col) -> Column:
 
 def is_staff_email(col, pattern: str | None = None) -> Column:
     """True when the lower-cased address matches the exclusion pattern (NULL stays NULL)."""
-    return F.lower(_c(col)).rlike(pattern or staff_email_pattern())
+    return F.lower(_c(col)).rlike(pattern or STAFF_EMAIL_PATTERN)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from rollbook.context import RunContext
 from rollbook.functions.dates import day_name, week_start
 from rollbook.functions.json import json_bool, json_scalar
-from rollbook.functions.text import normalize_email, staff_email_pattern
+from rollbook.functions.text import STAFF_EMAIL_PATTERN, normalize_email
 from rollbook.operators.dims import current_rows, latest_per_key
 from rollbook.operators.grid import entity_grid, expand_date_range
 from rollbook.operators.intervals import merge_intervals, presence_ratio
@@ -88,7 +88,7 @@ class AttendanceOptions:
     merge_mode: str = "hull"            # "islands": true merge of overlapping sessions (Q1/Q2)
     alt_key: str = "primary"            # "alternate": look up the alternate account id (Q3)
     match_attendance_on: str = "weekday"  # "date": re-attach attendance by date (Q5)
-    staff_pattern: str = field(default_factory=staff_email_pattern)
+    staff_pattern: str = STAFF_EMAIL_PATTERN
     grid_salt: int = 8
     bucket_seconds: int = 3600
     strict_form_dates: bool = True      # DATE(text) raises on bad text, as the warehouse does
