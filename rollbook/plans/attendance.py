@@ -178,6 +178,15 @@ def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = Attendance
 
     key = ["lesson_id", "program_code", "primary_user_service_id"]
     c1 = compute.select(*key, *[F.col(m).alias(f"__c1_{m}") for m in _MEASURES])
+    # Learner-activity exemptions join on the same (lesson, programme, person) key as the
+    # first attendance route, so both share one shuffle of the grid. The original joins them
+    # last; only the final DISTINCT matters, so the order of these left joins does not.
+    link = t.ref("user_links").select(F.col("primary_user_service_id").alias("__lk_pid"))
+    act = t.ref("learner_activity").filter(F.col("activity_type") == "lesson")
+    act = act.join(link, act["learner_id"] == link["__lk_pid"]).select(
+        F.col("__lk_pid").alias("primary_user_service_id"), F.col("program_id").alias("program_code"),
+        F.col("activity_id").alias("lesson_id"),
+        json_bool("overrides", "$.is_required").alias("__a_required"))
     alt = t.ref("alt_accounts")
     alt_id = "primary_user_service_id" if o.alt_key == "primary" else "primary_alt_account_user_service_id"
     alt_on = alt.filter(F.col("primary_alt_account_user_service_id").isNotNull()).select(
@@ -186,7 +195,7 @@ def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = Attendance
                         F.col("program_code").alias("__c2_program_code"),
                         F.col("primary_user_service_id").alias("__c2_pid"),
                         *[F.col(m).alias(f"__c2_{m}") for m in _MEASURES])
-    g = grid.join(c1, key, "left") \
+    g = grid.join(c1, key, "left").join(act, key, "left") \
         .join(alt_on, grid["primary_user_service_id"] == alt_on["__alt_pid"], "left")
     g = g.join(c2, (g["__alt_lookup"] == c2["__c2_pid"]) & (g["lesson_id"] == c2["__c2_lesson_id"])
                & (g["program_code"] == c2["__c2_program_code"]), "left")
@@ -195,11 +204,12 @@ def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = Attendance
         "lesson_id", "lesson_title", "lesson_start_date_ts", "lesson_end_date_ts",
         "primary_user_service_id", "user_service_id_in_program_service", "participant_email",
         "participant_name", "enrollments_status",
-        *[F.coalesce(F.col(f"__c1_{m}"), F.col(f"__c2_{m}")).alias(m) for m in _MEASURES[2:]]
+        *[F.coalesce(F.col(f"__c1_{m}"), F.col(f"__c2_{m}")).alias(m) for m in _MEASURES[2:]],
+        "__a_required"
     )
-    # The original dedupes after each join step; the later left joins map a row to rows
-    # fixed by its values, so one DISTINCT at the end gives the same set and saves two
-    # full shuffles of the grid.
+    # The original dedupes after each join step; every left join here maps a row to rows
+    # fixed by its values, so one DISTINCT at the end gives the same set and saves full
+    # shuffles of the grid.
 
     ex = _excuses(t)
     lesson_day = F.to_date(F.col("lesson_start_date_ts"))
@@ -217,24 +227,14 @@ def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = Attendance
         routes.append(p)
     has_excuse = F.when(F.col("__e0_email").isNotNull(), True).when(F.col("__e1_email").isNotNull(), True) \
         .when(F.col("__e2_email").isNotNull(), True).otherwise(False)
-    excused = cur.select(
+    out = cur.select(
         *applied.columns, has_excuse.alias("has_excused_attendance"),
         F.to_date(F.coalesce(*[F.col(p + "submitted_at") for p in routes])).alias("excuse_submitted_date"),
-        F.coalesce(*[F.col(p + "excuse_reason") for p in routes]).alias("excuse_reason"))
-
-    link = t.ref("user_links").select(F.col("primary_user_service_id").alias("__lk_pid"))
-    act = t.ref("learner_activity").filter(F.col("activity_type") == "lesson")
-    act = act.join(link, act["learner_id"] == link["__lk_pid"]).select(
-        F.col("__lk_pid").alias("__a_pid"), F.col("program_id").alias("__a_prog"),
-        json_bool("overrides", "$.is_required").alias("__a_required"),
-        F.col("activity_id").alias("__a_lesson"))
-    out = excused.join(act, (excused["primary_user_service_id"] == act["__a_pid"])
-                       & (excused["program_code"] == act["__a_prog"])
-                       & (excused["lesson_id"] == act["__a_lesson"]), "left")
-    out = out.select(*excused.columns,
-                     F.when(F.col("__a_required") == F.lit(False), True).otherwise(False).alias("is_exempt"),
-                     ctx.created_at().alias("edw_created_at")).distinct()
-    return out.select(*STAGING_COLUMNS)
+        F.coalesce(*[F.col(p + "excuse_reason") for p in routes]).alias("excuse_reason"),
+        F.when(F.col("__a_required") == F.lit(False), True).otherwise(False).alias("is_exempt"),
+        ctx.created_at().alias("edw_created_at"))
+    # DISTINCT over the output columns only (helper columns dropped first)
+    return out.select(*STAGING_COLUMNS).distinct()
 
 
 def weeks(t: TableRegistry) -> DataFrame:

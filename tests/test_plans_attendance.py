@@ -101,3 +101,15 @@ def test_gold_upcoming_weeks(gld):
     # weeks starting after 2025-01-22: Jan 27, Feb 03, Feb 10 for 3 enrolled learners
     assert sorted({r.week_number for r in up}) == ["4", "5", "6"]
     assert len(up) == 9 and all(r.lesson_title is None for r in up)
+
+
+def test_activity_rows_differing_only_in_helper_values_collapse(spark):
+    """Two activity rows for one learner and lesson, one with is_required true and one
+    with no override: both mean 'not exempt', so the learner x lesson row appears once."""
+    t = attendance_tables(spark)
+    extra = spark.createDataFrame([("u1", "P1", "A", "lesson", '{"is_required": true}'),
+                                   ("u1", "P1", "A", "lesson", '{"other": 1}')],
+                                  t.ref("learner_activity").schema)
+    t.register("learner_activity", t.ref("learner_activity").unionByName(extra))
+    rows = [r for r in staging(t, CTX).collect() if r.primary_user_service_id == "u1" and r.lesson_id == "A"]
+    assert len(rows) == 1 and rows[0].is_exempt is False
