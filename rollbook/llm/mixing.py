@@ -134,8 +134,8 @@ def mix_sql(table: str = "documents", budget: float = 0.5, iterations: int = 12,
     tau = {"source": 0.5, "lang": 0.7, "topic": 0.0} | (tau or {})
     ctes = [f"""rows_ AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, 'null') AS source, coalesce('=' || lang, 'null') AS lang,
  len(w) AS tokens, CASE WHEN len(w) = 0 THEN 'none' ELSE
- 't' || (('0x' || substr(md5(list_max(list_transform(w, x -> {{'n': length(x), 'x': x}})).x), 1, 4))::INT % {topics}) END AS topic
- FROM (SELECT *, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM {table}))""",
+ 't' || (('0x' || substr(md5(list_max(list_transform(w, lambda x: {{'n': length(x), 'x': x}})).x), 1, 4))::INT % {topics}) END AS topic
+ FROM (SELECT *, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table}))""",
             "c0 AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM rows_ GROUP BY ALL)",
             "tot AS MATERIALIZED (SELECT sum(tokens) AS total FROM c0)"]
     for axis in AXES:

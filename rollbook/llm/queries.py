@@ -8,13 +8,52 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import byte_bpe, mixing, near_duplicates, quality_classifier, robust_outliers
+from rollbook.llm import (byte_bpe, exact_topk, html_text, lm_scoring, mixing, near_duplicates, quality_classifier,
+                          robust_outliers, token_files, tool_calls)
 from rollbook.llm.common import table
 
 #: The contract's decision threshold of the quality score.
 KEEP_SCORE = 0.3
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.token_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+#: The tool that user turns call: what its arguments must look like.
+REPLY_SCHEMA = {"reply": {"properties": {"prompt": "string", "turn": "integer"}, "required": ["prompt", "turn"]}}
+
+
+def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn calls the tool ``reply``; the assistant's next turn is its result, and a call depends on
+    the call two turns before it. The record goes out as its md5."""
+    turns = table(spark, sf_dir, "conversations")
+    call = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"),
+                                 (F.col("turn") + turn).cast("string"))
+    calls = turns.filter("role = 'user'").select(
+        "conv_id", call(0).alias("call_id"), F.lit("reply").alias("name"),
+        F.to_json(F.struct("turn", F.col("text").alias("prompt"))).alias("arguments"),
+        F.when(F.col("turn") >= 2, F.array(call(-2))).alias("depends_on"), "turn")
+    results = turns.filter("role = 'assistant'").select(call(-1).alias("call_id"), F.col("text").alias("content"), "turn")
+    out = tool_calls.link_calls(calls, results, REPLY_SCHEMA)
+    return out.select("conv_id", "call_id", "turn", F.col("level").cast("bigint").alias("level"), "linked", "valid",
+                      "missing_dependencies", F.md5(F.col("record").cast("binary")).alias("record_md5"))
+
+
+_OP2_SQL = """WITH RECURSIVE u AS (SELECT DISTINCT conv_id, turn, text, 'c' || conv_id || '-' || turn AS call_id
+  FROM conversations WHERE role = 'user'),
+a AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content FROM conversations WHERE role = 'assistant' GROUP BY ALL),
+l AS (SELECT conv_id, turn, 0 AS level FROM u WHERE NOT EXISTS (SELECT 1 FROM u p WHERE p.conv_id = u.conv_id AND p.turn = u.turn - 2)
+  UNION ALL SELECT u.conv_id, u.turn, l.level + 1 FROM l JOIN u ON u.conv_id = l.conv_id AND u.turn = l.turn + 2)
+SELECT u.conv_id, u.call_id, u.turn, l.level::BIGINT AS level, a.content IS NOT NULL AS linked, true AS valid,
+  (u.turn >= 2 AND l.level = 0)::BIGINT AS missing_dependencies,
+  md5('{"arguments":{"prompt":' || to_json(u.text) || ',"turn":' || u.turn || '},"call_id":' || to_json(u.call_id) ||
+      ',"content":' || coalesce(to_json(a.content)::VARCHAR, 'null') || ',"conv_id":' || u.conv_id || ',"level":' || l.level ||
+      ',"name":"reply","valid":true}') AS record_md5
+FROM u JOIN l USING (conv_id, turn) LEFT JOIN a USING (conv_id, turn)"""
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.withColumn("probability", F.round("probability", 9))
@@ -36,6 +75,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def bpe_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -48,7 +91,20 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(decode("ids"), 256).alias("decoded_sha256"))
 
 
+def op9_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled good; background: all documents."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents").select("doc_id", "text"), good)
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    out = pages.select("page_id", "url", html_text.extract_text(F.col("html")).alias("text"))
+    return out.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_source_mix, op4_quality_classifier, op5_robust_outliers, op6_near_duplicates, op8_byte_bpe)}
+    op1_token_files, op2_tool_calls, op3_source_mix, op4_quality_classifier, op5_robust_outliers, op6_near_duplicates,
+    op7_exact_topk, op8_byte_bpe, op9_cross_entropy, op10_main_text)}
 
-ORACLE_SQL: dict[str, str] = {"op3_source_mix": mixing.mix_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_tool_calls": _OP2_SQL, "op3_source_mix": mixing.mix_sql()}
