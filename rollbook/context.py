@@ -22,7 +22,7 @@ REPORT_TZ = "America/New_York"
 class RunContext:
     now_utc: dt.datetime = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc))
     tz: str = REPORT_TZ
-    env: str = "dev"
+    env: str = "prod"  # full refreshes need an explicit "dev"
     override: bool = False
     full_refresh: bool = False
 

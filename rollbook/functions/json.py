@@ -23,15 +23,17 @@ def json_scalar(col, path: str) -> Column:
         .otherwise(F.try_variant_get(node, "$", "string"))
 
 
-def json_bool(col, path: str) -> Column:
+def json_bool(col, path: str, strict: bool = True) -> Column:
     """``CAST(JSON_VALUE(x, path) AS BOOL)``: only 'true'/'false' (any case) convert.
 
-    The warehouse raises on other text; this returns NULL for it instead of
-    Spark's wider boolean cast that also accepts 'yes', '1' and 't'.
+    Other text raises, as in the warehouse; with ``strict=False`` it is NULL.
+    (Spark's own boolean cast would also accept 'yes', '1' and 't'.)
     """
     text = F.lower(F.trim(json_scalar(col, path)))
-    return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False)) \
-        .otherwise(F.lit(None).cast("boolean"))
+    other = F.raise_error(F.concat(F.lit("not a boolean: "), text)).cast("boolean") if strict \
+        else F.lit(None).cast("boolean")
+    return F.when(text.isNull(), F.lit(None).cast("boolean")).when(text == "true", F.lit(True)) \
+        .when(text == "false", F.lit(False)).otherwise(other)
 
 
 def json_query(col, path: str) -> Column:

@@ -1,12 +1,12 @@
 """Reusable DataFrame operators (DataFrame in, DataFrame out)."""
 
-from rollbook.operators.dims import current_rows, distinct_rows, latest_per_key, semi  # noqa: F401
+from rollbook.operators.dims import current_rows, latest_per_key, semi  # noqa: F401
 from rollbook.operators.grid import entity_grid, expand_date_range, override_time  # noqa: F401
 from rollbook.operators.intervals import (  # noqa: F401
     hull_intervals, islands, merge_intervals, presence_ratio,
 )
 from rollbook.operators.joins import (  # noqa: F401
-    any_key_match, broadcast_if_small, fallback_join, substring_join, week_join,
+    any_key_match, fallback_join, substring_join, week_join,
 )
 from rollbook.operators.rollup import (  # noqa: F401
     attach_zero, pivot_form, regional_rollup, weighted_avg_or_avg,

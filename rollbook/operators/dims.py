@@ -1,4 +1,4 @@
-"""Dimension helpers: SCD-2 current rows, latest row per key, distinct, semi-join."""
+"""Dimension helpers: SCD-2 current rows, latest row per key, semi-join."""
 
 from __future__ import annotations
 
@@ -34,9 +34,5 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
 
 
 def semi(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    """``WHERE key IN (SELECT key FROM other)`` as a left-semi join."""
-    return df.join(other.select(*on).distinct(), on=list(on), how="left_semi")
-
-
-def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    return (df.select(*cols) if cols else df).distinct()
+    """``WHERE key IN (SELECT key FROM other)`` as a left-semi join (repeats on the right change nothing)."""
+    return df.join(other.select(*on), on=list(on), how="left_semi")

@@ -133,9 +133,12 @@ def _hull_single_label(rows: DataFrame, keys, labels, start, end, id_col, bucket
     tagged = scan_islands(scan, keys, start, "__scan_end", id_col, bucket_seconds)
     sizes = tagged.groupBy(*keys, "island_key").agg(
         F.count(F.lit(1)).alias("__n"), F.min(start).alias("__s"), F.max(end).alias("__e"),
-        *[F.first(c).alias(c) for c in labels])
+        F.count(end).alias("__ends"), *[F.first(c).alias(c) for c in labels])
+    # An island's first row covers the others, so its end is known; GREATEST with a
+    # NULL is NULL, hence no end when none of the covered rows has one.
+    covered_ends = F.sum(F.col("__ends") - 1)
     return sizes.filter(F.col("__n") >= 2).groupBy(*keys).agg(
-        F.min("__s").alias("hull_start"), F.max("__e").alias("hull_end"),
+        F.min("__s").alias("hull_start"), F.when(covered_ends > 0, F.max("__e")).alias("hull_end"),
         *[F.first(c).alias(c) for c in labels])
 
 
@@ -180,9 +183,12 @@ def _hull_by_label(rows: DataFrame, keys, labels, start, end, id_col, bucket_sec
     prev_own = F.greatest(F.col("__prev_own"), F.col("__carry_own"))
     covered = (prev_own >= F.col(start)) | (F.col("__tie_own") > 0)
     member = F.col("__own") & F.coalesce(has_partner, F.lit(False))
+    covered = F.coalesce(covered, F.lit(False))
+    # GREATEST with a NULL is NULL: no end when none of the covered rows has one
     hull = dup.groupBy(*part).agg(
         F.min(F.when(member, F.col(start))).alias("hull_start"),
-        F.max(F.when(member | F.coalesce(covered, F.lit(False)), F.col(end))).alias("hull_end"))
+        F.when(F.count(F.when(covered, F.col(end))) > 0,
+               F.max(F.when(member | covered, F.col(end)))).alias("hull_end"))
     hull = hull.filter(F.col("hull_start").isNotNull())
     return hull.select(*keys, *[F.col(g[c]).alias(c) for c in labels], "hull_start", "hull_end")
 

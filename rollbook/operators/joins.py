@@ -7,8 +7,7 @@
   the Monday of the date (the spine's weeks are Monday-aligned and 7 days).
 
 None of them uses a nested-loop join; Catalyst and AQE choose broadcast or
-sort-merge per side from runtime sizes (``broadcast_if_small`` adds an
-explicit, size-checked hint for dimension sides).
+sort-merge per side from sizes in bytes, so no side is hinted.
 """
 
 from __future__ import annotations
@@ -21,23 +20,17 @@ from pyspark.sql import functions as F
 
 from rollbook.functions.dates import week_start
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The probe reads at most ``max_rows + 1`` rows; beyond that the side is
-    left to a shuffle join (and AQE's runtime broadcast conversion).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _and(conds: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+def match_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other; the left side's key columns are kept."""
+    r = right.withColumnsRenamed({c: f"__k_{c}" for c in on})
+    return left.join(r, _and([F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on]), how) \
+        .drop(*[f"__k_{c}" for c in on])
+
+
 def fallback_join(left: DataFrame, routes: Sequence[tuple[DataFrame, Sequence[tuple[str | Column, str]]]],
                   columns: Sequence[str], matched_col: str | None = None,
                   match_on: str | None = None) -> DataFrame:

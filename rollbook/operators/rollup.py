@@ -23,10 +23,10 @@ def weighted_avg_or_avg(value: str, weight: str) -> Column:
 
 def _member_rows(df: DataFrame, member_col: str, members) -> DataFrame:
     """Rows whose member is in ``members``: a literal list (pushed-down ``IN``) or a
-    one-column DataFrame of member codes (a bounded dimension subset, broadcast)."""
+    one-column DataFrame of member codes (semi-join, broadcast by size only)."""
     if isinstance(members, DataFrame):
         codes = members.select(members.columns[0]).withColumnRenamed(members.columns[0], member_col)
-        return df.join(F.broadcast(codes.distinct()), on=member_col, how="left_semi")
+        return df.join(codes, on=member_col, how="left_semi")
     return df.filter(F.col(member_col).isin(list(members)))
 
 

@@ -28,7 +28,7 @@ Scale notes: the grid (learners x lessons of a programme) is the product
 itself; it is salted over ``grid_salt`` sub-keys so one large programme is
 built by many tasks. Every other join is an equi-join on ids or on
 (day, normalised e-mail); look-up sides are reduced to distinct keys first.
-The staging result is checkpointed before the gold stage reads it twice.
+Both plans are lazy; ``publish`` writes the staging table and builds gold from it.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollbook.context import RunContext
 from rollbook.functions.dates import day_name, week_start
@@ -46,11 +47,12 @@ from rollbook.functions.text import STAFF_EMAIL_PATTERN, normalize_email
 from rollbook.operators.dims import current_rows, latest_per_key
 from rollbook.operators.grid import entity_grid, expand_date_range
 from rollbook.operators.intervals import merge_intervals, presence_ratio
-from rollbook.operators.joins import any_key_match, broadcast_if_small, substring_join
+from rollbook.operators.joins import match_null_safe, substring_join
 from rollbook.operators.rollup import pivot_form
-from rollbook.operators.status import overall_status
+from rollbook.operators.status import overall_status, row_status
 from rollbook.operators.weeks import UPCOMING, upcoming_scaffold, week_label, week_spine
-from rollbook.session import cut_lineage
+from rollbook.quality import conform
+from rollbook.sinks.snapshot import write_clustered
 from rollbook.sources.tables import TableRegistry
 
 # Fixed values that must equal the reference's (placeholders it ships for the
@@ -65,8 +67,6 @@ WAIVER_QUESTIONS = {
     "QUESTION_ID_6": "waived_reason",
 }
 
-PROGRAM_DIM_MAX_ROWS = 100_000
-
 STAGING_COLUMNS = (
     "program_code", "meeting_id", "meeting_instance_id", "lesson_id", "lesson_title",
     "lesson_start_date_ts", "lesson_end_date_ts", "primary_user_service_id",
@@ -82,6 +82,12 @@ GOLD_COLUMNS = (
 )
 
 
+# The gold contract's types (all others are strings).
+_GOLD_TYPES = {"has_excused_attendance": T.BooleanType(), "is_exempt": T.BooleanType(),
+               "has_waived_attendance": T.BooleanType(), "attendance_percentage": T.DoubleType()}
+GOLD_CONTRACT = T.StructType([T.StructField(c, _GOLD_TYPES.get(c, T.StringType())) for c in GOLD_COLUMNS])
+
+
 @dataclass(frozen=True)
 class AttendanceOptions:
     """Switches for the reference's quirks (defaults reproduce it)."""
@@ -171,70 +177,85 @@ def _excuses(t: TableRegistry) -> DataFrame:
     return latest.drop("form_id")
 
 
+_CELL = ("primary_user_service_id", "program_code", "lesson_id")
+
+
+def attended_cells(t: TableRegistry, compute: DataFrame, o: AttendanceOptions) -> DataFrame:
+    """Attendance per (learner, programme, lesson), own sessions first, then those found through the alias table.
+
+    Folded on the attendance side, before the learner x lesson grid sees it, so
+    the grid is joined once. A learner with several session labels or several
+    aliases gets the original's combinations (per measure the first non-null);
+    cells that neither lookup reaches are absent.
+    """
+    own = compute.select(*_CELL, *_MEASURES)
+    look = "primary_user_service_id" if o.alt_key == "primary" else "primary_alt_account_user_service_id"
+    alias = t.ref("alt_accounts").filter(F.col("primary_alt_account_user_service_id").isNotNull()) \
+        .select("primary_user_service_id", F.col(look).alias("__look")).distinct()
+    other = compute.select(F.col("primary_user_service_id").alias("__look"), *_CELL[1:],
+                           *[F.col(m).alias(f"__o_{m}") for m in _MEASURES])
+    reached = alias.join(other.select("__look", *_CELL[1:]).distinct(), "__look").select(*_CELL)
+    cells = own.select(*_CELL).unionByName(reached).distinct()
+    both = cells.join(own.withColumn("__own", F.lit(True)), [*_CELL], "left") \
+        .join(alias, "primary_user_service_id", "left").join(other, ["__look", *_CELL[1:]], "left")
+    return both.select(*_CELL, *[F.coalesce(F.col(m), F.col(f"__o_{m}")).alias(m) for m in _MEASURES]).distinct()
+
+
+def excused_days(t: TableRegistry, learners: DataFrame) -> DataFrame:
+    """Excuses per (learner, address, programme, day) over three routes: own address, primary address, alias address.
+
+    Built from the excuses, which are few, so the grid is joined once. A learner
+    with several alias rows keeps one row per alias on a day that any of them
+    is excused, as the original's joins do.
+    """
+    ex = _excuses(t).withColumnRenamed("excused_attendance_date", "__day")
+    who = learners.select("primary_user_service_id", "participant_email", "program_code").distinct()
+    ids = t.ref("alt_accounts").select("primary_user_service_id", F.col("primary_id_email").alias("__m1"),
+                                       F.col("alt_account_email").alias("__m2")).distinct()
+    who = who.join(ids, "primary_user_service_id", "left").withColumn("__m0", F.col("participant_email"))
+    key = ["primary_user_service_id", "participant_email", "program_code"]
+    named = who.select(*key, F.explode(F.array_compact(F.array("__m0", "__m1", "__m2"))).alias("email")).distinct()
+    days = named.join(ex.select("email", "program_code", "__day").distinct(), ["email", "program_code"]) \
+        .select(*key, "__day").distinct()
+    cur = match_null_safe(days, who, key)
+    for i in range(3):
+        route = ex.select(F.col("email").alias(f"__m{i}"), "program_code", "__day",
+                          F.col("submitted_at").alias(f"__s{i}"), F.col("excuse_reason").alias(f"__r{i}"),
+                          F.lit(True).alias(f"__hit{i}"))
+        cur = cur.join(route, [f"__m{i}", "program_code", "__day"], "left")
+    any_hit = F.coalesce(*[F.col(f"__hit{i}") for i in range(3)], F.lit(False))
+    return cur.select(*key, "__day", any_hit.alias("has_excused_attendance"),
+                      F.to_date(F.coalesce(*[F.col(f"__s{i}") for i in range(3)])).alias("excuse_submitted_date"),
+                      F.coalesce(*[F.col(f"__r{i}") for i in range(3)]).alias("excuse_reason")).distinct()
+
+
+def exempt_lessons(t: TableRegistry) -> DataFrame:
+    """Whether a learner's lesson activity is required, per (learner, programme, lesson)."""
+    linked = t.ref("user_links").select(F.col("primary_user_service_id").alias("learner_id"))
+    act = t.ref("learner_activity").filter(F.col("activity_type") == "lesson").join(linked, "learner_id", "left_semi")
+    return act.select(F.col("learner_id").alias("primary_user_service_id"), F.col("program_id").alias("program_code"),
+                      F.col("activity_id").alias("lesson_id"),
+                      json_bool("overrides", "$.is_required").alias("__required")).distinct()
+
+
 def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOptions()) -> DataFrame:
-    """Learner x lesson attendance with excuses and exemptions (23 columns)."""
-    compute = session_attendance(t, o)
-    grid = entity_grid(users(t), lessons(t), on=["program_code"], salt_buckets=o.grid_salt)
-
-    key = ["lesson_id", "program_code", "primary_user_service_id"]
-    c1 = compute.select(*key, *[F.col(m).alias(f"__c1_{m}") for m in _MEASURES])
-    alt = t.ref("alt_accounts")
-    alt_id = "primary_user_service_id" if o.alt_key == "primary" else "primary_alt_account_user_service_id"
-    alt_on = alt.filter(F.col("primary_alt_account_user_service_id").isNotNull()).select(
-        F.col("primary_user_service_id").alias("__alt_pid"), F.col(alt_id).alias("__alt_lookup"))
-    c2 = compute.select(F.col("lesson_id").alias("__c2_lesson_id"),
-                        F.col("program_code").alias("__c2_program_code"),
-                        F.col("primary_user_service_id").alias("__c2_pid"),
-                        *[F.col(m).alias(f"__c2_{m}") for m in _MEASURES])
-    g = grid.join(c1, key, "left") \
-        .join(alt_on, grid["primary_user_service_id"] == alt_on["__alt_pid"], "left")
-    g = g.join(c2, (g["__alt_lookup"] == c2["__c2_pid"]) & (g["lesson_id"] == c2["__c2_lesson_id"])
-               & (g["program_code"] == c2["__c2_program_code"]), "left")
-    applied = g.select(
-        "program_code", *[F.coalesce(F.col(f"__c1_{m}"), F.col(f"__c2_{m}")).alias(m) for m in _MEASURES[:2]],
-        "lesson_id", "lesson_title", "lesson_start_date_ts", "lesson_end_date_ts",
-        "primary_user_service_id", "user_service_id_in_program_service", "participant_email",
-        "participant_name", "enrollments_status",
-        *[F.coalesce(F.col(f"__c1_{m}"), F.col(f"__c2_{m}")).alias(m) for m in _MEASURES[2:]]
-    )
-    # The original dedupes after each join step; the later left joins map a row to rows
-    # fixed by its values, so one DISTINCT at the end gives the same set and saves two
-    # full shuffles of the grid.
-
-    ex = _excuses(t)
-    lesson_day = F.to_date(F.col("lesson_start_date_ts"))
-    routes = []
-    cur = applied.withColumn("__day", lesson_day)
-    ids = t.ref("alt_accounts").select(F.col("primary_user_service_id").alias("__id_pid"),
-                                       F.col("primary_id_email").alias("__id_pmail"),
-                                       F.col("alt_account_email").alias("__id_amail"))
-    cur = cur.join(ids, cur["primary_user_service_id"] == ids["__id_pid"], "left")
-    for i, mail in enumerate(["participant_email", "__id_pmail", "__id_amail"]):
-        p = f"__e{i}_"
-        e = ex.select(*[F.col(c).alias(p + c) for c in ex.columns])
-        cur = cur.join(e, (F.col(mail) == e[p + "email"]) & (cur["__day"] == e[p + "excused_attendance_date"])
-                       & (cur["program_code"] == e[p + "program_code"]), "left")
-        routes.append(p)
-    has_excuse = F.when(F.col("__e0_email").isNotNull(), True).when(F.col("__e1_email").isNotNull(), True) \
-        .when(F.col("__e2_email").isNotNull(), True).otherwise(False)
-    excused = cur.select(
-        *applied.columns, has_excuse.alias("has_excused_attendance"),
-        F.to_date(F.coalesce(*[F.col(p + "submitted_at") for p in routes])).alias("excuse_submitted_date"),
-        F.coalesce(*[F.col(p + "excuse_reason") for p in routes]).alias("excuse_reason"))
-
-    link = t.ref("user_links").select(F.col("primary_user_service_id").alias("__lk_pid"))
-    act = t.ref("learner_activity").filter(F.col("activity_type") == "lesson")
-    act = act.join(link, act["learner_id"] == link["__lk_pid"]).select(
-        F.col("__lk_pid").alias("__a_pid"), F.col("program_id").alias("__a_prog"),
-        json_bool("overrides", "$.is_required").alias("__a_required"),
-        F.col("activity_id").alias("__a_lesson"))
-    out = excused.join(act, (excused["primary_user_service_id"] == act["__a_pid"])
-                       & (excused["program_code"] == act["__a_prog"])
-                       & (excused["lesson_id"] == act["__a_lesson"]), "left")
-    out = out.select(*excused.columns,
-                     F.when(F.col("__a_required") == F.lit(False), True).otherwise(False).alias("is_exempt"),
-                     ctx.created_at().alias("edw_created_at")).distinct()
-    return out.select(*STAGING_COLUMNS)
+    """Learner x lesson attendance with excuses and exemptions (23 columns), lazy.
+
+    The grid is joined once to each of three small results (attendance,
+    excuses, exemptions), each distinct on what it adds, and deduplicated once.
+    """
+    learners = users(t)
+    grid = entity_grid(learners, lessons(t), on=["program_code"], salt_buckets=o.grid_salt)
+    grid = grid.withColumn("__day", F.to_date("lesson_start_date_ts"))
+    out = grid.join(attended_cells(t, session_attendance(t, o), o), list(_CELL), "left") \
+        .join(exempt_lessons(t), list(_CELL), "left")
+    out = match_null_safe(out, excused_days(t, learners),
+                          ["primary_user_service_id", "participant_email", "program_code", "__day"], "left")
+    return out.withColumns({
+        "has_excused_attendance": F.coalesce("has_excused_attendance", F.lit(False)),
+        "is_exempt": F.coalesce(~F.col("__required"), F.lit(False)),
+        "edw_created_at": ctx.created_at(),
+    }).select(*STAGING_COLUMNS).distinct()
 
 
 def weeks(t: TableRegistry) -> DataFrame:
@@ -243,8 +264,7 @@ def weeks(t: TableRegistry) -> DataFrame:
 
 def participants(t: TableRegistry) -> DataFrame:
     learn = current_rows(t.ref("learners")).filter(F.col("enrollments_status") == "ENROLLED")
-    # one row per programme: broadcast after a bounded size probe
-    prog = broadcast_if_small(t.ref("programs").select("program_code", "program_start_ts"), PROGRAM_DIM_MAX_ROWS)
+    prog = t.ref("programs").select("program_code", "program_start_ts")
     return learn.join(prog, "program_code").select(
         F.col("user_service_id").alias("primary_user_service_id"),
         _concat_name("first_name", "last_name").alias("participant_name"),
@@ -261,14 +281,28 @@ def waivers(t: TableRegistry, o: AttendanceOptions) -> DataFrame:
     return expand_date_range(form, "waived_period_start", "waived_period_end", "waived_day")
 
 
+def waived_days(t: TableRegistry, o: AttendanceOptions, people: DataFrame) -> DataFrame:
+    """(learner, address, day) that a waiver names by any of the learner's three addresses.
+
+    Driven from the waivers, which are few: each learner's addresses become
+    keys of one equi-join instead of an OR over the participant x lesson rows.
+    """
+    alias = t.ref("alt_accounts").select("primary_user_service_id", "primary_id_email", "alt_account_email")
+    mails = F.array_compact(F.array(*[normalize_email(c) for c in
+                                      ("participant_email", "primary_id_email", "alt_account_email")]))
+    keys = people.join(alias, "primary_user_service_id", "left").select(*people.columns, F.explode(mails).alias("__mail"))
+    days = waivers(t, o).select(normalize_email("learner_email").alias("__mail"), F.col("waived_day").alias("lesson_date"))
+    return keys.distinct().join(days.distinct(), "__mail").select(*people.columns, "lesson_date") \
+        .distinct().withColumn("__waived", F.lit(True))
+
+
 def exemptions(t: TableRegistry) -> DataFrame:
     """Learner x lesson pairs marked optional in the grading overrides."""
-    les = lessons(t, as_date=True).select("lesson_id", F.col("lesson_title").alias("fe_title"),
-                                          F.col("lesson_start_date_ts").alias("fe_start"))
+    les = lessons(t, as_date=True).select("lesson_id", F.col("lesson_title").alias("fe_title")).distinct()
     act = t.ref("learner_activity").filter(F.col("activity_type") == "lesson").select(
         "learner_id", "activity_id", json_scalar("overrides", "$.optional").alias("optional"))
     return act.join(les, act["activity_id"] == les["lesson_id"]).filter(F.col("optional") == "true") \
-        .select("learner_id", "optional", "fe_title", "fe_start").distinct()
+        .select("learner_id", "optional", "fe_title").distinct()
 
 
 def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOptions(),
@@ -276,7 +310,7 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
     """Participant x week x weekday attendance with statuses, plus upcoming weeks (13 columns)."""
     today = ctx.today_utc()
     # staging() ends with DISTINCT, so its rows need no second dedupe
-    stg = staged.distinct() if staged is not None else cut_lineage(staging(t, ctx, o))
+    stg = staged.distinct() if staged is not None else staging(t, ctx, o)
     day = F.to_date(F.coalesce(F.to_date("lesson_start_date_ts"), F.to_date("meeting_start_time_ts")))
     raw = stg.withColumn("lesson_date", day).withColumn("day_of_week", day_name(day)) \
         .filter(F.to_date("lesson_start_date_ts").isNull() | (F.to_date("lesson_start_date_ts") <= today))
@@ -302,14 +336,8 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
                    "attendance_percentage")
     j = plc.join(a, (plc["program_code"] == a["__a_pc"]) & (plc["primary_user_service_id"] == a["__a_pid"])
                  & (plc["lesson_title"] == a["__a_title"]) & (plc[match] == a["__a_match"]), "left")
-    alt = t.ref("alt_accounts").select(F.col("primary_user_service_id").alias("__alt_pid"),
-                                       "primary_id_email", "alt_account_email")
-    j = j.join(alt, j["primary_user_service_id"] == alt["__alt_pid"], "left")
-    wf = waivers(t, o).select("waived_day", normalize_email("learner_email").alias("__wf_email"))
-    j = any_key_match(j, wf, eq=[("lesson_date", "waived_day")],
-                      left_keys=[normalize_email("participant_email"), normalize_email("primary_id_email"),
-                                 normalize_email("alt_account_email")],
-                      right_key="__wf_email", out="__waived")
+    who = ["primary_user_service_id", "participant_email"]
+    j = match_null_safe(j, waived_days(t, o, part.select(*who).distinct()), [*who, "lesson_date"], "left")
     hit = F.col("__a_pid").isNotNull()
     keys8 = ["program_code", "week_number", "week_range", "primary_user_service_id", "participant_name",
              "participant_email", "lesson_title", "day_of_week"]
@@ -318,17 +346,13 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
         F.max(F.when(hit, F.col("has_excused_attendance"))).alias("has_excused_attendance"),
         F.max(F.when(hit, F.col("is_exempt"))).alias("is_exempt"),
         F.max(F.when(hit, F.col("attendance_percentage"))).alias("attendance_percentage"),
-        F.max(F.col("__waived")).alias("has_waived_attendance"))
+        F.max(F.coalesce("__waived", F.lit(False))).alias("has_waived_attendance"))
 
     fe = exemptions(t)
     fj = substring_join(ag, fe, eq=[("primary_user_service_id", "learner_id")],
                         left_text="lesson_title", right_text="fe_title")
-    status = (F.when(F.col("optional") == "true", F.lit("exempted"))
-              .when(F.col("has_excused_attendance"), F.lit("excused"))
-              .when(F.col("has_participant_attended_flag"), F.lit("attended"))
-              .when(F.col("has_participant_attended_flag").eqNullSafe(F.lit(False))
-                    | F.col("has_participant_attended_flag").isNull(), F.lit("absent"))
-              .otherwise(F.lit("")))
+    status = row_status(F.col("optional") == "true", F.col("has_excused_attendance"),
+                        F.col("has_participant_attended_flag"))
     keys7 = [k for k in keys8 if k != "lesson_title"]
     final = fj.groupBy(*keys7).agg(
         F.array_join(F.array_sort(F.collect_set("lesson_title")), " / ").alias("lesson_title"),
@@ -357,4 +381,15 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
         F.lit(None).cast("boolean").alias("has_waived_attendance"),
         F.lit(None).cast("double").alias("attendance_percentage"),
         F.lit(UPCOMING).alias("attendance_overall_status"))
-    return actual.unionByName(upcoming).filter(F.col("week_number").isNotNull()).select(*GOLD_COLUMNS)
+    out = actual.unionByName(upcoming).filter(F.col("week_number").isNotNull()).select(*GOLD_COLUMNS)
+    return conform(out, GOLD_CONTRACT)
+
+
+def publish(t: TableRegistry, ctx: RunContext, staging_path: str, gold_path: str,
+            o: AttendanceOptions = AttendanceOptions()) -> DataFrame:
+    """Build both attendance tables: staging is written and read back (a lost executor re-reads
+    files, and gold's plan starts from a table of known size), then gold is checked and written."""
+    staging(t, ctx, o).write.mode("overwrite").parquet(staging_path)
+    staged = t.spark.read.parquet(staging_path)
+    write_clustered(gold(t, ctx, o, staged), gold_path, ["program_code", "lesson_title"])
+    return t.spark.read.parquet(gold_path)

@@ -8,16 +8,17 @@ target snapshot itself (a parquet path, partitioned by ``snapshot_date``).
 Run order (``run_snapshot``):
 
 1. refuse a full refresh outside dev;
-2. first run (no target yet): write the backfill history, all partitions;
+2. first run (no data in the target yet) or full refresh in dev: write the
+   backfill history, all partitions;
 3. later runs: evaluate the gate on the driver first (override, or Friday or
    month end with no snapshot yet today; the existence probe reads one
    partition) and start no heavy job when it is closed;
 4. build today's rows (summary + EUR roll-up + certificates + rates) and
    merge them into today's partition only.
 
-All aggregates are partial/final hash aggregates; the EUR member list and
-the programme dimension are small and broadcast, the certification table is
-pre-aggregated to one row per (programme, country) before its join.
+All aggregates are partial/final hash aggregates; the EUR member list is a
+literal, dimension joins are left to the size-aware planner, the certification
+table is pre-aggregated to one row per (programme, country) before its join.
 """
 
 from __future__ import annotations
@@ -29,12 +30,11 @@ from pyspark.sql import types as T
 from rollbook.context import RunContext
 from rollbook.functions.dates import format_month, month_start, parse_month
 from rollbook.functions.safe import safe_divide
-from rollbook.operators.joins import broadcast_if_small
 from rollbook.operators.rollup import regional_rollup, weighted_avg_or_avg
 from rollbook.operators.status import phase_bucket, placement_rate, retention_rate, run_rate
 from rollbook.quality import conform
 from rollbook.sinks.snapshot import (
-    _path_exists, guard_full_refresh, should_snapshot, snapshot_exists, snapshot_merge,
+    guard_full_refresh, has_data, read_snapshot, should_snapshot, snapshot_exists, snapshot_merge,
 )
 from rollbook.sources.tables import TableRegistry
 
@@ -47,7 +47,7 @@ _INT = T.LongType()
 _DBL = T.DoubleType()
 _STR = T.StringType()
 _DATE = T.DateType()
-# Output contract, in column order (name, type).
+# Output contract, in column order (name, type).
 SNAPSHOT_CONTRACT = T.StructType([T.StructField(n, t) for n, t in [
     ("snapshot_date", _DATE), ("mbr_reference", _STR), ("phase", _STR), ("program_name", _STR),
     ("program_code", _STR), ("country", _STR), ("start_date", _DATE), ("end_date", _DATE),
@@ -67,7 +67,7 @@ SNAPSHOT_CONTRACT = T.StructType([T.StructField(n, t) for n, t in [
 ]])
 SNAPSHOT_COLUMNS = tuple(f.name for f in SNAPSHOT_CONTRACT.fields)
 
-# Backfill sheet column -> snapshot column (columns not listed keep their name).
+# Backfill sheet column -> snapshot column (columns not listed keep their name).
 BACKFILL_RENAMES = {
     "Phase": "phase", "Program_name": "program_name", "Program_Code": "program_code",
     "Country": "country", "Start_date": "start_date", "End_Date": "end_date",
@@ -102,9 +102,8 @@ _CERT_AVGS = ("percent_exam_attempted", "percent_of_graduated",
 
 def history_baseline(t: TableRegistry, ctx: RunContext, target: str | None) -> DataFrame:
     """Earlier months: the target itself on incremental runs, else the backfill sheet."""
-    spark = t.spark
-    if target and _path_exists(spark, target):
-        hist = spark.read.option("mergeSchema", "true").parquet(target)
+    if target and has_data(t.spark, target):
+        hist = read_snapshot(t.spark, target)
         for f in SNAPSHOT_CONTRACT.fields:
             if f.name not in hist.columns:
                 hist = hist.withColumn(f.name, F.lit(None).cast(f.dataType))
@@ -119,8 +118,7 @@ def history_baseline(t: TableRegistry, ctx: RunContext, target: str | None) -> D
 
 def summary_base(t: TableRegistry, ctx: RunContext) -> DataFrame:
     s = t.ref("mbr_summary")
-    air = broadcast_if_small(t.ref("programs").select(F.col("program_code").alias("__air_pc"),
-                                                      "sponsored_industry_certification"), 100_000)
+    air = t.ref("programs").select(F.col("program_code").alias("__air_pc"), "sponsored_industry_certification")
     j = s.join(air, s["program_code"] == air["__air_pc"], "left")
     return j.select(
         ctx.as_of().alias("snapshot_date"), format_month(ctx.as_of()).alias("mbr_reference"),
@@ -187,14 +185,14 @@ def current_rows(t: TableRegistry, ctx: RunContext, members=EUROPEAN_COUNTRIES)
 
 def snapshot_rows(t: TableRegistry, ctx: RunContext, target: str | None,
                   members=EUROPEAN_COUNTRIES) -> DataFrame:
-    """What the model selects: history on a first run; today's rows afterwards.
+    """What the model selects: history on a first run or full refresh; today's rows afterwards.
 
     On incremental runs history rows only survive when dated today, which
     the month filter never lets through, so history is not read at all.
     """
-    incremental = bool(target) and _path_exists(t.spark, target)
+    incremental = bool(target) and not ctx.full_refresh and has_data(t.spark, target)
     if not incremental:
-        rows = history_baseline(t, ctx, target)
+        rows = history_baseline(t, ctx, None)
     else:
         rows = current_rows(t, ctx, members).filter(F.col("snapshot_date") == ctx.as_of())
     rows = rows.withColumn("snapshot_date", F.coalesce(F.col("snapshot_date"), ctx.as_of()))
@@ -206,15 +204,17 @@ def run_snapshot(t: TableRegistry, ctx: RunContext, target: str,
     """Build and write the snapshot; returns what happened (for logs and tests)."""
     guard_full_refresh(ctx)
     spark = t.spark
-    if not _path_exists(spark, target):
+    first = not has_data(spark, target)
+    if first or ctx.full_refresh:  # rebuilt from the backfill; the target is not read
         rows = snapshot_rows(t, ctx, target, members)
-        rows.write.mode("overwrite").partitionBy("snapshot_date").parquet(target)
-        return {"mode": "initial", "written": True}
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static") \
+            .partitionBy("snapshot_date").parquet(target)
+        return {"mode": "initial" if first else "full_refresh", "written": True}
     exists = snapshot_exists(spark, target, ctx.as_of_date)
     if not should_snapshot(ctx, exists):
         return {"mode": "incremental", "written": False, "snapshot_exists": exists}
     rows = snapshot_rows(t, ctx, target, members)
-    n = snapshot_merge(rows, target, MERGE_KEY, ctx.as_of_date)
+    n = snapshot_merge(rows, target, MERGE_KEY)
     return {"mode": "incremental", "written": True, "rows_today": n}
 
 

@@ -24,11 +24,11 @@ class ContractError(ValueError):
     pass
 
 
-def conform(df: DataFrame, schema: T.StructType, cast: bool = True) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, cast: bool = False) -> DataFrame:
     """Enforce a column contract: every declared column present, in order, with its type.
 
-    Missing columns raise ``ContractError``. A type mismatch is cast when
-    ``cast`` is true (ANSI cast: bad values raise at run time), else raises.
+    Missing columns raise ``ContractError``, and so does a type mismatch; with
+    ``cast`` it is cast instead (ANSI cast: bad values raise at run time).
     Extra columns are dropped.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
@@ -52,16 +52,24 @@ def not_null(df: DataFrame, col: str, context: Sequence[str] = ()) -> DataFrame:
         df.filter(F.col(col).isNull())
 
 
+#: Why a code fails the format, in order of precedence (unanchored patterns).
+_CODE_FAULTS = (
+    (None, "NULL value"),
+    (r"-.*-", "Missing hyphens"),
+    (r"([A-Z]{4}-)", "First segment not 4 uppercase letters"),
+    (r"(-[A-Z]{4}-)", "Second segment not 4 uppercase letters"),
+    (r"(-\d{3})", "Third segment not 3 digits"),
+)
+
+
 def program_code_reason(code: Column) -> Column:
-    """Why a code fails the ``XXXX-XXXX-000`` format (pattern is unanchored)."""
-    return (F.when(code.isNull(), F.lit("NULL value"))
-            .when(~code.rlike(PROGRAM_CODE_PATTERN),
-                  F.when(~code.like("%-%-%"), F.lit("Missing hyphens"))
-                  .when(~code.rlike(r"([A-Z]{4}-)"), F.lit("First segment not 4 uppercase letters"))
-                  .when(~code.rlike(r"(-[A-Z]{4}-)"), F.lit("Second segment not 4 uppercase letters"))
-                  .when(~code.rlike(r"(-\d{3})"), F.lit("Third segment not 3 digits"))
-                  .otherwise(F.lit("Unknown format issue")))
-            .otherwise(F.lit("Unknown reason")))
+    """Why a code fails the ``XXXX-XXXX-000`` format; the first fault of the list that it has.
+
+    Only for codes that fail; a code with none of the faults has them in the wrong places.
+    """
+    faults = [F.when(code.isNull() if pattern is None else ~code.rlike(f"(?s){pattern}"), F.lit(label))
+              for pattern, label in _CODE_FAULTS]
+    return F.coalesce(*faults, F.lit("Unknown format issue"))
 
 
 def format_check(df: DataFrame, col: str, context: Sequence[str] = (),

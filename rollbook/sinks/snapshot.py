@@ -2,9 +2,9 @@
 
 The reference merges today's rows into a date-partitioned table on a
 four-column key, scanning only today's partition. On plain parquet the same
-effect is: read today's partition, keep the rows whose key is not in the new
-batch (left anti), add the new batch, and overwrite only that partition with
-dynamic partition overwrite. The merged day is checkpointed to the shared
+effect is: read the partitions that the batch names, keep the rows whose key is not in
+the batch (left anti), add the batch, and overwrite only those partitions with
+dynamic partition overwrite. The merged rows are checkpointed to the shared
 checkpoint folder first, so the overwrite never reads the files it replaces
 and a lost executor recomputes from the checkpoint.
 """
@@ -32,17 +32,29 @@ def guard_full_refresh(ctx: RunContext) -> None:
             "Full refresh is not allowed for this model. Use direct DDL/DML on the table instead.")
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` hold a data file? A folder left by an empty first run does not count."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    if not fs.exists(hpath):
+        return False
+    files = fs.listFiles(hpath, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshot with the union of all partitions' columns."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def snapshot_exists(spark: SparkSession, path: str, day: dt.date,
                     partition_col: str = "snapshot_date") -> bool:
     """Is there any row for ``day``? Partition pruning reads one directory at most."""
-    if not _path_exists(spark, path):
+    if not has_data(spark, path):
         return False
     return spark.read.parquet(path).filter(F.col(partition_col) == F.lit(day)).limit(1).count() > 0
 
@@ -58,27 +70,34 @@ def should_snapshot(ctx: RunContext, exists_today: bool) -> bool:
     return (friday or month_end) and not exists_today
 
 
-def snapshot_merge(new_rows: DataFrame, path: str, key: Sequence[str], day: dt.date,
-                   partition_col: str = "snapshot_date") -> int:
-    """Merge ``new_rows`` (all dated ``day``) into the day partition at ``path``.
+def _with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` plus typed NULLs for the columns that only ``other`` has."""
+    have = {c.lower() for c in df.columns}
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields
+                           if f.name.lower() not in have})
+
 
-    Returns the number of rows in the merged day partition. Other days are
-    untouched; running twice with the same batch gives the same partition.
+def snapshot_merge(new_rows: DataFrame, path: str, key: Sequence[str],
+                   partition_col: str = "snapshot_date") -> int:
+    """Merge ``new_rows`` into the partitions they are dated at ``path``.
+
+    Every partition that the batch names is merged: rows with a key of the
+    batch are replaced, all others stay. Columns are the union of the table's
+    and the batch's; what one side lacks is NULL there, and nothing is dropped.
+    Rows without a date have no partition and are refused. Other partitions are
+    untouched; running twice with the same batch gives the same partitions.
+    Returns the number of rows in the merged partitions.
     """
     spark = new_rows.sparkSession
-    batch = new_rows.filter(F.col(partition_col) == F.lit(day))
-    cols = [c for c in batch.columns if c != partition_col] + [partition_col]
-    batch = batch.select(*cols)
-    if _path_exists(spark, path):
-        current = spark.read.option("mergeSchema", "true").parquet(path) \
-            .filter(F.col(partition_col) == F.lit(day))
-        for c in batch.columns:
-            if c not in current.columns:
-                current = current.withColumn(c, F.lit(None).cast(batch.schema[c].dataType))
-        kept = current.select(*cols).join(batch.select(*key), on=list(key), how="left_anti")
-        merged = kept.unionByName(batch)
-    else:
-        merged = batch
+    undated = F.raise_error(F.lit(f"snapshot_merge: a row has no {partition_col}"))
+    dated = F.when(F.col(partition_col).isNull(), undated.cast("date")).otherwise(F.col(partition_col))
+    batch = new_rows.withColumn(partition_col, dated.cast(new_rows.schema[partition_col].dataType))
+    merged = batch
+    if has_data(spark, path):
+        table = read_snapshot(spark, path)
+        current = table.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
+        kept = _with_columns_of(current, batch).join(batch.select(*key), on=list(key), how="left_anti")
+        merged = kept.unionByName(_with_columns_of(batch, table))
     merged = cut_lineage(merged)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition_col).parquet(path)
@@ -96,7 +115,8 @@ def evolve_table_schema(spark: SparkSession, table: str, df: DataFrame) -> list[
 
 
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], mode: str = "overwrite") -> None:
-    """Full rebuild clustered by ``cluster_by``: rows of one programme land in
-    the same files, sorted, so min/max statistics prune scans."""
-    df.repartition(F.col(cluster_by[0])).sortWithinPartitions(*cluster_by) \
+    """Full rebuild in ranges of ``cluster_by``: each file holds one range of the
+    columns, sorted, so min/max statistics prune scans. Ranges are cut by sampled
+    row counts, so a programme with a third of all rows is spread over many files."""
+    df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by) \
         .write.mode(mode).parquet(path)

@@ -25,11 +25,11 @@ def test_snapshot_sink_foreach_batch(spark):
     df.write.parquet(src)
     stream = spark.readStream.schema(df.schema).parquet(src)
     key = ["snapshot_date", "program_code", "country", "last_snapshot_ts_est"]
-    q = (stream.writeStream.foreachBatch(snapshot_sink(target, key, lambda epoch: day))
+    q = (stream.writeStream.foreachBatch(snapshot_sink(target, key))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     df.write.mode("append").parquet(src)  # same rows again: the merge keeps one copy per key
-    q = (stream.writeStream.foreachBatch(snapshot_sink(target, key, lambda epoch: day))
+    q = (stream.writeStream.foreachBatch(snapshot_sink(target, key))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     out = spark.read.parquet(target)
