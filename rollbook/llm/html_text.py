@@ -84,6 +84,9 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
     parts: list[str] = []
     links = 0
     skip, depth, article, anchor = "", 0, 0, 0
+    cut = page.rfind("<")
+    if cut > page.rfind(">") and page[cut + 1:cut + 2].isalpha():
+        page = page[:cut]  # the page ends within a tag
     low, at, n = page.lower(), 0, len(page)
 
     def close() -> None:

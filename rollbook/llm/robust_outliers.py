@@ -220,36 +220,37 @@ def consistency(share: float) -> float:
     return share / _chi2_cdf(low, P + 2)
 
 
-def fit_mcd(rows: DataFrame, share: float = 0.75, max_steps: int = 30) -> DataFrame:
+def fit_mcd(rows: DataFrame, share: float = 0.75, max_steps: int = 30, tolerance: float = 1e-3) -> DataFrame:
     """One MCD estimate per group ``_g`` of ``rows`` (statistics in ``_x*``).
 
     ``share``: part of the documents in the nearest subset. Concentration goes
-    on until no group's determinant falls any more (``max_steps`` at most).
+    on until no group's log determinant changes by ``tolerance`` any more
+    (``max_steps`` at most); one number a step reaches the driver.
     """
-    sizes = materialise(rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_all")), "mcd-size")
-    params = materialise(_starts(rows), "mcd-start")
+    sizes = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_all"))
+    params = materialise(_starts(rows).join(sizes, "_g"), "mcd-start")
     for _ in range(max_steps):
         near = _row_moments(_distance(rows.join(params, "_g")))
         near = near.withColumn("_bin", F.floor(16 * F.log2(1 + 1024 * F.col("_d2"))).cast("int"))
-        near = near.groupBy("_g", "_start", "_bin").agg(*_moment_aggs()).join(sizes, "_g")
+        near = near.groupBy("_g", "_start", "_bin").agg(
+            *_moment_aggs(), F.max("_all").alias("_all"), F.max("_logdet").alias("_old"))
         run = Window.partitionBy("_g", "_start").orderBy("_bin")
         near = near.withColumn("_before", F.sum("_n").over(run) - F.col("_n"))
-        near = near.filter(F.col("_before") < F.ceil(share * F.col("_all")))
-        new = _estimate(near.groupBy("_g", "_start").agg(*_moment_aggs()), ["_g", "_start"])
-        new = materialise(new.select(*params.columns), "mcd-step")
-        fell = (new.select("_g", "_start", F.col("_logdet").alias("_new")).join(params, ["_g", "_start"])
-                .agg(F.max(F.abs(F.col("_new") - F.col("_logdet")))).first()[0])
-        params = new
-        if fell is None or fell < 1e-9:
+        near = near.filter(F.col("_before") < F.ceil(share * F.col("_all"))).groupBy("_g", "_start").agg(
+            *_moment_aggs(), F.max("_all").alias("_all"), F.max("_old").alias("_old"))
+        new = materialise(_estimate(near, ["_g", "_start", "_all", "_old"]), "mcd-step")
+        params = new.drop("_old")
+        moved = new.agg(F.max(F.abs(F.col("_logdet") - F.col("_old")))).first()[0]
+        if moved is None or moved < tolerance:
             break
-    best = params.groupBy("_g").agg(F.min(F.struct("_logdet", "_start")).alias("_best"))
-    return params.join(best, "_g").filter(
-        (F.col("_start") == F.col("_best._start"))).drop("_best", "_start")
+    best = Window.partitionBy("_g").orderBy("_logdet", "_start")
+    return (params.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1")
+            .drop("_rank", "_start", "_all"))
 
 
 def robust_outliers(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
                     keep: list[str] | None = None, share: float = 0.75, min_group: int = 200,
-                    cutoff: float = 45.0, max_steps: int = 30) -> DataFrame:
+                    cutoff: float = 45.0, max_steps: int = 30, tolerance: float = 1e-3) -> DataFrame:
     """Counts, base rule, squared distance and verdict for every row of ``docs``.
 
     ``keep``: columns passed through (default: all). ``cutoff`` is compared with
@@ -266,7 +267,7 @@ def robust_outliers(docs: DataFrame, text: str = "text", lang: str = "lang", sou
     stats = materialise(stats.select("*", *_vector()), "quality-stats")
 
     good = stats.filter(~F.col("base_failed"))
-    cells = materialise(good.groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("_n")), "quality-cells")
+    cells = good.groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("_n"))
     small = F.col("_n") < min_group
     pools = cells.withColumn("_pool", F.sum(F.when(small, F.col("_n"))).over(Window.partitionBy("_lang")))
     group = (F.when(~small, F.concat_ws(" ", F.lit("own"), "_lang", "_source"))
@@ -274,10 +275,11 @@ def robust_outliers(docs: DataFrame, text: str = "text", lang: str = "lang", sou
              .otherwise(F.lit("rest")))
     groups = materialise(pools.select("_lang", "_source", group.alias("_g"), "_n"), "quality-groups")
     sized = groups.groupBy("_g").agg(F.sum("_n").alias("_all")).filter(F.col("_all") >= min_group).select("_g")
-    groups = materialise(groups.drop("_n").join(sized, "_g", "left_semi"), "quality-fitted")
+    groups = groups.drop("_n").join(sized, "_g", "left_semi")
 
     rows = good.select("_lang", "_source", *_X).join(groups, ["_lang", "_source"]).select("_g", *_X)
-    params = materialise(fit_mcd(rows, share, max_steps), "mcd")
+    rows = materialise(rows, "mcd-rows")
+    params = materialise(fit_mcd(rows, share, max_steps, tolerance), "mcd")
     judged = _distance(stats.join(groups, ["_lang", "_source"], "left").join(params, "_g", "left"))
     d2 = F.when(~F.col("base_failed"), F.col("_d2") / consistency(share))
     judged = judged.withColumn("distance2", d2)
