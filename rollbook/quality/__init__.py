@@ -1,8 +1,9 @@
 """Contracts and data tests.
 
 Each check returns its failing rows as a lazy DataFrame; ``run_checks``
-turns a list of checks into one result-log DataFrame (one aggregate per
-check, unioned), so a suite is a single Spark job and nothing is collected.
+turns a list of checks into one result-log DataFrame. Row-wise checks on the
+same table (``rows`` and ``broken``) share one scan and one aggregate, key-wise
+checks are an aggregate each; all are unioned, and nothing is collected.
 """
 
 from __future__ import annotations
@@ -93,8 +94,14 @@ def _threshold(expr: str | None, n: Column, total: Column, unit: str) -> Column:
 
 @dataclass
 class Check:
+    """One data test.
+
+    Either ``failures`` gives the failing rows, or ``rows`` and ``broken`` say
+    which rows of a table fail. ``where`` restricts ``rows`` first; ``context``
+    names the columns that failing rows are shown with (default: all).
+    """
     name: str
-    failures: Callable[[], DataFrame]
+    failures: Callable[[], DataFrame] | None = None
     column: str | None = None
     severity: str = "warn"
     warn_if: str | None = "!=0"
@@ -103,12 +110,25 @@ class Check:
     total: Callable[[], DataFrame] | None = None
     quality_dimension: str = "validity"
     tags: Sequence[str] = field(default_factory=tuple)
+    rows: DataFrame | None = None
+    broken: Column | None = None
+    where: str | None = None
+    context: Sequence[str] = field(default_factory=tuple)
 
     def __post_init__(self):
         if self.quality_dimension not in QUALITY_DIMENSIONS:
             raise ValueError(f"quality_dimension must be one of {QUALITY_DIMENSIONS}")
         if self.severity not in ("warn", "error"):
             raise ValueError("severity must be 'warn' or 'error'")
+        if (self.failures is None) == (self.rows is None or self.broken is None):
+            raise ValueError("give either failures, or rows and broken")
+        if self.failures is None:
+            shown = list(self.context) or ["*"]
+            self.failures = lambda: self.scope().filter(self.broken).select(*shown)
+
+    def scope(self) -> DataFrame:
+        """The rows that a row-wise check looks at."""
+        return self.rows.filter(self.where) if self.where else self.rows
 
 
 def status_of(n: Column, total: Column, check: Check) -> Column:
@@ -121,24 +141,41 @@ def status_of(n: Column, total: Column, check: Check) -> Column:
     return F.when(err | warn, F.lit("warn")).otherwise(F.lit("pass"))
 
 
+def _log_row(check: Check, failures: Column, total: Column) -> list[Column]:
+    return [F.lit(check.name).alias("test_name"), F.lit(check.column).cast("string").alias("column_name"),
+            failures.alias("failures"), status_of(failures, total, check).alias("status"),
+            F.lit(check.quality_dimension).alias("quality_dimension"), F.lit(",".join(check.tags)).alias("tags")]
+
+
 def run_checks(checks: Sequence[Check]) -> DataFrame:
     """One result-log row per check: name, column, failures, status, dimension, tags."""
     parts = []
+    tables: dict[tuple[int, str | None], list[Check]] = {}
     for c in checks:
+        if c.rows is not None:
+            tables.setdefault((id(c.rows), c.where), []).append(c)
+            continue
         marks = c.failures().select(F.lit(1).alias("__f"), F.lit(0).alias("__t"))
         if c.total is not None:
             marks = marks.unionByName(c.total().select(F.lit(0).alias("__f"), F.lit(1).alias("__t")))
         fail = marks.agg(F.count(F.when(F.col("__f") == 1, 1)).alias("failures"),
                          (F.count(F.when(F.col("__t") == 1, 1)) if c.total is not None
                           else F.lit(None).cast("long")).alias("total_rows"))
-        parts.append(fail.select(
-            F.lit(c.name).alias("test_name"), F.lit(c.column).cast("string").alias("column_name"),
-            F.col("failures"), status_of(F.col("failures"), F.col("total_rows"), c).alias("status"),
-            F.lit(c.quality_dimension).alias("quality_dimension"),
-            F.lit(",".join(c.tags)).alias("tags")))
+        parts.append(fail.select(*_log_row(c, F.col("failures"), F.col("total_rows"))))
+    for group in tables.values():
+        counts = group[0].scope().agg(*[F.count_if(c.broken).alias(f"__f{i}") for i, c in enumerate(group)],
+                                      F.count(F.lit(1)).alias("__t"))
+        each = F.array(*[F.struct(*_log_row(c, F.col(f"__f{i}"), F.col("__t"))) for i, c in enumerate(group)])
+        parts.append(counts.select(F.explode(each).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def append_log(results: DataFrame, path: str, run_id: str, run_at: Column) -> None:
+    """Append a run's result rows, with its id and time, to the log table at ``path``."""
+    results.withColumn("run_id", F.lit(run_id)).withColumn("run_at", run_at.cast("timestamp")) \
+        .write.mode("append").parquet(path)
+
+
 def store_failures(failures: DataFrame, path: str, limit: int | None = None) -> None:
     """Persist failing rows (``store_failures: true`` with ``limit``), replacing the last run.
 
