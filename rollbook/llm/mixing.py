@@ -30,6 +30,8 @@ from pyspark.sql.window import Window
 from rollbook.llm.common import materialise, words
 
 AXES = ("source", "lang", "topic")
+#: Cell tables of at most so many rows are raked in one task instead of many shuffles (same result).
+ONE_TASK_CELLS = 20_000
 
 
 def topic_of(w: Column, topics: int) -> Column:
@@ -48,9 +50,12 @@ def draw(doc_id: Column, seed: int) -> Column:
 def rake(cells: DataFrame, tau: dict[str, float], iterations: int,
          targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """Adds ``weight`` (sums to 1 over cells with tokens) to cells (_source, _lang, _topic, tokens)."""
-    total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 0.0
+    cells = materialise(cells, "cells")
+    total, n = cells.agg(F.sum("tokens").cast("double"), F.count(F.lit(1))).first()
     if not total:
         return cells.withColumn("weight", F.lit(0.0))
+    few = n <= ONE_TASK_CELLS
+    cells = cells.coalesce(1) if few else cells
     for axis in AXES:
         by = Window.partitionBy(f"_{axis}")
         share = F.sum("tokens").over(by) / F.lit(total)
@@ -63,14 +68,15 @@ def rake(cells: DataFrame, tau: dict[str, float], iterations: int,
                     .agg(F.sum(F.when(F.col("s") > 0, F.pow("s", F.lit(tau[axis]))))).first()[0])
             cells = cells.withColumn(f"_t_{axis}", F.when(share > 0, F.pow(share, F.lit(tau[axis])) / F.lit(norm))
                                      .otherwise(F.lit(0.0)))
-    cells = materialise(cells.withColumn("weight", F.col("tokens") / F.lit(total)), "cells")
+    cells = cells.withColumn("weight", F.col("tokens") / F.lit(total))
     for k in range(iterations):
         for axis in AXES:
             now = F.sum("weight").over(Window.partitionBy(f"_{axis}"))
             cells = cells.withColumn("weight", F.when(now > 0, F.col("weight") * F.col(f"_t_{axis}") / now)
                                      .otherwise(F.lit(0.0)))
-        if k % 4 == 3:
-            cells = materialise(cells, "cells")  # keeps the plan short
+        if k % 4 == 3:  # keeps the plan short
+            cells = materialise(cells, "cells")
+            cells = cells.coalesce(1) if few else cells
     return cells
 
 
