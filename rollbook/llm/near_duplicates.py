@@ -10,12 +10,18 @@ components of all links.
    if it is smaller). No text is shuffled.
 2. Documents with equal sets become one representative (partial aggregate on
    the digest, so thousands of copies cost one row).
-3. Inverted lists: each representative enters the lists of its ``probes``
-   smallest retained values. Two sets with similarity s share none of them with
-   a probability of at most (1 - s) ** probes (2.6e-7 at 0.85 and 8 probes).
-   Within a list, overlaps of the retained values and then the union sketch
-   (the k smallest of both together, compared by their high 32 bits) filter the pairs, with a margin
-   that a true pair misses with a probability of about 1e-7.
+3. Inverted lists: the ``PROBES`` smallest retained values of each
+   representative are counted over the corpus, and the representative enters
+   the lists of the rarer half of its own (values that no other document
+   retains use up the half first and have no list). Two sets that share more
+   than half of these values meet in a list, since in one common order of
+   rarity the rarer halves of both cannot miss each other. At similarity 0.85
+   and 32 values fewer are shared with a probability of about 3e-6; smaller
+   sets are retained whole and never miss. Passages that many documents share
+   thus make no candidates unless they are most of a document. Within a list,
+   overlaps of the retained values and then the union sketch (the k smallest of
+   both together, compared by their high 32 bits) filter the pairs, with a
+   margin that a true pair misses with a probability of about 1e-7.
 4. A list does not give out its pairs, only a spanning forest of those that
    pass. The components of these forests are candidate clusters: every true
    link lies within one of them.
@@ -48,7 +54,7 @@ from rollbook.llm.common import materialise, ship
 from rollbook.llm.components import components
 
 K = 64
-PROBES = 8
+PROBES = 32
 #: Share of shared values in the union sketch that a pair must reach to be confirmed on full sets.
 MARGIN = 38 / 64
 BLOCK_ROWS = 1024
@@ -293,8 +299,8 @@ def _block_pairs(df: DataFrame, blocks: Column, own: Column) -> DataFrame:
             .withColumn("bj", F.greatest("_own", "_other").cast("int")).drop("_own", "_other"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, probes: int = PROBES) -> DataFrame:
-    """Groups of near-duplicates; ``probes`` is at most ``PROBES``, ``percent`` at least 85.
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """Groups of near-duplicates; ``percent`` is at least 85 (the candidate margins are made for it).
 
     doc_id, n_shingles, component_id (smallest doc_id of its group), kept (doc_id = component_id) per row."""
     ship(docs.sparkSession)
@@ -306,10 +312,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, probes: int = PROBES) ->
     reps = materialise(reps.select("digest", F.col("r.doc_id").alias("rep"), F.col("r.n").alias("n"),
                                    F.col("r.probes").alias("probes"), F.col("r.sketch").alias("sketch")), "reps")
     # inverted lists of the smallest retained values
-    entries = reps.select("rep", F.explode(F.slice("probes", 1, probes)).alias("value"))
-    lists = (entries.groupBy("value").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    entries = reps.select("rep", F.size("probes").alias("had"), F.explode("probes").alias("value"))
+    common = entries.groupBy("value").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    ranked = entries.join(common, "value").groupBy("rep", "had").agg(
+        F.sort_array(F.collect_list(F.struct("size", "value"))).alias("by_rarity"))  # PROBES values at most
+    half = F.ceil(F.col("had") / 2).cast("int") - (F.col("had") - F.size("by_rarity"))
+    chosen = ranked.select("rep", F.explode(F.slice("by_rarity", 1, F.greatest(half, F.lit(0))).getField("value")).alias("value"))
+    chosen = materialise(chosen, "probes")
+    lists = (chosen.groupBy("value").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
              .withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int")).drop("size"))
-    listed = entries.join(lists, "value").join(reps.select("rep", "n", "sketch"), "rep")
+    listed = chosen.join(lists, "value").join(reps.select("rep", "n", "sketch"), "rep")
     listed = _block_pairs(listed, F.col("blocks"), F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     listed = (listed.select(*_LIST_KEYS, "rep", "n", "sketch").repartition(*_LIST_KEYS)
               .sortWithinPartitions(*_LIST_KEYS))
