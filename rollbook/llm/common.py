@@ -59,3 +59,29 @@ def ship(spark: SparkSession) -> None:
 def words(text: Column) -> Column:
     """The words of a whole text as an array (null or empty text: no words)."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
+
+
+class Remembered(dict):
+    """A bounded table of a worker: at most two generations of ``limit`` entries and a batch.
+
+    When the younger generation is full it becomes the older one; entries that
+    are asked for again move over, so frequent ones stay and rare ones go.
+    """
+
+    def __init__(self, limit: int) -> None:
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def missing(self, keys: set) -> list:
+        """The ``keys`` that neither generation holds; the others are in the younger one afterwards."""
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        older, out = self.older, []
+        for key in keys:
+            if key not in self:
+                if key in older:
+                    self[key] = older[key]
+                else:
+                    out.append(key)
+        return out

@@ -41,12 +41,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rollbook.llm.common import scratch, ship
+from rollbook.llm.common import Remembered, scratch, ship
 
 BLOCK_DOCS = 1024
 BLOCK_BYTES = 4_000_000
 SAMPLE_BYTES = 16_384
-_CACHE_LIMIT = 600_000
+_CACHE_LIMIT = 300_000
 _BLOCKS = ("shard int, block int, dict_hash string, first_doc bigint, last_doc bigint, block_tokens bigint, "
            "doc_ids array<bigint>, n_tokens array<bigint>, offsets array<bigint>, frames binary")
 
@@ -58,14 +58,12 @@ class PartEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.known = Remembered(_CACHE_LIMIT)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > _CACHE_LIMIT:
-            self.known.clear()
         known = self.known
         parts = [t.encode("utf-8", "surrogatepass").split() for t in texts]  # bytes split at \x20 and \x09-\x0D only
-        new = list({p for ps in parts for p in ps if p not in known})
+        new = known.missing(set().union(*parts))
         for k in range(0, len(new), 8192):
             some = new[k:k + 8192]
             encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in some],
@@ -153,9 +151,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         held = 0
         for pdf in batches:
             keys = pdf["doc_id"].astype("Int64")
-            for k in range(0, len(pdf), BLOCK_DOCS):
-                texts = [t if isinstance(t, str) else "" for t in pdf["text"].iloc[k:k + BLOCK_DOCS]]
-                for key, got in zip(keys.iloc[k:k + BLOCK_DOCS], encoder(texts)):
+            for k in range(0, len(pdf), 256):
+                texts = [t if isinstance(t, str) else "" for t in pdf["text"].iloc[k:k + 256]]
+                for key, got in zip(keys.iloc[k:k + 256], encoder(texts)):
                     got += end
                     ids.append(None if key is pd.NA else int(key))
                     counts.append(len(got) // 4)
