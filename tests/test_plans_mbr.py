@@ -5,13 +5,16 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollbook.context import RunContext
 from rollbook.plans.mbr import (
     SNAPSHOT_COLUMNS, certification_percentages, current_rows, history_report, ongoing_programs, run_snapshot,
     summary_formulas,
 )
-from rollbook.sinks.snapshot import FullRefreshNotAllowed, should_snapshot
+from rollbook.sinks.snapshot import (
+    FullRefreshNotAllowed, has_data, read_snapshot, should_snapshot, snapshot_merge,
+)
 from tests.fixtures import mbr_tables
 
 # Friday 2025-12-05 20:00 UTC = 15:00 in New York
@@ -81,7 +84,7 @@ def test_gate():
 
 def test_full_refresh_guard(tables):
     with pytest.raises(FullRefreshNotAllowed):
-        run_snapshot(tables, RunContext.at("2025-12-05 20:00", env="prod", full_refresh=True), "/nonexistent")
+        run_snapshot(tables, RunContext.at("2025-12-05 20:00", full_refresh=True), "/nonexistent")  # not "dev" by default
 
 
 def test_first_run_then_incremental(spark, tables):
@@ -109,6 +112,41 @@ def test_first_run_then_incremental(spark, tables):
     assert snap.filter("snapshot_date = date'2025-10-31'").count() == 1  # other days untouched
 
 
+def test_full_refresh_in_dev_rebuilds_from_the_backfill(spark, tables):
+    target = os.path.join(tempfile.mkdtemp(prefix="rollbook-mbr-"), "snapshot")
+    run_snapshot(tables, FRIDAY, target)
+    run_snapshot(tables, RunContext.at("2025-12-05 20:00", override=True), target)
+    assert spark.read.parquet(target).count() == 2 + 8
+    again = run_snapshot(tables, RunContext.at("2025-12-05 20:00", env="dev", full_refresh=True), target)
+    assert again == {"mode": "full_refresh", "written": True}
+    assert sorted(r.mbr_reference for r in spark.read.parquet(target).collect()) == ["November 2025", "October 2025"]
+
+
+def test_empty_first_run_does_not_break_later_runs(spark, tables):
+    target = os.path.join(tempfile.mkdtemp(prefix="rollbook-mbr-"), "snapshot")
+    early = RunContext.at("2020-01-03 20:00")  # no backfill month lies before it
+    assert run_snapshot(tables, early, target)["mode"] == "initial"
+    assert not has_data(spark, target)
+    assert run_snapshot(tables, FRIDAY, target)["mode"] == "initial"
+    assert spark.read.parquet(target).count() == 2
+
+
+def test_merge_keeps_columns_and_merges_every_day(spark):
+    target = os.path.join(tempfile.mkdtemp(prefix="rollbook-merge-"), "t")
+    schema = "k string, v int, extra double, snapshot_date date"
+    d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
+    key = ["snapshot_date", "k"]
+    snapshot_merge(spark.createDataFrame([("a", 1, 2.5, d1), ("b", 2, 3.5, d1), ("c", 3, 4.5, d2)], schema), target, key)
+    # a batch without ``extra``, with a late row of the first day and a new column
+    late = spark.createDataFrame([("a", 9, d1, "n"), ("d", 4, d2, "n")], "k string, v int, snapshot_date date, note string")
+    assert snapshot_merge(late, target, key) == 4
+    got = {r.k: (r.v, r.extra, r.note) for r in read_snapshot(spark, target).collect()}
+    assert got == {"a": (9, None, "n"), "b": (2, 3.5, None), "c": (3, 4.5, None), "d": (4, None, "n")}
+    with pytest.raises(Exception, match="has no snapshot_date"):
+        snapshot_merge(late.withColumn("snapshot_date", F.lit(None).cast("date")), target, key)
+    assert read_snapshot(spark, target).count() == 4
+
+
 def test_review_queries(spark, tables):
     ongoing = sorted((r.program_code, r.country) for r in ongoing_programs(tables.ref("mbr_summary")).collect())
     assert ongoing == [("PX", "USA")]

@@ -14,7 +14,7 @@ from rollbook.operators.grid import expand_date_range
 from rollbook.operators.status import phase_bucket
 from rollbook.operators.weeks import week_spine
 from rollbook.plans.bronze import bronze_extract, host_dim, latest_batch, valid_meetings
-from rollbook.quality import Check, ContractError, conform, format_check, not_null, run_checks, unique
+from rollbook.quality import Check, ContractError, append_log, conform, format_check, not_null, run_checks, unique
 
 
 def test_format_check_reasons(spark):
@@ -160,3 +160,20 @@ def test_json_query_subdocuments(spark):
     assert row.questions == '[{"q":1}]'
     with pytest.raises(ValueError):
         Check("x", lambda: landing, quality_dimension="speed")
+
+
+def test_row_checks_share_a_scan_with_where_and_context(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("b", None, None)], "g string, n int, t string")
+    checks = [Check("t_known", rows=df, broken=F.col("t").isNull(), column="t", quality_dimension="completeness",
+                    where="g = 'a'", context=["n"]),
+              Check("n_known", rows=df, broken=F.col("n").isNull(), column="n", unit="percent", warn_if=">50"),
+              Check("g_known", rows=df, broken=F.col("g").isNull())]
+    assert [tuple(r) for r in checks[0].failures().collect()] == [(1,)]
+    got = {r.test_name: (r.failures, r.status) for r in run_checks(checks).collect()}
+    assert got == {"t_known": (1, "warn"), "n_known": (1, "warn"), "g_known": (0, "pass")}
+    log = str(tmp_path / "log")
+    for run in ("r1", "r2"):
+        append_log(run_checks(checks), log, run, F.lit(dt.datetime(2025, 1, 1)))
+    assert spark.read.parquet(log).groupBy("run_id").count().count() == 2 and spark.read.parquet(log).count() == 6
+    with pytest.raises(ValueError):
+        Check("neither")
