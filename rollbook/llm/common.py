@@ -72,9 +72,9 @@ class Remembered(dict):
         super().__init__()
         self.limit, self.older = limit, {}
 
-    def missing(self, keys: set) -> list:
+    def missing(self, keys: set, same_batch: bool = False) -> list:
         """The ``keys`` that neither generation holds; the others are in the younger one afterwards."""
-        if len(self) > self.limit:
+        if len(self) > self.limit and not same_batch:
             self.older = dict(self)
             self.clear()
         older, out = self.older, []

@@ -21,8 +21,9 @@ encoded in one pass behind one range shuffle on doc_id.
 
 Texts are encoded with the tokenizers library. The vocabulary's normaliser
 turns every white space into a token boundary and composes no character across
-one, so a text's ids are those of its blank-separated parts one after another;
-each worker keeps the ids of parts it has met in a bounded table.
+one, so a text's ids are those of its blank-separated parts one after another
+(and a part's those of its word and of the stops behind it); each worker keeps
+the ids of parts it has met in a bounded table.
 
 Defined results: null and empty texts have the end id alone; null doc_ids come
 first; rows that share a doc_id are ordered by a hash of their text; equal rows
@@ -62,16 +63,35 @@ class PartEncoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         known = self.known
-        parts = [t.encode("utf-8", "surrogatepass").split() for t in texts]  # bytes split at \x20 and \x09-\x0D only
-        new = known.missing(set().union(*parts))
-        for k in range(0, len(new), 8192):
-            some = new[k:k + 8192]
-            encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in some],
-                                                       add_special_tokens=False)
-            for p, e in zip(some, encoded):
-                known[p] = np.array(e.ids, dtype="<u4").tobytes()
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        # bytes: only \x20 and \x09-\x0D split, only A-Z fold (the vocabulary folds case itself; a text with the
+        # mark of a special token is left as it is, since those are matched before folding)
+        parts = [(r if b"<|" in r else r.lower()).split() for r in raw]
+        made = {p: self._stem(p) for p in known.missing(set().union(*parts))}
+        units = known.missing({u for pair in made.values() for u in pair}, same_batch=True)
+        for k in range(0, len(units), 16384):
+            self._encode(units[k:k + 16384])
+        for p, (stem, tail) in made.items():
+            known[p] = known[stem] + known[tail] if tail else known[stem]
         return [b"".join([known[p] for p in ps]) for ps in parts]
 
+    @staticmethod
+    def _stem(part: bytes) -> tuple[bytes, ...]:
+        """A word and the stops behind it: letters and stops never share a token of the vocabulary's pattern."""
+        stem = part.rstrip(b".,")
+        if len(stem) < len(part) and stem and stem.decode("utf-8", "replace")[-1].isalpha():
+            return stem, part[len(stem):]
+        return part, b""
+
+    def _encode(self, units: list[bytes]) -> None:
+        """Ids of separate units in one call; word_ids tell which unit an id belongs to."""
+        got = self.tokenizer.encode([u.decode("utf-8", "replace") for u in units], is_pretokenized=True,
+                                    add_special_tokens=False)
+        cut = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(units) + 1)) * 4
+        ids, cut = np.array(got.ids, "<u4").tobytes(), cut.tolist()
+        for unit, start, end in zip(units, cut, cut[1:]):
+            self.known[unit] = ids[start:end]
+
 
 def _serial() -> None:
     import os
