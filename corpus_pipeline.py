@@ -37,10 +37,9 @@ def blend(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each whole text; their digest and that of the decoded bytes."""
-    encode, decode = byte_bpe.encoder(*bpe_files()), byte_bpe.decoder(*bpe_files())
-    ids = docs.select("doc_id", "lang", "source", encode("text").alias("ids"))
-    return ids.select("doc_id", "lang", "source", byte_bpe.n_ids(F.col("ids")).alias("n_tokens"),
-                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decode("ids"), 256).alias("decoded_sha256"))
+    bpe = docs.select("doc_id", "lang", "source", byte_bpe.round_trip(*bpe_files())("text").alias("bpe"))
+    return bpe.select("doc_id", "lang", "source", byte_bpe.n_ids(F.col("bpe.ids")).alias("n_tokens"),
+                      F.sha2("bpe.ids", 256).alias("ids_sha256"), F.sha2("bpe.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality classifier", classify), ("quality rules", rules), ("near-duplicates", deduplicate),

@@ -30,9 +30,11 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import ship
+from rollbook.llm.common import Remembered, ship
 
-_CACHE_LIMIT = 600_000
+#: Pieces of a generation that a worker keeps encoded (some 60 MB), and texts that are replayed at once.
+_CACHE_LIMIT = 300_000
+_TEXTS = 256
 
 
 class Vocabulary:
@@ -61,7 +63,7 @@ class Vocabulary:
             if len(t) == 2:
                 self.of_bytes[t[0] * 256 + t[1]] = rank
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(_CACHE_LIMIT)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Vocabulary:
@@ -105,8 +107,9 @@ class Vocabulary:
             places = index[rank]
             if places is None:
                 continue
-            places.sort()
-            for i in places:
+            if len(places) > 1:
+                places.sort()
+            for i in places:  # left to right, for pairs that overlap
                 if at[i] != rank:
                     continue  # a neighbour's merge took one side
                 j = nxt[i]
@@ -172,11 +175,9 @@ class Vocabulary:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > _CACHE_LIMIT:
-            self.known.clear()
         known, split, out = self.known, self.split, []
         pieces = [split(t) for t in texts]
-        new = list({p for ps in pieces for p in ps if p not in known})
+        new = known.missing(set().union(*pieces))
         raw = [p.encode("utf-8", "surrogatepass") for p in new]
         whole = [self.tokens.get(r) for r in raw]  # a piece that is a token is taken as it is
         gc.disable()  # the index is many small lists, none of them in a cycle
@@ -195,6 +196,13 @@ class Vocabulary:
         return b"".join([text[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
+def _encode_all(vocabulary: Vocabulary, texts: pd.Series) -> list[bytes]:
+    got: list[bytes] = []
+    for k in range(0, len(texts), _TEXTS):
+        got += vocabulary.encode([t if isinstance(t, str) else "" for t in texts.iloc[k:k + _TEXTS]])
+    return got
+
+
 def encoder(path: str, pattern: str):
     """Column function: text to binary ids (little-endian unsigned 32-bit; null: empty)."""
     ship(SparkSession.getActiveSession())
@@ -203,15 +211,26 @@ def encoder(path: str, pattern: str):
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocabulary = Vocabulary.load(path, pattern)
         for texts in parts:
-            got: list[bytes] = []
-            values = [t if isinstance(t, str) else "" for t in texts]
-            for k in range(0, len(values), 1024):
-                got += vocabulary.encode(values[k:k + 1024])
-            yield pd.Series(got, dtype=object)
+            yield pd.Series(_encode_all(vocabulary, texts), dtype=object)
 
     return encode
 
 
+def round_trip(path: str, pattern: str):
+    """Column function: text to a struct of its ids and of the bytes decoded from them, in one worker."""
+    ship(SparkSession.getActiveSession())
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        vocabulary = Vocabulary.load(path, pattern)
+        for texts in parts:
+            ids = _encode_all(vocabulary, texts)
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object),
+                                "decoded": pd.Series([vocabulary.decode(x) for x in ids], dtype=object)})
+
+    return run
+
+
 def decoder(path: str, pattern: str):
     """Column function: binary ids to the text's bytes."""
     ship(SparkSession.getActiveSession())

@@ -84,11 +84,9 @@ def bpe_files() -> tuple[str, str]:
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    encode, decode = byte_bpe.encoder(*bpe_files()), byte_bpe.decoder(*bpe_files())
-    ids = docs.select("doc_id", encode("text").alias("ids"))
-    return ids.select("doc_id", byte_bpe.n_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                      F.sha2(decode("ids"), 256).alias("decoded_sha256"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", byte_bpe.round_trip(*bpe_files())("text").alias("bpe"))
+    return docs.select("doc_id", byte_bpe.n_ids(F.col("bpe.ids")).alias("n_tokens"),
+                       F.sha2("bpe.ids", 256).alias("ids_sha256"), F.sha2("bpe.decoded", 256).alias("decoded_sha256"))
 
 
 def op9_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
