@@ -3,9 +3,9 @@
 Calls (conv_id, call_id, name, arguments, depends_on, turn) and results
 (call_id, content, turn) are linked by a hash join on the identifier. Calls are
 ordered topologically: level 0 depends on nothing, any other call stands one
-level above its highest dependency; each round settles the calls whose
-dependencies are settled (keyed joins on call_id, never a group per
-conversation). Arguments are parsed and checked against the tool's schema
+level above its highest dependency. Runs of single dependencies are contracted by
+pointer doubling, then each round settles the calls whose dependencies are
+settled (keyed joins on call_id, never a group per conversation). Arguments are parsed and checked against the tool's schema
 (required names, types, no unknown names unless the schema allows them). Each
 call becomes one canonical JSON record: keys sorted, no blanks, arguments with
 sorted keys; (conv_id, level, turn, call_id) is the order of a chat's records.
@@ -38,8 +38,33 @@ def _firsts(rows: DataFrame, key: str, order: list[str], count: str) -> DataFram
     return got.select(key, *(F.col(f"_r.{c}").alias(c) for c in rest), count)
 
 
-def levels(calls: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """(call_id, level, missing_dependencies) for calls with ``depends_on`` (array of call ids or null)."""
+def _chains(single: DataFrame) -> DataFrame:
+    """(call_id, head, dist): the first call above a run of single dependencies, by pointer doubling.
+
+    ``single``: (call_id, on), one dependency a call. The rounds grow with the
+    logarithm of the longest run; heads of cycles are calls of the run itself.
+    """
+    cur = materialise(single.select("call_id", F.col("on").alias("head"), F.lit(1).cast("bigint").alias("dist")), "chains")
+    rounds = cur.count().bit_length() + 1
+    for _ in range(rounds):
+        above = cur.select(F.col("call_id").alias("head"), F.col("head").alias("_up"), F.col("dist").alias("_more"))
+        step = cur.join(above, "head", "left")
+        cur = materialise(step.select("call_id", F.coalesce("_up", "head").alias("head"),
+                                      (F.col("dist") + F.coalesce("_more", F.lit(0))).alias("dist"),
+                                      F.col("_up").isNotNull().alias("_moved")), "chains")
+        moved, cur = cur.filter("_moved"), cur.drop("_moved")
+        if moved.isEmpty():
+            break
+    return cur
+
+
+def levels(calls: DataFrame) -> DataFrame:
+    """(call_id, level, missing_dependencies) for calls with ``depends_on`` (array of call ids or null).
+
+    Runs of calls with a single dependency are contracted to their heads first,
+    so a conversation of thousands of turns takes a few rounds; the remaining
+    rounds are as many as there are layers of calls with several dependencies.
+    """
     ids = calls.select("call_id")
     wanted = calls.select("call_id", F.explode(F.array_distinct(
         F.filter(F.coalesce("depends_on", F.array().cast("array<string>")), lambda d: d.isNotNull()))).alias("on"))
@@ -47,20 +72,28 @@ def levels(calls: DataFrame, max_rounds: int | None = None) -> DataFrame:
     links = materialise(known, "call-links")
     missing = links.filter("_known IS NULL").groupBy("call_id").agg(F.count(F.lit(1)).alias("missing_dependencies"))
     links = links.filter("_known").select("call_id", "on")
-    open_ = links.select("call_id").distinct()
-    settled = materialise(ids.join(open_, "call_id", "left_anti").withColumn("level", F.lit(0)), "call-level")
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        rounds += 1
-        ready = (links.join(settled.select(F.col("call_id").alias("on"), "level"), "on", "left")
-                 .groupBy("call_id").agg(F.max("level").alias("_top"), F.count_if(F.col("level").isNull()).alias("_open"))
-                 .filter("_open = 0").join(settled, "call_id", "left_anti")
-                 .select("call_id", (F.col("_top") + 1).alias("level")))
+    degree = links.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min("on").alias("on"))
+    degree = materialise(degree, "call-degree")
+    chains = _chains(degree.filter("n = 1"))
+    several = links.join(degree.filter("n > 1").select("call_id"), "call_id", "left_semi")
+    several = several.join(chains.select(F.col("call_id").alias("on"), "head", "dist"), "on", "left")
+    several = materialise(several.select("call_id", F.coalesce("head", "on").alias("on"),
+                                         F.coalesce("dist", F.lit(0)).alias("dist")), "call-several")
+    settled = ids.join(degree.select("call_id"), "call_id", "left_anti").withColumn("level", F.lit(0).cast("bigint"))
+    settled = materialise(settled, "call-level")
+    while not several.isEmpty():
+        ready = (several.join(settled.select(F.col("call_id").alias("on"), "level"), "on", "left")
+                 .groupBy("call_id").agg(F.max(F.col("level") + F.col("dist")).alias("_top"),
+                                         F.count_if(F.col("level").isNull()).alias("_open"))
+                 .filter("_open = 0").select("call_id", (F.col("_top") + 1).alias("level")))
         ready = materialise(ready, "call-ready")
         if ready.isEmpty():
-            break
+            break  # what is left stands on a cycle
         settled = materialise(settled.unionByName(ready), "call-level")
-    return (ids.join(settled, "call_id", "left").join(missing, "call_id", "left")
+        several = materialise(several.join(ready.select("call_id"), "call_id", "left_anti"), "call-several")
+    run = chains.join(settled.select(F.col("call_id").alias("head"), "level"), "head")
+    every = settled.unionByName(run.select("call_id", (F.col("level") + F.col("dist")).alias("level")))
+    return (ids.join(every, "call_id", "left").join(missing, "call_id", "left")
             .withColumn("missing_dependencies", F.coalesce("missing_dependencies", F.lit(0).cast("bigint"))))
 
 

@@ -105,6 +105,16 @@ def test_tool_calls_order_validate_and_serialise(spark):
     assert tool_calls.link_calls(calls.limit(0), results.limit(0), schema).count() == 0
 
 
+def test_levels_of_long_chains_layers_and_cycles(spark):
+    rows = [(f"c{i}", [f"c{i - 1}"] if i else None) for i in range(300)]
+    rows += [("m1", ["c299", "c5"]), ("m2", ["m1", "c0"]), ("m3", ["m2"]), ("m4", ["m3", "m2", "m2"])]
+    rows += [("x", ["y"]), ("y", ["z"]), ("z", ["x"]), ("above", ["x", "c1"]), ("top", ["above"]), ("self", ["self"])]
+    frame = spark.createDataFrame(rows, "call_id string, depends_on array<string>")
+    got = {r.call_id: r.level for r in tool_calls.levels(frame).collect()}
+    want = {f"c{i}": i for i in range(300)} | {"m1": 300, "m2": 301, "m3": 302, "m4": 303}
+    assert got == want | dict.fromkeys(("x", "y", "z", "above", "top", "self"))
+
+
 # ------------------------------------------------------------------ 3 mixing
 
 def test_mix_meets_its_marginals(spark, docs):
