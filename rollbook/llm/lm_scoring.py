@@ -21,6 +21,11 @@ The bigram table grows with the corpus, so it is never broadcast:
    word or passage weighs no more than a rare one.
 4. The chunk's documents look their tokens up in the answers.
 
+Only the word classes are written; counts and answers live in shuffles (the
+word classes dealt to chunks are shuffled once for both), and the counting is
+done twice, for the class sums and for the bigrams, which costs less than
+writing the counts.
+
 Unigram and context counts per class (``CLASSES`` numbers) are the only tables
 that every task gets; their size is fixed.
 
@@ -43,7 +48,7 @@ from rollbook.llm.common import materialise, ship
 
 CLASSES = 1 << 16
 RANGES = 4096
-CHUNK_DOCS = 4096
+CHUNK_DOCS = 8192
 _CACHE_LIMIT = 500_000
 #: Class 0 stands before the first word; words have classes from 1.
 START = 0
@@ -103,18 +108,29 @@ def _cuts(ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(ranges))
 
 
+def _pack(counts: np.ndarray) -> bytes:
+    """Counts as bytes: one a count if all fit, else four."""
+    return (counts.astype(np.uint8) if counts.max(initial=0) < 256 else counts.astype(np.uint32)).tobytes()
+
+
+def _unpack(packed, keys) -> np.ndarray:
+    """The counts of several blobs in a row (``keys``: their key blobs, four bytes a key)."""
+    each = [np.frombuffer(c, np.uint8 if 4 * len(c) == len(k) else np.uint32) for c, k in zip(packed, keys)]
+    return np.concatenate(each) if each else np.zeros(0)
+
+
 def _count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """A chunk's distinct bigrams with background and target counts, packed by range."""
     keys, sizes = bigrams(list(left["tokens"]))
     target = np.repeat(left["doc_id"].isin(right["target"]).to_numpy(), sizes)
     unique, place, ranges = _distinct(keys)
-    back = np.bincount(place, minlength=len(unique)).astype(np.uint32)
-    aim = np.bincount(place[target], minlength=len(unique)).astype(np.uint32)
+    back = np.bincount(place, minlength=len(unique))
+    aim = np.bincount(place[target], minlength=len(unique))
     first, last = _cuts(ranges)
-    cut = lambda a: [a[s:e].tobytes() for s, e in zip(first, last)]
+    cut = lambda a, to_bytes: [to_bytes(a[s:e]) for s, e in zip(first, last)]
     chunk = int(left["chunk"].iloc[0]) if len(left) else 0
     return pd.DataFrame({"chunk": np.full(len(first), chunk, np.int64), "range": ranges[first].astype(np.int32),
-                         "keys": cut(unique), "back": cut(back), "aim": cut(aim)})
+                         "keys": cut(unique, np.ndarray.tobytes), "back": cut(back, _pack), "aim": cut(aim, _pack)})
 
 
 _COUNTS = "chunk bigint, range int, keys binary, back binary, aim binary"
@@ -128,7 +144,7 @@ def _unigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             keys = np.frombuffer(b"".join(pdf["keys"]), np.uint32)
             first, second = keys >> np.uint32(16), keys & np.uint32(0xFFFF)
             for r, name in ((0, "back"), (2, "aim")):
-                counts = np.frombuffer(b"".join(pdf[name]), np.uint32)
+                counts = _unpack(pdf[name], pdf["keys"])
                 total[r] += np.bincount(first, weights=counts, minlength=CLASSES).astype(np.int64)
                 total[r + 1] += np.bincount(second, weights=counts, minlength=CLASSES).astype(np.int64)
     used = np.flatnonzero(total.any(axis=0))
@@ -149,7 +165,7 @@ def _answer(sums, mu: float):
         first, second = unique >> np.uint32(16), unique & np.uint32(0xFFFF)
         losses = []
         for r, name in ((0, "back"), (2, "aim")):
-            counts = np.frombuffer(b"".join(pdf[name]), np.uint32)
+            counts = _unpack(pdf[name], pdf["keys"])
             pair = np.bincount(inverse, weights=counts, minlength=len(unique))
             losses.append(loss(pair, total[r][first], total[r + 1][second], int(total[r + 1].sum()), mu))
         diff = (losses[1] - losses[0]).astype(np.float32)[inverse].tobytes()
@@ -186,14 +202,12 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, mu: float = 50
     named = targets.select(F.col("doc_id").cast("bigint").alias("target")).filter("target IS NOT NULL").distinct()
     named = named.select(F.pmod(F.xxhash64("target"), F.lit(chunks)).alias("chunk"), "target")
     counts = dealt.groupBy("chunk").cogroup(named.groupBy("chunk")).applyInPandas(_count, _COUNTS)
-    counts = materialise(counts, "bigrams")
     sums = np.zeros((4, CLASSES), np.int64)
     dense = (counts.select("keys", "back", "aim").mapInPandas(_unigrams, "class int, c0 bigint, c1 bigint, c2 bigint, c3 bigint")
              .groupBy("class").agg(*(F.sum(f"c{r}").alias(f"c{r}") for r in range(4))).toPandas())  # CLASSES rows at most
     for r in range(4):
         sums[r, dense["class"].to_numpy(np.int64)] = dense[f"c{r}"].to_numpy(np.int64)
     shared = spark.sparkContext.broadcast(sums)
-    answers = materialise(counts.groupBy("range").applyInPandas(_answer(shared, mu), "chunk bigint, range int, diff binary"),
-                          "answers")
+    answers = counts.groupBy("range").applyInPandas(_answer(shared, mu), "chunk bigint, range int, diff binary")
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         _score, "doc_id bigint, n_tokens bigint, ce_difference double")
