@@ -1,33 +1,29 @@
 """Cross-entropy difference of documents under matched target and background n-gram models.
 
-Both models are bigram models with the same shared vocabulary (``CLASSES``
-word classes by hash; ASCII letters folded), the same smoothing (a Dirichlet
-prior of weight ``mu`` on the unigram model, which is smoothed by one) and the
-same counting; the background is the whole corpus, the target the documents
-that a table of ids names. A document's score is the mean over its tokens of
-target loss minus background loss (in nats): low means near the target.
-
-The bigram table grows with the corpus, so it is never broadcast:
-
-1. One pass over whole texts writes each document's word classes (two bytes a
-   word); only these are shuffled from here on.
-2. Documents are dealt to chunks of about ``CHUNK_DOCS``. A chunk counts its
-   distinct bigrams for background and target and sends them, packed, to
-   ``RANGES`` hash ranges of the bigram space.
+Both models are bigram models with the same shared vocabulary (every distinct
+word, keyed by a 64-bit hash; ASCII letters folded), the same smoothing (a
+Dirichlet prior of weight ``mu`` on the unigram model, which is smoothed by one
+over the corpus's distinct words, ``CLASSES`` at least) and the same counting;
+the background is the whole corpus, the target the documents that a table of
+ids names. A document's score is the mean over its tokens of target loss minus
+background loss (in nats): low means near the target.
+
+The word and bigram tables grow with the corpus, so none is broadcast:
+
+1. One pass over whole texts writes chunks of documents in input order, at most
+   ``CHUNK_DOCS`` of them and about ``CHUNK_TOKENS`` tokens: the chunk's words (eight bytes
+   each) and the documents' tokens as places among them. Only these are
+   shuffled from here on. Ids play no part, so null or repeated ones do not
+   gather in a chunk.
+2. A chunk counts its distinct bigrams and words for background and target and
+   sends them, packed, to ``RANGES`` hash ranges of the 64-bit keys.
 3. A range adds up the counts of all chunks, which gives the exact corpus
-   counts, computes each bigram's loss difference once and answers each chunk
-   with the differences of the bigrams that it asked about, in its order. The
-   answers to a bigram of any frequency are one number per chunk, so a frequent
-   word or passage weighs no more than a rare one.
-4. The chunk's documents look their tokens up in the answers.
+   counts, and answers each chunk with the counts of the keys that it asked
+   about, in its order. The answers to a key of any frequency are one entry per
+   chunk, so a frequent word or passage weighs no more than a rare one.
+4. The chunk computes the losses of its documents' tokens from the answers.
 
-Only the word classes are written; counts and answers live in shuffles (the
-word classes dealt to chunks are shuffled once for both), and the counting is
-done twice, for the class sums and for the bigrams, which costs less than
-writing the counts.
-
-Unigram and context counts per class (``CLASSES`` numbers) are the only tables
-that every task gets; their size is fixed.
+The driver gets five numbers (tokens and documents of both models, distinct words).
 
 Defined results: null, empty and wordless texts have no tokens and a null
 score; an empty target gives the uniform target model; null document ids score
@@ -41,173 +37,263 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import materialise, ship
 
+#: Least size of the vocabulary that the unigram model is smoothed over.
 CLASSES = 1 << 16
 RANGES = 4096
 CHUNK_DOCS = 8192
-_CACHE_LIMIT = 500_000
-#: Class 0 stands before the first word; words have classes from 1.
+CHUNK_TOKENS = 2 << 20
+#: Stands before the first word; words have keys from 1.
 START = 0
+#: Odd factors that make the keys of bigrams and words out of word keys.
+_PAIR, _WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_SHIFT = np.uint64(52)
+_WIDE = 0xFFFF
 
 
 class _WordClass(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        got = self[word] = 1 + xxhash.xxh3_64_intdigest(word) % (CLASSES - 1)
+        got = self[word] = xxhash.xxh3_64_intdigest(word) or 1
+        return got
+
+
+class _Place(dict):
+    def __missing__(self, word: bytes) -> int:
+        got = self[word] = len(self)
         return got
 
 
+def _split(text) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split() if isinstance(text, str) else []
+
+
 def word_classes(text, known: _WordClass) -> np.ndarray:
-    """Word classes of a whole text."""
-    found = text.encode("utf-8", "surrogatepass").lower().split() if isinstance(text, str) else []
-    return np.fromiter(map(known.__getitem__, found), np.uint16, len(found))
+    """Word keys of a whole text."""
+    found = _split(text)
+    return np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
 
 
-def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known = _WordClass()
-    for pdf in batches:
-        if len(known) > _CACHE_LIMIT:
-            known.clear()
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "part": pdf["part"],
-                            "tokens": [word_classes(t, known).tobytes() for t in pdf["text"]]})
+_CHUNKS = "chunk bigint, ids binary, nulls binary, sizes binary, tokens binary, words binary"
 
 
-def range_of(keys: np.ndarray) -> np.ndarray:
-    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52)).astype(np.int64) % RANGES
+def _chunks(chunk_docs: int):
+    """Chunks of documents: ids, token counts, places of the tokens among the chunk's words, keys of the words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
+        chunk = TaskContext.get().partitionId() << 32
+        known, ids, tokens, total = _Place(), [], [], 0
+
+        def row() -> pa.RecordBatch:
+            places = np.concatenate(tokens)
+            far = places[places >= _WIDE]  # words in order of appearance: places of frequent ones are small
+            words = np.fromiter((xxhash.xxh3_64_intdigest(w) or 1 for w in known), np.uint64, len(known))
+            blobs = {"ids": np.array([i or 0 for i in ids], np.int64), "nulls": np.array([i is None for i in ids]),
+                     "sizes": np.array([len(t) for t in tokens], np.int64)}
+            made = {"chunk": pa.array([chunk], pa.int64()), **{k: pa.array([v.tobytes()], pa.binary()) for k, v in blobs.items()}}
+            made["tokens"] = pa.array([np.minimum(places, _WIDE).astype(np.uint16).tobytes() + far.tobytes()], pa.binary())
+            made["words"] = pa.array([words.tobytes()], pa.binary())
+            return pa.RecordBatch.from_pydict(made)
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                found = _split(text.as_py())
+                ids.append(doc_id)
+                tokens.append(np.fromiter(map(known.__getitem__, found), np.uint32, len(found)))
+                total += len(found)
+                if len(ids) >= chunk_docs or total >= CHUNK_TOKENS:
+                    yield row()
+                    chunk += 1
+                    known, ids, tokens, total = _Place(), [], [], 0
+        if ids:
+            yield row()
 
-def bigrams(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bigram keys (first class * 2**16 + second) of all documents in a row, and each document's token count."""
-    each = [np.frombuffer(t, np.uint16) for t in tokens]
-    sizes = np.array([len(t) for t in each], np.int64)
-    flat = np.concatenate(each) if each else np.zeros(0, np.uint16)
-    before = np.empty_like(flat)
-    before[1:] = flat[:-1]
-    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-    before[starts] = START
-    return before.astype(np.uint32) << np.uint32(16) | flat, sizes
+    return run
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys ordered by (range, key), the place of each key among them, and their ranges."""
-    unique, inverse = np.unique(keys, return_inverse=True)
-    ranges = range_of(unique)
-    order = np.argsort(ranges, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return unique[order], place[inverse], ranges[order]
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of the chunks: chunk, id and token count."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            ids, sizes = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["sizes"], np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "chunk": pa.array(np.full(len(ids), r["chunk"], np.int64)),
+                "doc_id": pa.array(ids, mask=np.frombuffer(r["nulls"], bool)), "n": pa.array(sizes)})
+
 
+def _word_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for words in batch.column("words").to_pylist():
+            keys = np.unique(np.frombuffer(words, np.uint64))
+            first, last, ranges = _cuts(keys)
+            yield pa.RecordBatch.from_pydict({
+                "range": pa.array(ranges), "keys": pa.array([keys[s:e].tobytes() for s, e in zip(first, last)], pa.binary())})
 
-def _cuts(ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def _distinct_words(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"n": [len(np.unique(np.frombuffer(b"".join(pdf["keys"]), np.uint64)))]})
+
+
+def _cuts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last place of each range in sorted keys, and the ranges."""
+    ranges = (keys >> _SHIFT).astype(np.int32)
     first = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])) if len(ranges) else np.zeros(0, np.int64)
-    return first, np.append(first[1:], len(ranges))
+    return first, np.append(first[1:], len(ranges)) if len(ranges) else first, ranges[first]
 
 
 def _pack(counts: np.ndarray) -> bytes:
-    """Counts as bytes: one a count if all fit, else four."""
-    return (counts.astype(np.uint8) if counts.max(initial=0) < 256 else counts.astype(np.uint32)).tobytes()
+    """Counts as bytes, one each; those that do not fit follow with eight."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype(np.int64).tobytes()
+
+
+def _unpack(packed, sizes) -> np.ndarray:
+    """The four counts a key of several blobs in a row; ``sizes``: keys of each blob."""
+    out = []
+    for blob, n in zip(packed, sizes):
+        counts = np.frombuffer(blob, np.uint8, 4 * n).astype(np.int64)
+        counts[counts == 255] = np.frombuffer(blob[4 * n:], np.int64)
+        out.append(counts.reshape(4, n))
+    return np.concatenate(out, axis=1) if out else np.zeros((4, 0), np.int64)
+
+
+def _pack_keys(keys: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[int, list[bytes]]:
+    """Sorted keys as steps within their range (52 bits at most), six or seven bytes each."""
+    steps = np.diff(keys, prepend=keys[:1])
+    steps[first] = keys[first] & np.uint64((1 << 52) - 1)
+    width = 6 if not len(steps) or steps.max() < 1 << 48 else 7
+    flat = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width])
+    return width, [flat[s:e].tobytes() for s, e in zip(first, last)]
+
+
+def _unpack_keys(blobs, widths) -> tuple[np.ndarray, np.ndarray]:
+    """The keys (without their range) of several blobs in a row, and how many each blob has."""
+    out = []
+    for blob, width in zip(blobs, widths):
+        steps = np.zeros((len(blob) // width, 8), np.uint8)
+        steps[:, :width] = np.frombuffer(blob, np.uint8).reshape(-1, width)
+        out.append(np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64))
+    return np.concatenate(out), np.array([len(k) for k in out], np.int64)
+
+
+class _Chunk:
+    """A chunk's documents, tokens and distinct keys.
+
+    ``places``, ``before``: of each token and of the one before it among the
+    words (-1 at a document's start); ``pair``: its bigram among the distinct
+    ones; ``keys``: distinct bigrams and words, sorted; ``order``: their places
+    in the row of bigrams and words.
+    """
+
+    def __init__(self, row) -> None:
+        self.ids = np.frombuffer(row["ids"], np.int64)
+        self.nulls = np.frombuffer(row["nulls"], bool)
+        self.sizes = np.frombuffer(row["sizes"], np.int64)
+        n = int(self.sizes.sum())
+        self.places = np.frombuffer(row["tokens"], np.uint16, n).astype(np.int32)
+        self.places[self.places == _WIDE] = np.frombuffer(row["tokens"][2 * n:], np.uint32)
+        self.ends = np.cumsum(self.sizes)
+        full = self.sizes > 0
+        self.last = self.ends[full] - 1
+        self.before = np.empty_like(self.places)
+        self.before[1:] = self.places[:-1]
+        self.before[(self.ends - self.sizes)[full]] = -1
+        words = np.frombuffer(row["words"], np.uint64)
+        self.n_words = len(words)
+        ahead = np.append(words, np.uint64(START))  # -1: the last entry
+        pairs, self.pair = np.unique(ahead[self.before] * _PAIR + words[self.places], return_inverse=True)
+        self.n_pairs = len(pairs)
+        keys = np.concatenate([pairs, words * _WORD])
+        self.order = np.argsort(keys, kind="stable")
+        self.keys = keys[self.order]
+
+
+_COUNTS = "chunk bigint, range int, width int, keys binary, counts binary"
 
 
-def _unpack(packed, keys) -> np.ndarray:
-    """The counts of several blobs in a row (``keys``: their key blobs, four bytes a key)."""
-    each = [np.frombuffer(c, np.uint8 if 4 * len(c) == len(k) else np.uint32) for c, k in zip(packed, keys)]
-    return np.concatenate(each) if each else np.zeros(0)
+def _count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """A chunk's distinct bigrams and words with their counts, packed by range.
+
+    Four counts a key: occurrences in background and target; of a word also as a document's last.
+    """
+    chunk = _Chunk(left.iloc[0])
+    aim = np.isin(chunk.ids, right["target"].to_numpy(np.int64)) & ~chunk.nulls
+    counts = np.zeros((4, len(chunk.keys)), np.int64)
+    for r, of, last in ((0, slice(None), slice(None)), (1, np.repeat(aim, chunk.sizes), aim[chunk.sizes > 0])):
+        counts[r, :chunk.n_pairs] = np.bincount(chunk.pair[of], minlength=chunk.n_pairs)
+        counts[r, chunk.n_pairs:] = np.bincount(chunk.places[of], minlength=chunk.n_words)
+        counts[r + 2, chunk.n_pairs:] = np.bincount(chunk.places[chunk.last[last]], minlength=chunk.n_words)
+    counts = counts[:, chunk.order]
+    first, last, ranges = _cuts(chunk.keys)
+    width, keys = _pack_keys(chunk.keys, first, last)
+    return pd.DataFrame({"chunk": np.full(len(first), left["chunk"].iloc[0], np.int64), "range": ranges,
+                         "width": np.full(len(first), width, np.int32), "keys": keys,
+                         "counts": [_pack(counts[:, s:e].ravel()) for s, e in zip(first, last)]})
+
+
+def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Corpus counts of the keys that each chunk sent."""
+    keys, sizes = _unpack_keys(pdf["keys"], pdf["width"])
+    unique, inverse = np.unique(keys, return_inverse=True)
+    counts = _unpack(pdf["counts"], sizes)
+    total = np.stack([np.bincount(inverse, weights=c, minlength=len(unique)).astype(np.int64) for c in counts])
+    ends = np.cumsum(sizes)
+    return pd.DataFrame({"chunk": pdf["chunk"], "range": pdf["range"], "counts": [
+        _pack(total[:, inverse[s:e]].ravel()) for s, e in zip(ends - sizes, ends)]})
 
 
-def _count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """A chunk's distinct bigrams with background and target counts, packed by range."""
-    keys, sizes = bigrams(list(left["tokens"]))
-    target = np.repeat(left["doc_id"].isin(right["target"]).to_numpy(), sizes)
-    unique, place, ranges = _distinct(keys)
-    back = np.bincount(place, minlength=len(unique))
-    aim = np.bincount(place[target], minlength=len(unique))
-    first, last = _cuts(ranges)
-    cut = lambda a, to_bytes: [to_bytes(a[s:e]) for s, e in zip(first, last)]
-    chunk = int(left["chunk"].iloc[0]) if len(left) else 0
-    return pd.DataFrame({"chunk": np.full(len(first), chunk, np.int64), "range": ranges[first].astype(np.int32),
-                         "keys": cut(unique, np.ndarray.tobytes), "back": cut(back, _pack), "aim": cut(aim, _pack)})
-
-
-_COUNTS = "chunk bigint, range int, keys binary, back binary, aim binary"
-
-
-def _unigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Context and word counts of both models from the chunks' counts, one dense row per task."""
-    total = np.zeros((4, CLASSES), np.int64)
-    for pdf in batches:
-        if len(pdf):
-            keys = np.frombuffer(b"".join(pdf["keys"]), np.uint32)
-            first, second = keys >> np.uint32(16), keys & np.uint32(0xFFFF)
-            for r, name in ((0, "back"), (2, "aim")):
-                counts = _unpack(pdf[name], pdf["keys"])
-                total[r] += np.bincount(first, weights=counts, minlength=CLASSES).astype(np.int64)
-                total[r + 1] += np.bincount(second, weights=counts, minlength=CLASSES).astype(np.int64)
-    used = np.flatnonzero(total.any(axis=0))
-    yield pd.DataFrame({"class": used.astype(np.int32), **{f"c{r}": total[r, used] for r in range(4)}})
-
-
-def loss(pair: np.ndarray, context: np.ndarray, word: np.ndarray, total: int, mu: float) -> np.ndarray:
-    """-log p(second | first): counts of the pair, of its first and of its second class, and of all tokens."""
-    unigram = (word + 1.0) / (total + CLASSES)
+def loss(pair: np.ndarray, context: np.ndarray, word: np.ndarray, total: int, vocabulary: int, mu: float) -> np.ndarray:
+    """-log p(second | first): counts of the pair, of its first and of its second word, and of all tokens."""
+    unigram = (word + 1.0) / (total + vocabulary)
     return -np.log((pair + mu * unigram) / (context + mu))
 
 
-def _answer(sums, mu: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sums.value
-        keys = np.frombuffer(b"".join(pdf["keys"]), np.uint32)
-        unique, inverse = np.unique(keys, return_inverse=True)
-        first, second = unique >> np.uint32(16), unique & np.uint32(0xFFFF)
-        losses = []
-        for r, name in ((0, "back"), (2, "aim")):
-            counts = _unpack(pdf[name], pdf["keys"])
-            pair = np.bincount(inverse, weights=counts, minlength=len(unique))
-            losses.append(loss(pair, total[r][first], total[r + 1][second], int(total[r + 1].sum()), mu))
-        diff = (losses[1] - losses[0]).astype(np.float32)[inverse].tobytes()
-        ends = np.cumsum([len(k) for k in pdf["keys"]]).tolist()
-        return pd.DataFrame({"chunk": pdf["chunk"], "range": pdf["range"],
-                             "diff": [diff[s:e] for s, e in zip([0, *ends], ends)]})
+def _score(totals: tuple, starts: tuple, vocabulary: int, mu: float):
+    """``totals``, ``starts``: tokens and documents with tokens, of background and target."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        chunk = _Chunk(left.iloc[0])
+        first, last, _ = _cuts(chunk.keys)
+        counts = np.empty((4, len(chunk.keys)), np.int64)
+        counts[:, chunk.order] = _unpack(right.sort_values("range")["counts"], (last - first).tolist())
+        diff = np.zeros(len(chunk.places))
+        for r, sign in ((0, -1), (1, 1)):
+            word = counts[r, chunk.n_pairs:]
+            context = np.append(word - counts[r + 2, chunk.n_pairs:], starts[r])
+            diff += sign * loss(counts[r, chunk.pair], context[chunk.before], word[chunk.places], totals[r], vocabulary, mu)
+        running = np.concatenate([[0.0], np.cumsum(diff)])
+        sizes = chunk.sizes
+        with np.errstate(invalid="ignore"):
+            score = (running[chunk.ends] - running[chunk.ends - sizes]) / np.where(sizes > 0, sizes, np.nan)
+        return pd.DataFrame({"doc_id": pd.arrays.IntegerArray(chunk.ids.copy(), chunk.nulls.copy()), "n_tokens": sizes,
+                             "ce_difference": pd.Series(score).astype(object).where(sizes > 0, None)})
 
     return run
 
 
-def _score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    keys, sizes = bigrams(list(left["tokens"]))
-    _, place, _ = _distinct(keys)
-    diff = np.frombuffer(b"".join(right.sort_values("range")["diff"]), np.float32).astype(np.float64)
-    running = np.concatenate([[0.0], np.cumsum(diff[place])])
-    ends = np.cumsum(sizes)
-    with np.errstate(invalid="ignore"):
-        score = (running[ends] - running[ends - sizes]) / np.where(sizes > 0, sizes, np.nan)
-    return pd.DataFrame({"doc_id": left["doc_id"].astype("Int64"), "n_tokens": sizes,
-                         "ce_difference": pd.Series(score, index=left.index).astype(object).where(sizes > 0, None)})
-
-
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, mu: float = 50.0,
                              chunk_docs: int = CHUNK_DOCS) -> DataFrame:
     """doc_id, n_tokens, ce_difference per row of ``docs`` (doc_id, text); ``targets`` has a doc_id column."""
-    spark = docs.sparkSession
-    ship(spark)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"),
-                        F.xxhash64("doc_id").alias("part"))
-    tokens = materialise(texts.mapInPandas(_classes, "doc_id bigint, part bigint, tokens binary"), "word-classes")
-    chunks = max(1, -(-tokens.count() // chunk_docs))
-    chunk = F.pmod(F.col("part"), F.lit(chunks)).alias("chunk")
-    dealt = tokens.select(chunk, "doc_id", "tokens")
-    named = targets.select(F.col("doc_id").cast("bigint").alias("target")).filter("target IS NOT NULL").distinct()
-    named = named.select(F.pmod(F.xxhash64("target"), F.lit(chunks)).alias("chunk"), "target")
-    counts = dealt.groupBy("chunk").cogroup(named.groupBy("chunk")).applyInPandas(_count, _COUNTS)
-    sums = np.zeros((4, CLASSES), np.int64)
-    dense = (counts.select("keys", "back", "aim").mapInPandas(_unigrams, "class int, c0 bigint, c1 bigint, c2 bigint, c3 bigint")
-             .groupBy("class").agg(*(F.sum(f"c{r}").alias(f"c{r}") for r in range(4))).toPandas())  # CLASSES rows at most
-    for r in range(4):
-        sums[r, dense["class"].to_numpy(np.int64)] = dense[f"c{r}"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(sums)
-    answers = counts.groupBy("range").applyInPandas(_answer(shared, mu), "chunk bigint, range int, diff binary")
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        _score, "doc_id bigint, n_tokens bigint, ce_difference double")
+    ship(docs.sparkSession)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    chunks = materialise(texts.mapInArrow(_chunks(chunk_docs), _CHUNKS), "word-chunks")
+    each = chunks.select("chunk", "ids", "nulls", "sizes").mapInArrow(_documents, "chunk bigint, doc_id bigint, n bigint")
+    each = each.groupBy("chunk", "doc_id").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("full"))
+    each = materialise(each, "chunk-documents")
+    named = targets.select(F.col("doc_id").cast("bigint").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
+    aims = materialise(each.filter("doc_id IS NOT NULL").join(named, "doc_id", "left_semi"), "chunk-targets")
+    sums = [df.agg(F.sum("n"), F.sum("full")).first() for df in (each, aims)]
+    totals, starts = zip(*((s[0] or 0, s[1] or 0) for s in sums))
+    vocabulary = (chunks.select("words").mapInArrow(_word_ranges, "range int, keys binary")
+                  .groupBy("range").applyInPandas(_distinct_words, "n bigint").agg(F.sum("n")).first()[0] or 0)
+    marks = aims.select("chunk", F.col("doc_id").alias("target"))
+    counts = chunks.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInPandas(_count, _COUNTS)
+    answers = counts.groupBy("range").applyInPandas(_answer, "chunk bigint, range int, counts binary")
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+        _score(totals, starts, max(CLASSES, vocabulary), mu), "doc_id bigint, n_tokens bigint, ce_difference double")

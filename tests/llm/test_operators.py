@@ -459,6 +459,33 @@ def test_cross_entropy_difference_matches_brute_force(spark, docs, odd, none):
     assert lm_scoring.cross_entropy_difference(none, none.select("doc_id")).count() == 0
 
 
+def test_cross_entropy_keeps_every_word_apart(spark):
+    """More distinct words than 2 ** 16: a rare word never gets the counts of another one."""
+    rare = [" ".join(f"r{d}w{k}" for k in range(1000)) for d in range(80)]
+    rows = [(d, t) for d, t in enumerate(rare)] + [(None, "seen often " * 300), (2 ** 53 + 1, "seen often unseen")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    aim = spark.createDataFrame([(3,), (2 ** 53 + 1,)], "doc_id bigint")
+    got = {r.doc_id: (r.n_tokens, r.ce_difference) for r in lm_scoring.cross_entropy_difference(frame, aim, chunk_docs=7).collect()}
+    mu, models = 50.0, []
+    vocabulary = len({w for _, t in rows for w in t.split()})
+    assert vocabulary > 1 << 16
+    for keep in (lambda d: True, lambda d: d in (3, 2 ** 53 + 1)):
+        pair, context, word = Counter(), Counter(), Counter()
+        for d, t in rows:
+            if keep(d):
+                s = t.split()
+                pair.update(zip(["", *s], s))
+                context.update(["", *s[:-1]])
+                word.update(s)
+        models.append((pair, context, word, sum(word.values())))
+    for d, t in rows:
+        s, loss = t.split(), []
+        for pair, context, word, n in models:
+            loss.append(sum(-math.log((pair[a, b] + mu * (word[b] + 1) / (n + vocabulary)) / (context[a] + mu))
+                            for a, b in zip(["", *s], s)) / len(s))
+        assert got[d][0] == len(s) and math.isclose(got[d][1], loss[1] - loss[0], rel_tol=1e-9, abs_tol=1e-9)
+
+
 # ------------------------------------------------------------------ 10 HTML
 
 def test_main_text_of_given_pages(spark):
