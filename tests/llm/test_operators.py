@@ -249,6 +249,29 @@ def test_mcd_matches_brute_force_and_rejects_outliers(spark):
     assert judged[judged.quality == 1].kept.all() and judged[judged.quality == 0].kept.mean() < 0.1
 
 
+@pytest.mark.parametrize("table, source", [(SMALL, "source"), ("/root/testdata/sf0.01", "if(doc_id % 7 = 0, 'rare', 'big')")])
+def test_every_base_passing_document_is_judged(spark, table, source):
+    """Small cells by their whole language, small languages by all documents."""
+    docs = spark.read.parquet(f"{table}/documents.parquet").withColumn("source", F.expr(source))
+    got = robust_outliers.robust_outliers(docs, keep=["doc_id", "lang", "source"], tolerance=1e-9).toPandas()
+    rows = got[~got.base_failed].reset_index(drop=True)
+    n, chars = rows.n_words.to_numpy(), rows.word_chars.to_numpy()
+    x = np.round(robust_outliers.SCALE * np.stack([
+        np.log(chars / n), np.log1p(100 * rows.n_symbols / chars), np.log1p(rows.n_dup_lines),
+        np.arcsin(np.sqrt(rows.n_repeat_words / n))], axis=1))
+    cell, whole = (rows.groupby(k).doc_id.transform("size").to_numpy() for k in (["lang", "source"], "lang"))
+    want = np.empty(len(rows))
+    for of in set(zip(rows.lang, rows.source)):
+        here = ((rows.lang == of[0]) & (rows.source == of[1])).to_numpy()
+        fit = here if cell[here][0] >= robust_outliers.CELL else (rows.lang == of[0]).to_numpy()
+        fit = fit if whole[here][0] >= robust_outliers.LEAST else np.ones(len(rows), bool)
+        want[here] = brute_mcd(x[fit])[here[fit]]
+    assert np.allclose(rows.distance2, want, rtol=1e-5, atol=1e-6)
+    assert (rows.kept == (rows.distance2 <= 45)).all() and not rows.kept.all()
+    judged = rows.merge(pd.read_parquet(f"{table}/labels.parquet"), on="doc_id")
+    assert judged[judged.quality == 1].kept.all() and not judged[judged.quality == 0].kept.all()
+
+
 def test_outliers_odd_input(spark, odd, none):
     got = robust_outliers.robust_outliers(odd, keep=["doc_id", "score"]).collect()
     assert len(got) == len(ODD) and all(r.base_failed for r in got if r.n_words < 50)
