@@ -2,19 +2,15 @@
 
 Markup is stripped into lines (one per block of text, in page order). Lines of
 menus, page headers, footers, sidebars, notices, adverts, forms and reader
-comments weigh nothing, and so do lines that are mostly links and, where a page
-has an article or main element, lines outside it; any other line weighs its
-number of characters. Weights are summed over a sliding window of ``WINDOW``
-lines. Where the sums rise to the surge height the text begins (walking back to
-the first line that weighs anything), and where they fall to nothing it ends;
-weightless lines between a surge and its dive are left out one by one. Regions
-with a fair share of the largest one's weight are kept, so a long advert or
-form in the middle does not cut an article short.
+comments weigh nothing, and so do lines outside paragraphs and headings that
+are nothing but links; any other line weighs its number of characters. Where
+article or main elements hold most of a page's weight, only their lines weigh
+anything. Every line with weight is kept, however small its block: a threshold
+for surges, or a share of the largest block, would drop article text.
 
 A page is one row, so the job is one pass without a shuffle.
 
-Defined results: null and empty pages have empty text; a page without any
-surge keeps its lines with weight; broken markup (unclosed, wrongly nested or
+Defined results: null and empty pages have empty text; broken markup (unclosed, wrongly nested or
 truncated tags) never fails; extra columns pass through.
 """
 
@@ -30,16 +26,14 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.common import ship
 
-WINDOW = 3
-#: Characters in a window at which text begins.
-SURGE = 40
-#: Part of the largest region's weight that another region needs.
-FAIR_SHARE = 0.2
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""")
 _BLANK = re.compile(r"\s+")
-_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "head"}
+_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object"}
+_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I | re.A) for name in _RAW}
+#: Blocks whose text is kept even if all of it is a link.
+_PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dd", "figcaption", "caption"}
 _DROP = {"nav", "aside", "footer", "form", "menu", "button", "select", "dialog", "audio", "video", "canvas"} | _RAW
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
@@ -78,31 +72,35 @@ def _outside(tag: str, attributes: str, within_article: bool) -> bool:
     return bool(marks & _OUTSIDE) or (not within_article and bool(marks & {"header", "masthead"}))
 
 
-def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
-    """Blocks in page order: text, outside the main text, within an article or main element, characters in links."""
-    lines: list[tuple[str, bool, bool, int]] = []
+def lines_of(page: str) -> list[tuple[str, bool, bool, bool]]:
+    """Blocks in page order: text, outside the main text, within an article or main element, nothing but links."""
+    lines: list[tuple[str, bool, bool, bool]] = []
     parts: list[str] = []
-    links = 0
+    plain: list[str] = []  # what of them is no link
+    block, linked = "", False
     skip, depth, article, anchor = "", 0, 0, 0
     cut = page.rfind("<")
     if cut > page.rfind(">") and page[cut + 1:cut + 2].isalpha():
         page = page[:cut]  # the page ends within a tag
-    low, at, n = page.lower(), 0, len(page)
+    at, n = 0, len(page)
 
     def close() -> None:
-        nonlocal links
+        nonlocal linked
         text = _BLANK.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            lines.append((text, bool(skip), article > 0, links))
+            only = linked and block not in _PROSE and not any(map(str.isalnum, html.unescape("".join(plain))))
+            lines.append((text, bool(skip), article > 0, only))
         parts.clear()
-        links = 0
+        plain.clear()
+        linked = False
 
     while at < n:
         tag = _TOKEN.search(page, at)
         end = tag.start() if tag else n
         if end > at:
             parts.append(page[at:end])
-            links += (end - at) * (anchor > 0)
+            if not (anchor and linked):  # a link that a former block left open is none
+                plain.append(page[at:end])
         if not tag:
             break
         at = tag.end()
@@ -110,17 +108,19 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
         if not name:
             if tag[0].startswith("<![CDATA["):
                 parts.append(html.escape(tag[0][9:].removesuffix("]]>")))
+                plain.append(parts[-1])
             continue
         closing, empty = bool(tag[1]), name in _VOID or tag[0].endswith("/>")
         if name not in _INLINE:
             close()
+            block = "" if closing else name
         elif name == "br":
             parts.append(" ")
         if not closing and name in _RAW and not empty:  # raw text: up to the end tag, whatever it holds
-            stop = low.find(f"</{name}", at)
-            if stop < 0 and name in ("head", "noscript", "svg", "math", "object"):
+            stop = _END[name].search(page, at)
+            if not stop and name in ("noscript", "svg", "math", "object"):
                 continue  # never closed: its tags are read like any others
-            shut = page.find(">", stop) if stop >= 0 else -1
+            shut = page.find(">", stop.end()) if stop else -1
             at = shut + 1 if shut >= 0 else n
             continue
         if skip:
@@ -148,7 +148,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, int]]:
             elif name in ("article", "main"):
                 article += 1
             elif name == "a":
-                anchor += 1
+                anchor, linked = 1, True
     close()
     return lines
 
@@ -158,30 +158,10 @@ def main_text(page) -> str:
     if not isinstance(page, str) or not page:
         return ""
     lines = lines_of(page)
-    marked = any(inside for _, out, inside, _ in lines if not out)
-    weight = []
-    for text, out, inside, links in lines:
-        off = out or (marked and not inside) or (not marked and links > 0.5 * len(text))
-        weight.append(0 if off else len(text))
-    n = len(weight)
-    sums = [sum(weight[i:i + WINDOW]) for i in range(n)]  # the block that starts at line i
-    regions: list[tuple[int, int, int]] = []
-    i = 0
-    while i < n:
-        if not sums[i]:
-            i += 1
-            continue
-        dive = i
-        while dive < n and sums[dive]:
-            dive += 1
-        if max(sums[i:dive]) >= SURGE or marked:  # an article element is a surge of its own
-            regions.append((i, dive, sum(weight[i:dive])))
-        i = dive
-    if not regions:
-        regions = [(0, n, 0)]
-    least = 0 if marked else FAIR_SHARE * max(r[2] for r in regions)
-    return "\n".join(lines[k][0] for start, dive, total in regions if total >= least
-                     for k in range(start, dive) if weight[k])
+    inner = sum(len(text) for text, out, inside, _ in lines if inside and not out)
+    outer = sum(len(text) for text, out, inside, only in lines if not (inside or out or only))
+    return "\n".join(text for text, out, inside, only in lines
+                     if not out and (inside or not (only or inner > outer)))
 
 
 def extract_text(page: Column) -> Column:

@@ -535,6 +535,23 @@ def test_main_text_cases(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    # a small closing paragraph after boilerplate, a short block, a paragraph that is mostly a link
+    ("<body><div><p>" + "body " * 400 + "</p></div><form>f</form><ul><li><a href=a>A</a> | <a href=b>B</a></li>"
+     "<li><a href=c>C</a></li></ul><form>g</form><div><p>" + "close " * 50 + "</p></div><form>h</form><form>i</form>"
+     "<form>j</form><p>The end</p><p><a href=d>See the whole of the long story</a> here</p></body>",
+     ("body " * 400).strip() + "\n" + ("close " * 50).strip() + "\nThe end\nSee the whole of the long story here"),
+    # one teaser card beside a body without an article element
+    ("<div><p>" + "body " * 100 + "</p></div><article><p>Teaser</p></article><p>last</p>",
+     ("body " * 100).strip() + "\nTeaser\nlast"),
+    # no end of head; letters that grow in lower case before a script's end tag
+    ("<html><head><title>T</title><body><p>first</p><header>site</header><p>second</p></body></html>", "first\nsecond"),
+    ("<p>" + "\u0130" * 9 + "</p><script>x</SCRIPT><p>after</p>", "\u0130" * 9 + "\nafter"),
+    ("<script>'</scripts>'</script><p>after</p>", "after"), ("<a name=top><div>one</div><div>two</div>", "one\ntwo")])
+def test_main_text_drops_boilerplate_only(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_main_text_column(spark):
     frame = spark.createDataFrame([(1, None), (2, "<p>x</p>" * 30_000), (2, "<article>y</article>")], "page_id int, html string")
     got = [tuple(r) for r in frame.select("page_id", html_text.extract_text(F.col("html"))).collect()]
