@@ -509,6 +509,13 @@ def test_cross_entropy_keeps_every_word_apart(spark):
         assert got[d][0] == len(s) and math.isclose(got[d][1], loss[1] - loss[0], rel_tol=1e-9, abs_tol=1e-9)
 
 
+def test_chunks_do_not_depend_on_ids(spark):
+    for doc_id in ("NULL", "7"):
+        frame = spark.range(95).selectExpr(f"CAST({doc_id} AS BIGINT) AS doc_id", "'a b' AS text").coalesce(1)
+        rows = frame.mapInArrow(lm_scoring._chunks(10), lm_scoring._CHUNKS).collect()
+        assert len({r.chunk for r in rows}) == 10 and max(len(r.nulls) for r in rows) == 10
+
+
 # ------------------------------------------------------------------ 10 HTML
 
 def test_main_text_of_given_pages(spark):
