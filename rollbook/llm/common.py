@@ -15,6 +15,7 @@ import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from rollbook.session import ensure_checkpoint_dir
 
@@ -39,6 +40,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, key: str, *order: Column | str) -> DataFrame:
+    """The rows of a key in one partition, one key after the other, each in the given order; readers stream them."""
+    return df.repartition(key).sortWithinPartitions(key, *order)
+
+
+def nullable(schema: StructType) -> StructType:
+    """The schema with every column nullable: what Python makes may hold nulls."""
+    return StructType([StructField(f.name, f.dataType, True) for f in schema])
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's source to the executors once per application (their Python may not have it)."""
     context = spark.sparkContext

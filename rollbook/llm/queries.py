@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import (byte_bpe, exact_topk, html_text, lm_scoring, mixing, near_duplicates, quality_classifier,
+from rollbook.llm import (byte_bpe, exact_topk, html_text, line_dedup, lm_scoring, mixing, near_duplicates, quality_classifier,
                           robust_outliers, token_files, tool_calls)
 from rollbook.llm.common import table
 
@@ -101,8 +101,22 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), ["doc_id"], min_chars=20, least=3)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_OP13_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE r.owner <> k.doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE r.owner IS NULL OR r.owner = k.doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN r USING (key) GROUP BY k.doc_id"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_files, op2_tool_calls, op3_source_mix, op4_quality_classifier, op5_robust_outliers, op6_near_duplicates,
-    op7_exact_topk, op8_byte_bpe, op9_cross_entropy, op10_main_text)}
+    op7_exact_topk, op8_byte_bpe, op9_cross_entropy, op10_main_text, op13_line_dedup)}
 
-ORACLE_SQL: dict[str, str] = {"op2_tool_calls": _OP2_SQL, "op3_source_mix": mixing.mix_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_tool_calls": _OP2_SQL, "op3_source_mix": mixing.mix_sql(), "op13_line_dedup": _OP13_SQL}
