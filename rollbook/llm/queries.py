@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import (byte_bpe, exact_topk, html_text, line_dedup, lm_scoring, mixing, near_duplicates, quality_classifier,
-                          robust_outliers, token_files, tool_calls)
+from rollbook.llm import (byte_bpe, exact_topk, html_text, line_dedup, lm_scoring, mixing, near_duplicates, periodic_runs,
+                          quality_classifier, robust_outliers, token_files, tool_calls)
 from rollbook.llm.common import table
 
 #: The contract's decision threshold of the quality score.
@@ -101,6 +101,18 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, by crc32 of the id, are read with a planted periodic tail."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), ["doc_id"],
+                                        seed=F.when(crc % 10 == 0, F.floor(crc / 10)), with_text=False)
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+                        F.sha2(listed, 256).alias("runs_sha256"), "collapsed_sha256")
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), ["doc_id"], min_chars=20, least=3)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -117,6 +129,6 @@ FROM k LEFT JOIN r USING (key) GROUP BY k.doc_id"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_files, op2_tool_calls, op3_source_mix, op4_quality_classifier, op5_robust_outliers, op6_near_duplicates,
-    op7_exact_topk, op8_byte_bpe, op9_cross_entropy, op10_main_text, op13_line_dedup)}
+    op7_exact_topk, op8_byte_bpe, op9_cross_entropy, op10_main_text, op11_periodic_runs, op13_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {"op2_tool_calls": _OP2_SQL, "op3_source_mix": mixing.mix_sql(), "op13_line_dedup": _OP13_SQL}
