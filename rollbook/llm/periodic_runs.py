@@ -8,8 +8,9 @@ neighbour extends. Its words after the first q are repeats and are dropped.
    octave of periods [w, 2w), w = 1, 2, 4, ..., boundaries stand every 2w words.
    A run of the octave holds a boundary b where the w words at b stand again
    q words on, so the document is exploded into overlapping tiles of the octave
-   (``_core`` words and 6w on either side) only where that is seen; equal blocks
-   have equal hashes, so no run is lost, and what is no run falls later.
+   (``_core`` words and 6w on either side) only where that is seen, and where the
+   stretch holds for a run's length or 4w words on one side; equal blocks have equal
+   hashes, so no run is lost, and what is no run falls later.
 2. Tiles are dealt over all tasks by (document, octave, place) and solved by
    themselves: the Z-function to the right of a boundary and that of the
    reversed words to its left give, for each period, the stretch around the
@@ -78,6 +79,22 @@ def _shorter(period: int) -> list[int]:
     return out
 
 
+def _reaches(words: np.ndarray, at: np.ndarray, period: np.ndarray, low: np.ndarray, high: np.ndarray, width: int) -> np.ndarray:
+    """Whether the stretch of each boundary and period may be a run's length; looks 4 * ``width`` words to either side."""
+    far, out = 4 * width, np.zeros(len(at), bool)
+    block = max(1, (1 << 21) // far)
+    for a in range(0, len(at), block):
+        b, q, lo, hi = at[a:a + block, None], period[a:a + block, None], low[a:a + block, None], high[a:a + block, None]
+        right, left = b + np.arange(far), b - 1 - np.arange(far)
+        same = (right + q < hi) & (words[np.minimum(right, len(words) - 1)] == words[np.minimum(right + q, len(words) - 1)])
+        r = np.where(same.all(1), far, same.argmin(1))
+        same = (left >= lo) & (words[np.maximum(left, 0)] == words[np.maximum(left, 0) + q])
+        n = np.where(same.all(1), far, same.argmin(1))
+        q = q[:, 0]
+        out[a:a + block] = (r == far) | (n == far) | (n + r + q >= np.maximum(MIN_LENGTH, REPEATS * q))
+    return out
+
+
 def boundaries(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(octave, boundaries) where a period of the octave may stand, over documents laid end to end."""
     longest = int((ends - starts).max()) if len(starts) else 0
@@ -97,6 +114,8 @@ def boundaries(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Itera
         at, period = at * step, period + width
         doc = np.searchsorted(starts, at, side="right") - 1
         good = (at + period + width <= ends[doc]) & (ends[doc] - starts[doc] >= np.maximum(MIN_LENGTH, REPEATS * period))
+        at, period, doc = at[good], period[good], doc[good]
+        good = _reaches(words, at, period, starts[doc], ends[doc], width)
         at, period = at[good], period[good]
         if octave and len(at):
             places, first = np.unique(at, return_index=True)
