@@ -40,9 +40,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dealt(df: DataFrame, key: str, *order: Column | str) -> DataFrame:
+def dealt(df: DataFrame, key: str | list[str], *order: Column | str) -> DataFrame:
     """The rows of a key in one partition, one key after the other, each in the given order; readers stream them."""
-    return df.repartition(key).sortWithinPartitions(key, *order)
+    keys = [key] if isinstance(key, str) else key
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order)
 
 
 def nullable(schema: StructType) -> StructType:

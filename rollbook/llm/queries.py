@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm import (byte_bpe, exact_topk, html_text, line_dedup, lm_scoring, mixing, near_duplicates, periodic_runs,
-                          quality_classifier, robust_outliers, token_files, tool_calls)
+                          quality_classifier, robust_outliers, token_alignment, token_files, tool_calls)
 from rollbook.llm.common import table
 
 #: The contract's decision threshold of the quality score.
@@ -113,6 +113,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed, 256).alias("runs_sha256"), "collapsed_sha256")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                        public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), ["doc_id"], min_chars=20, least=3)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -129,6 +134,7 @@ FROM k LEFT JOIN r USING (key) GROUP BY k.doc_id"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_files, op2_tool_calls, op3_source_mix, op4_quality_classifier, op5_robust_outliers, op6_near_duplicates,
-    op7_exact_topk, op8_byte_bpe, op9_cross_entropy, op10_main_text, op11_periodic_runs, op13_line_dedup)}
+    op7_exact_topk, op8_byte_bpe, op9_cross_entropy, op10_main_text, op11_periodic_runs, op12_token_alignment,
+    op13_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {"op2_tool_calls": _OP2_SQL, "op3_source_mix": mixing.mix_sql(), "op13_line_dedup": _OP13_SQL}
