@@ -47,13 +47,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from rollbook.llm.common import dealt, materialise, nullable, scratch, ship
+from rollbook.llm.common import Remembered, dealt, materialise, nullable, scratch, ship
 
 CHUNK_BYTES = 8 << 20
 SHARD_PAIRS = 1 << 19
 MOST_SHARDS = 4096
 #: Characters of distinct stretches that are encoded at once; links of a group that are listed without counting ids.
 _BATCH, _SMALL = 200_000, 256
+#: Stretches of a generation whose ids a worker keeps (some 40 MB).
+_KNOWN = 120_000
 _WIDE = 0xFFFF
 _CUT = re.compile("(?<=[^\\s▁]) (?=[^\\s▁])")
 
@@ -65,6 +67,12 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class _Place(dict):
+    def __missing__(self, part: str) -> int:
+        got = self[part] = len(self)
+        return got
+
+
 class Tokenizers:
     """Both tokenizers and the bytes of their ids; loaded once per worker."""
 
@@ -93,6 +101,7 @@ class Tokenizers:
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         most = max(len(self.a_bytes), self.width)
         self.text = [b"%d%s" % (k, mark) for k in range(most) for mark in (b",", b"|", b";")]
+        self.known = Remembered(_KNOWN)
         self.text_sizes = np.array([len(t) for t in self.text], np.int64)
 
     @classmethod
@@ -106,7 +115,7 @@ class Tokenizers:
 
     def encode(self, text: str) -> tuple[list[int], list[int], bool]:
         """A's and B's ids of space + text, and whether both give its bytes back."""
-        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        a, b = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
         raw = b" " + text.encode()
         return a, b, b"".join([self.a_bytes[k] for k in a]) == raw == b"".join([self.b_bytes[k] for k in b])
 
@@ -165,43 +174,46 @@ class Stretches:
 
     def __init__(self, tokenizers: Tokenizers, texts: list[str]) -> None:
         t, n = tokenizers, len(texts)
-        a_ids, b_ids = [], []
         self.good = np.ones(n, bool)
         self.n_a, self.n_b = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        order: list[int] = []
         plain = [k for k, u in enumerate(texts) if t.cuts and u and not (u[0].isspace() or u[-1].isspace() or "▁" in u)]
-        batch, size = [], 0
-        for k in [*plain, -1]:
-            if k < 0 or size >= _BATCH:
-                if batch:
-                    a, b, same = t.encode(" ".join([texts[i] for i in batch]))
-                    ends = np.cumsum([1 + len(texts[i].encode()) for i in batch])
-                    a_at, b_at = (np.searchsorted(np.cumsum(sizes[x]), ends) + 1 for sizes, x in ((t.a_sizes, a), (t.b_sizes, b)))
-                    if same and a_at[-1] == len(a) and b_at[-1] == len(b):
-                        self.n_a[batch], self.n_b[batch] = np.diff(a_at, prepend=0), np.diff(b_at, prepend=0)
-                        a_ids.append(np.array(a, np.int64))
-                        b_ids.append(np.array(b, np.int64))
-                        order += batch
-                    else:
-                        order += self._one_by_one(t, texts, batch, a_ids, b_ids)
-                batch, size = [], 0
-            batch.append(k)
-            size += len(texts[k]) if k >= 0 else 0
+        new, size = [], 0
+        for u in [*t.known.missing({texts[k] for k in plain}), None]:
+            if new and (u is None or size >= _BATCH):
+                self._remember(t, new)
+                new, size = [], 0
+            if u is not None:
+                new.append(u)
+                size += len(u)
+        ids = [t.known[texts[k]] for k in plain]
         rest = np.ones(n, bool)
         rest[plain] = False
-        order += self._one_by_one(t, texts, np.flatnonzero(rest).tolist(), a_ids, b_ids)
-        self._align(t, np.array(order, np.int64), *(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a_ids, b_ids)))
-
-    def _one_by_one(self, t: Tokenizers, texts: list[str], some: list[int], a_ids: list, b_ids: list) -> list[int]:
-        kept = []
-        for k in some:
-            a, b, self.good[k] = t.encode(texts[k])
-            if self.good[k]:
-                self.n_a[k], self.n_b[k] = len(a), len(b)
-                a_ids.append(np.array(a, np.int64))
-                b_ids.append(np.array(b, np.int64))
-                kept.append(k)
-        return kept
+        ids += [self._ids(t, texts[k]) for k in np.flatnonzero(rest).tolist()]
+        order = np.concatenate([np.array(plain, np.int64), np.flatnonzero(rest)])
+        good = np.array([x is not None for x in ids], bool)
+        self.good[order] = good
+        order, ids = order[good], [x for x in ids if x is not None]
+        for side, counts in enumerate((self.n_a, self.n_b)):
+            counts[order] = [len(x[side]) // 4 for x in ids]
+        self._align(t, order, *(np.frombuffer(b"".join([x[side] for x in ids]), np.int32).astype(np.int64) for side in (0, 1)))
+
+    @staticmethod
+    def _ids(t: Tokenizers, text: str) -> tuple[bytes, bytes] | None:
+        a, b, good = t.encode(text)
+        return (np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if good else None
+
+    def _remember(self, t: Tokenizers, new: list[str]) -> None:
+        """Ids of stretches that may stand side by side, encoded as one text and cut at their ends."""
+        a, b, good = t.encode(" ".join(new))
+        sides, ends = [], np.cumsum([1 + len(u.encode()) for u in new])
+        for sizes, x in ((t.a_sizes, a), (t.b_sizes, b)):
+            x = np.array(x, np.int32)
+            at = np.searchsorted(np.cumsum(sizes[x]), ends) + 1
+            good = good and at[-1] == len(x)
+            raw, at = x.tobytes(), (4 * at).tolist()
+            sides.append([raw[i:j] for i, j in zip([0, *at], at)])
+        for k, u in enumerate(new):
+            t.known[u] = (sides[0][k], sides[1][k]) if good else self._ids(t, u)
 
     def _align(self, t: Tokenizers, order: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         """Groups, their text and links, per stretch in its first order."""
@@ -258,7 +270,7 @@ def _chunks(paths: tuple[str, str], schema: pa.Schema, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = Tokenizers.load(*paths)
         chunk = TaskContext.get().partitionId() << 32
-        known: dict[str, int] = {}
+        known = _Place()
         docs: list[np.ndarray] = []
         rests: list[pa.Array] = []
         filled = 0
@@ -305,13 +317,13 @@ def _chunks(paths: tuple[str, str], schema: pa.Schema, chunk_bytes: int):
             for k, text in enumerate(batch.column("text")):
                 text = text.as_py()
                 parts = t.stretches(text) if text else []
-                docs.append(np.fromiter((known.setdefault(p, len(known)) for p in parts), np.int64, len(parts)))
+                docs.append(np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)))
                 filled += 64 + len(text or "")
                 if filled >= chunk_bytes:
                     rests.append(batch.column("rest").slice(done, k + 1 - done))
                     done = k + 1
                     yield from flush()
-                    chunk, known, docs, rests, filled = chunk + 1, {}, [], [], 0
+                    chunk, known, docs, rests, filled = chunk + 1, _Place(), [], [], 0
             if done < batch.num_rows:
                 rests.append(batch.column("rest").slice(done))
         if docs:
