@@ -1,30 +1,34 @@
 """Interval merging and presence ratios (multi-device meeting sessions).
 
+Both merges split a key by start time into buckets of about ``bucket_rows``
+rows: every row is, by its hash, a border with probability 1 / ``bucket_rows``,
+so the borders of a key are a sample of its start times and its buckets equally
+deep wherever the rows lie. A key below that size has no border and one bucket; a
+key with a third of all rows has many, be it inside one hour. Borders per key
+are thinned to ``MOST_BORDERS``; rows with one start time share a bucket.
+
 ``islands``: true merge of overlapping or touching closed intervals per key.
 It is a prefix scan (running max of the end time), written as two levels so
 that no single key has to fit into one task:
 
-1. rows are bucketed by start time; a window over ``(key, bucket)`` gives the
-   running max end *within* the bucket;
+1. a window over ``(key, bucket)`` gives the running max end *within* the bucket;
 2. a per-``(key, bucket)`` summary (one row per bucket) carries the max end
    of all earlier buckets of the key and their last island start;
 3. a row opens a new island when its start is after both; an island is named
    by its first row, found by a running max inside the bucket or the carried
    start from earlier buckets.
 
-Every window is partitioned by ``(key, bucket)``, so a key holding a third of
-all rows is spread over as many tasks as it has buckets; the bucket summaries
-are tiny and re-attached by equi-join.
-
 ``hull``: the reference's multi-device rule. Per key and label it takes the
 earliest join and latest leave over every session taking part in an overlap
 pair (``a.join <= b.join <= a.leave``, ``a != b``), then keeps the sessions
-that stick out of that hull. It never forms the pairs. Without labels the
-pair members are exactly the sessions in islands of two or more rows (ties
-ordered by longer interval first), so the hull is an aggregate over the
-islands. With labels (e-mail, name) a per-label sweep copies each row once
-per label of its key and finds, with bucketed running aggregates, which rows
-of the label have a later partner and which rows a label row covers.
+that stick out of that hull. It never forms the pairs, and copies no row per
+label: what a session ``a`` reaches is a range of the key's sessions in order of
+start, and only the last end in that range matters. A sparse table per bucket
+and one over the buckets of a key give that range maximum; a range over several
+buckets is the rest of its first one, the buckets between, and the beginning of
+its last one, to which the session is entered a second time. As a maximum falls
+into parts, each part goes to the label's aggregate by itself. Rows move once, to
+``(key, bucket)``; bucket tables and hulls are brought to them.
 """
 
 from __future__ import annotations
@@ -35,18 +39,31 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollbook.functions.arrays import count_before, max_table, range_max
 from rollbook.functions.safe import seconds_between
 
-_B = "__bucket"
+_B, _BORDERS = "__bucket", "__borders"
+
+#: Rows of a bucket, on average, and the most borders of a key (a key's buckets grow beyond the product of both).
+BUCKET_ROWS, MOST_BORDERS = 2048, 1024
 
 
 def _any_null(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols]) if cols else F.lit(False)
 
 
-def _bucketed(df: DataFrame, start: str, bucket_seconds: int) -> DataFrame:
-    secs = F.unix_seconds(F.col(start).cast("timestamp"))
-    return df.withColumn(_B, F.floor(secs / F.lit(bucket_seconds)).cast("long"))
+def _bordered(rows: DataFrame, keys: Sequence[str], start: str, bucket_rows: int) -> DataFrame:
+    """The rows with their key's borders in order (null: none), a sample of its start times."""
+    chance = F.pmod(F.xxhash64(*rows.columns), F.lit(bucket_rows))
+    borders = rows.filter((chance == 0) & F.col(start).isNotNull()).groupBy(*keys) \
+        .agg(F.array_sort(F.collect_set(start)).alias(_BORDERS))
+    step = F.ceil(F.size(_BORDERS) / F.lit(MOST_BORDERS)).cast("int")
+    thin = F.when(step <= 1, F.col(_BORDERS)).otherwise(F.filter(_BORDERS, lambda _, i: i % step == 0))
+    return rows.join(borders.withColumn(_BORDERS, thin), list(keys), "left")
+
+
+def _bucket_of(time: Column) -> Column:
+    return F.coalesce(F.when(F.col(_BORDERS).isNotNull(), count_before(F.col(_BORDERS), time, inclusive=True)), F.lit(0))
 
 
 def _row_key(start: str, end: str, id_col: str) -> Column:
@@ -57,7 +74,7 @@ def _row_key(start: str, end: str, id_col: str) -> Column:
 
 
 def scan_islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: str,
-                 bucket_seconds: int = 3600) -> DataFrame:
+                 bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Tag each row with ``island_key`` (its island's first row) and ``is_island_start``.
 
     Rows must have non-null keys, start and end. Order inside a key is
@@ -74,7 +91,8 @@ def scan_islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_co
     """
     keys = list(keys)
     # Same explicit filter on both uses of ``rows`` so their shuffles are reused.
-    rows = _bucketed(df, start, bucket_seconds).filter(F.col(_B).isNotNull())
+    rows = _bordered(df, keys, start, bucket_rows).withColumn(_B, _bucket_of(F.col(start))).drop(_BORDERS) \
+        .filter(F.col(_B).isNotNull())
     order = [F.col(start).asc(), F.col(end).desc(), F.col(id_col).asc()]
     w_local = Window.partitionBy(*keys, _B).orderBy(*order)
     key = _row_key(start, end, id_col)
@@ -101,7 +119,7 @@ def scan_islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_co
 
 
 def islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: str,
-            bucket_seconds: int = 3600, carry: Sequence[str] = ()) -> DataFrame:
+            bucket_rows: int = BUCKET_ROWS, carry: Sequence[str] = ()) -> DataFrame:
     """Merge overlapping/touching intervals per key.
 
     Returns one row per island: ``keys, island_start, island_end, n_sessions,
@@ -111,7 +129,7 @@ def islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: st
     keys = list(keys)
     bad = _any_null([*keys, start, end])
     good = df.filter(~bad)
-    tagged = scan_islands(good, keys, start, end, id_col, bucket_seconds)
+    tagged = scan_islands(good, keys, start, end, id_col, bucket_rows)
     merged = tagged.groupBy(*keys, "island_key").agg(
         F.min(start).alias("island_start"), F.max(end).alias("island_end"),
         F.count(F.lit(1)).alias("n_sessions"),
@@ -125,120 +143,114 @@ def islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: st
         .drop("island_key")
 
 
-def _hull_single_label(rows: DataFrame, keys, labels, start, end, id_col, bucket_seconds):
-    # A session with no leave time can only be the covered side of a pair: scan it
-    # as ending just before it starts, so it sorts after every tie that could cover
-    # it and never extends an island. The hull still uses the real end.
-    scan = rows.withColumn("__scan_end", F.coalesce(F.col(end), F.col(start) - F.expr("INTERVAL 1 MICROSECOND")))
-    tagged = scan_islands(scan, keys, start, "__scan_end", id_col, bucket_seconds)
-    sizes = tagged.groupBy(*keys, "island_key").agg(
-        F.count(F.lit(1)).alias("__n"), F.min(start).alias("__s"), F.max(end).alias("__e"),
-        F.count(end).alias("__ends"), *[F.first(c).alias(c) for c in labels])
-    # An island's first row covers the others, so its end is known; GREATEST with a
-    # NULL is NULL, hence no end when none of the covered rows has one.
-    covered_ends = F.sum(F.col("__ends") - 1)
-    return sizes.filter(F.col("__n") >= 2).groupBy(*keys).agg(
-        F.min("__s").alias("hull_start"), F.when(covered_ends > 0, F.max("__e")).alias("hull_end"),
-        *[F.first(c).alias(c) for c in labels])
-
-
-def _hull_by_label(rows: DataFrame, keys, labels, start, end, id_col, bucket_seconds):
-    """Per (key, label): pair members found by a sweep, no pair is formed.
-
-    Each row of a key is copied once per label present in that key, so the
-    cost is rows x labels-per-key (1 for almost every key; a handful of
-    e-mail/name spellings at most). The sweep is bucketed like
-    ``scan_islands``: windows run per (key, label, bucket); the label's
-    running max end from earlier buckets and the first start of later buckets
-    come from a one-row-per-bucket summary. Tied starts always share a bucket.
-    """
-    g = {c: f"__g_{c}" for c in labels}
-    label_sets = rows.select(*keys, *[F.col(c).alias(g[c]) for c in labels]).distinct()
-    dup = rows.join(label_sets, on=list(keys), how="inner")
-    own = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(g[c])) for c in labels])
-    dup = _bucketed(dup.withColumn("__own", own), start, bucket_seconds).filter(F.col(_B).isNotNull())
-    part = [*keys, *g.values()]
-    w = Window.partitionBy(*part, _B).orderBy(F.col(start).asc(), F.col(end).desc(), F.col(id_col).asc())
-    own_valid = F.when(F.col("__own") & (F.col(end) >= F.col(start)), 1).otherwise(0)
-    own_end = F.when(F.col("__own"), F.col(end))
-    dup = dup.withColumns({
-        "__lead": F.lead(start).over(w),
-        "__lag": F.lag(start).over(w),
-        "__prev_own": F.max(own_end).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        # peers with the same start share the bucket: count them in the same partition
-        "__tie_own": F.sum(own_valid).over(Window.partitionBy(*part, _B).orderBy(F.col(start))
-                                           .rangeBetween(Window.currentRow, Window.currentRow)) - own_valid,
-    })
-    summary = dup.groupBy(*part, _B).agg(F.max(own_end).alias("__bown"), F.min(start).alias("__bmin"))
-    by_bucket = Window.partitionBy(*part).orderBy(_B)
-    summary = summary.withColumns({
-        "__carry_own": F.max("__bown").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)),
-        "__next_start": F.min("__bmin").over(by_bucket.rowsBetween(1, Window.unboundedFollowing)),
-    }).select(*part, _B, "__carry_own", "__next_start")
-    dup = dup.join(summary, on=[*part, _B], how="inner")
-
-    valid = F.col(start) <= F.col(end)
-    nxt = F.coalesce(F.col("__lead"), F.col("__next_start"))
-    has_partner = valid & ((nxt <= F.col(end)) | (F.col("__lag") == F.col(start)))
-    prev_own = F.greatest(F.col("__prev_own"), F.col("__carry_own"))
-    covered = (prev_own >= F.col(start)) | (F.col("__tie_own") > 0)
-    member = F.col("__own") & F.coalesce(has_partner, F.lit(False))
-    covered = F.coalesce(covered, F.lit(False))
-    # GREATEST with a NULL is NULL: no end when none of the covered rows has one
-    hull = dup.groupBy(*part).agg(
-        F.min(F.when(member, F.col(start))).alias("hull_start"),
-        F.when(F.count(F.when(covered, F.col(end))) > 0,
-               F.max(F.when(member | covered, F.col(end)))).alias("hull_end"))
-    hull = hull.filter(F.col("hull_start").isNotNull())
-    return hull.select(*keys, *[F.col(g[c]).alias(c) for c in labels], "hull_start", "hull_end")
+_START, _REACH, _LOOSE = 0, 1, 2
+
+
+def _entries(rows: DataFrame, keys: Sequence[str], labels: Sequence[str], start: str, end: str, id_col: str,
+             bucket_rows: int) -> DataFrame:
+    """One row per key and bucket with its sorted ``entries``: sessions that start in it, then those of
+    earlier buckets that end in it, then sessions without a start (dealt to the key's buckets by hash)."""
+    rows = _bordered(rows, keys, start, bucket_rows)
+    buckets = F.coalesce(F.size(_BORDERS), F.lit(0)) + 1
+    spread = F.pmod(F.xxhash64(*rows.columns[:-1]), buckets).cast("int")
+    rows = rows.withColumns({
+        "__of": F.when(F.col(start).isNull(), spread).otherwise(_bucket_of(F.col(start))),
+        # a session that ends before it starts, or never, reaches nothing
+        "__until": F.when(F.col(end) >= F.col(start), _bucket_of(F.col(end))), "__buckets": buckets}).drop(_BORDERS)
+    placed = rows.withColumn(_B, F.explode(F.when(
+        F.col("__until") > F.col("__of"), F.array("__of", "__until")).otherwise(F.array("__of"))))
+    kind = F.when(F.col(start).isNull(), _LOOSE).when(F.col(_B) > F.col("__of"), _REACH).otherwise(_START)
+    entry = F.struct(kind.alias("kind"), F.col(start).alias("s"), F.col(end).alias("e"), F.col("__of").alias("of"),
+                     F.col("__until").alias("until"), F.col("__buckets").alias("buckets"),
+                     *[F.col(c).alias(f"label{k}") for k, c in enumerate(labels)], F.col(id_col).alias("id"))
+    return placed.groupBy(*keys, _B).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+
+
+def _hulls(entries: DataFrame, keys: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """(keys, labels, hull_start, hull_end, buckets): per label what its reaching sessions span."""
+    kept = {f"__l{k}": f"label{k}" for k in range(len(labels))}
+    of_kind = lambda kind: F.filter("entries", lambda x: x["kind"] == kind)
+    entries = entries.withColumn("buckets", F.col("entries")[0]["buckets"])
+    # buckets of a key lie side by side: each but the first starts with a border, which is a session's start
+    ends = F.transform(of_kind(_START), lambda x: x["e"])
+    over = entries.filter((F.col("buckets") > 1) & (F.col("entries")[0]["kind"] == _START)) \
+        .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(_B, F.array_max(ends).alias("e")))).alias("all"))
+    over = over.select(*keys, F.col("all")[0][_B].alias("lowest"), max_table(F.transform("all", lambda x: x["e"])).alias("over"),
+                       F.explode("all").alias("one")).select(*keys, F.col(f"one.{_B}").alias(_B), "lowest", "over")
+    tables = entries.filter((F.size("entries") > 1) | (F.col("buckets") > 1)) \
+        .select(*keys, _B, "buckets", of_kind(_START).alias("rows"), of_kind(_REACH).alias("reach"),
+                max_table(ends).alias("table")) \
+        .withColumn("starts", F.transform("rows", lambda x: x["s"])).join(over, [*keys, _B], "left")
+    starts, table, here, lowest = F.col("starts"), F.col("table"), F.col(_B), F.col("lowest")
+
+    def seen(x: Column, partner: Column, reached: Column) -> Column:
+        return F.struct(*[x[v].alias(k) for k, v in kept.items()], x["s"].alias("s"), x["e"].alias("e"),
+                        partner.alias("partner"), reached.alias("reached"))
+
+    def from_start(x: Column, place: Column) -> Column:
+        first = count_before(starts, x["s"], inclusive=False)
+        last = F.when(x["until"] > here, F.size(starts)).otherwise(count_before(starts, x["e"], inclusive=True)) - 1
+        between = F.when(x["until"] - here > 1, range_max(F.col("over"), here + 1 - lowest, x["until"] - 1 - lowest))
+        return seen(x, (last > first) | (x["until"] - here > 1),
+                    F.greatest(range_max(table, first, place - 1), range_max(table, place + 1, last), between))
+
+    def from_before(x: Column) -> Column:
+        n = count_before(starts, x["e"], inclusive=True)
+        return seen(x, n > 0, range_max(table, F.lit(0), n - 1))
+
+    parts = F.concat(F.transform(F.filter(F.transform("rows", lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
+                                          lambda r: r["x"]["until"].isNotNull()), lambda r: from_start(r["x"], r["i"])),
+                     F.transform("reach", from_before))
+    found = tables.select(*keys, "buckets", F.explode(F.filter(parts, lambda p: p["partner"])).alias("p"))
+    # GREATEST with a NULL is NULL in the original: no end when none of the reached sessions has one
+    return found.groupBy(*keys, *[F.col(f"p.{k}").alias(k) for k in kept]).agg(
+        F.min("p.s").alias("hull_start"), F.max("buckets").alias("buckets"),
+        F.when(F.count("p.reached") > 0, F.greatest(F.max("p.e"), F.max("p.reached"))).alias("hull_end")) \
+        .select(*keys, *[F.col(k).alias(c) for k, c in zip(kept, labels)], "hull_start", "hull_end", "buckets")
 
 
 def hull_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: str,
-                   labels: Sequence[str] = (), bucket_seconds: int = 3600) -> DataFrame:
+                   labels: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The reference's combined intervals: hull rows plus sessions outside the hull.
 
     Output columns: ``keys, labels, join_time, leave_time, duration_seconds``.
     ``df`` should already be distinct (the reference dedupes before merging).
     Sessions are compared to every hull row of their key (labels ignored), as
     the reference does, so a key with hulls for two labels can emit a
-    session twice.
+    session twice. A session without a start has no partner, one without an
+    end can still be reached; sessions with a null key come out as they are.
     """
     keys, labels = list(keys), list(labels)
     rows = df.select(*keys, *labels, id_col, start, end)
-    # rows without a start never pair; rows without an end can still be covered
-    ok = rows.filter(~_any_null([*keys, start]))
-    if labels:
-        # The per-label sweep is exact for any number of labels per key (one
-        # included) and bucketed like the islands scan, so every key goes through
-        # it: no label count, join-back or second hull path is needed.
-        hull = _hull_by_label(ok, keys, labels, start, end, id_col, bucket_seconds)
-    else:
-        hull = _hull_single_label(ok, keys, labels, start, end, id_col, bucket_seconds)
-
-    h = hull.select(*keys, "hull_start", "hull_end").alias("h")
-    r = rows.alias("r")
-    cond = reduce(lambda a, b: a & b, [F.col(f"r.{k}") == F.col(f"h.{k}") for k in keys])
-    outside = r.join(h, cond, "left").filter(
-        (F.col("h.hull_start").isNotNull()
-         & ((F.col(f"r.{start}") < F.col("h.hull_start")) | (F.col(f"r.{end}") > F.col("h.hull_end"))))
-        | F.col(f"h.{keys[0]}").isNull()
-    ).select(*[F.col(f"r.{c}") for c in [*keys, *labels]],
-             F.col(f"r.{start}").alias("join_time"), F.col(f"r.{end}").alias("leave_time"))
-    merged = hull.select(*keys, *labels, F.col("hull_start").alias("join_time"),
-                         F.col("hull_end").alias("leave_time"))
-    return merged.unionByName(outside) \
+    entries = _entries(rows.filter(~_any_null(keys)), keys, labels, start, end, id_col, bucket_rows)
+    # each hull is brought to the buckets of its key; in the last one, which is never empty, it comes out itself
+    beside = _hulls(entries, keys, labels).withColumnsRenamed({c: f"__h{k}" for k, c in enumerate(labels)}) \
+        .withColumn(_B, F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)))
+    span = lambda label, s, e: F.struct(*[label(k).alias(f"label{k}") for k in range(len(labels))],
+                                        s.alias("s"), e.alias("e"))
+    outside = F.transform(F.filter("entries", lambda x: (x["kind"] != _REACH) & (
+        F.col("hull_start").isNull() | (x["s"] < F.col("hull_start")) | (x["e"] > F.col("hull_end")))),
+        lambda x: span(lambda k: x[f"label{k}"], x["s"], x["e"]))
+    hull = F.when(F.col(_B) == F.col("buckets") - 1, F.array(
+        span(lambda k: F.col(f"__h{k}"), F.col("hull_start"), F.col("hull_end"))))
+    out = entries.join(beside, [*keys, _B], "left") \
+        .select(*keys, F.explode(F.when(hull.isNotNull(), F.concat(outside, hull)).otherwise(outside)).alias("x")) \
+        .select(*keys, *[F.col(f"x.label{k}").alias(c) for k, c in enumerate(labels)],
+                F.col("x.s").alias("join_time"), F.col("x.e").alias("leave_time"))
+    keyless = rows.filter(_any_null(keys)).select(*keys, *labels, F.col(start).alias("join_time"), F.col(end).alias("leave_time"))
+    return out.unionByName(keyless) \
         .withColumn("duration_seconds", seconds_between("join_time", "leave_time"))
 
 
 def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: str,
                     mode: str = "hull", labels: Sequence[str] = (),
-                    bucket_seconds: int = 3600) -> DataFrame:
+                    bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Collapse multi-device sessions. ``mode='hull'`` reproduces the reference;
     ``mode='islands'`` is the true merge (one row per connected cluster)."""
     if mode == "hull":
-        return hull_intervals(df, keys, start, end, id_col, labels, bucket_seconds)
+        return hull_intervals(df, keys, start, end, id_col, labels, bucket_rows)
     if mode == "islands":
-        out = islands(df, [*keys, *labels], start, end, id_col, bucket_seconds)
+        out = islands(df, [*keys, *labels], start, end, id_col, bucket_rows)
         return out.withColumnsRenamed({"island_start": "join_time", "island_end": "leave_time"})
     raise ValueError(f"unknown mode {mode!r}")
 

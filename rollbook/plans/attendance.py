@@ -46,7 +46,7 @@ from rollbook.functions.json import json_bool, json_scalar
 from rollbook.functions.text import STAFF_EMAIL_PATTERN, normalize_email
 from rollbook.operators.dims import current_rows, latest_per_key
 from rollbook.operators.grid import entity_grid, expand_date_range
-from rollbook.operators.intervals import merge_intervals, presence_ratio
+from rollbook.operators.intervals import BUCKET_ROWS, merge_intervals, presence_ratio
 from rollbook.operators.joins import match_null_safe, substring_join
 from rollbook.operators.rollup import pivot_form
 from rollbook.operators.status import overall_status, row_status
@@ -96,7 +96,7 @@ class AttendanceOptions:
     match_attendance_on: str = "weekday"  # "date": re-attach attendance by date (Q5)
     staff_pattern: str = STAFF_EMAIL_PATTERN
     grid_salt: int = 8
-    bucket_seconds: int = 3600
+    bucket_rows: int = BUCKET_ROWS
     strict_form_dates: bool = True      # DATE(text) raises on bad text, as the warehouse does
     waiver_form_ids: Sequence[str] = WAIVER_FORM_IDS
     waiver_questions: Mapping[str, str] = field(default_factory=lambda: dict(WAIVER_QUESTIONS))
@@ -150,7 +150,7 @@ def session_attendance(t: TableRegistry, o: AttendanceOptions) -> DataFrame:
     combined = merge_intervals(
         intervals, ["meeting_id", "meeting_instance_id", "primary_user_service_id"],
         "join_time", "leave_time", "participant_meeting_instance_id", mode=o.merge_mode,
-        labels=["participant_email", "participant_name"], bucket_seconds=o.bucket_seconds)
+        labels=["participant_email", "participant_name"], bucket_rows=o.bucket_rows)
     md = t.ref("meeting_instances").filter(F.col("is_infered_optional_meeting") == F.lit(False)).select(
         "meeting_instance_id", "program_code", "lesson_id", "lesson_title",
         F.col("start_time_ts").alias("meeting_start_time_ts"),

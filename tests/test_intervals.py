@@ -76,15 +76,15 @@ def _spark_df(spark, pdf):
 
 
 @pytest.mark.parametrize("seed,labels,bucket", [
-    (1, ("x",), 3600), (2, ("x",), 600), (3, ("x", "y"), 3600), (4, ("x", "y", "z"), 900),
-    (5, ("x",), 60), (6, ("x", "y"), 60), (12, ("x", "y", "z", "w"), 300),
-    (13, ("x",), 300), (14, ("x", "y"), 120), (15, ("x",), 3600), (16, ("x", "y", "z"), 60),
+    (1, ("x",), 2048), (2, ("x",), 20), (3, ("x", "y"), 2048), (4, ("x", "y", "z"), 10),
+    (5, ("x",), 2), (6, ("x", "y"), 1), (12, ("x", "y", "z", "w"), 4),
+    (13, ("x",), 8), (14, ("x", "y"), 3), (15, ("x",), 2048), (16, ("x", "y", "z"), 1),
 ])
 def test_hull_matches_rule(spark, seed, labels, bucket):
     pdf = _random_sessions(seed, labels=labels)
     expected = hull_by_rule(pdf)
     got = hull_intervals(_spark_df(spark, pdf), ["k1", "k2"], "s", "e", "id", labels=["lab"],
-                         bucket_seconds=bucket)
+                         bucket_rows=bucket)
     cols = ["k1", "k2", "lab", "join_time", "leave_time"]
     assert rows_of(got, cols) == rows_of(expected, cols)
 
@@ -92,23 +92,23 @@ def test_hull_matches_rule(spark, seed, labels, bucket):
 def test_hull_without_labels_equals_single_label(spark):
     pdf = _random_sessions(11)
     expected = hull_by_rule(pdf)
-    got = hull_intervals(_spark_df(spark, pdf), ["k1", "k2"], "s", "e", "id", bucket_seconds=1800)
+    got = hull_intervals(_spark_df(spark, pdf), ["k1", "k2"], "s", "e", "id", bucket_rows=5)
     cols = ["k1", "k2", "join_time", "leave_time"]
     assert rows_of(got, cols) == rows_of(expected, cols)
 
 
-@pytest.mark.parametrize("seed,bucket", [(7, 3600), (8, 300), (9, 60), (10, 86400)])
+@pytest.mark.parametrize("seed,bucket", [(7, 2048), (8, 10), (9, 2), (10, 1)])
 def test_islands_match_window_sql(spark, seed, bucket):
     pdf = _random_sessions(seed, with_bad=False)
     expected = duckdb.query_df(pdf, "s", ISLANDS_SQL).df()
-    got = islands(_spark_df(spark, pdf), ["k1", "k2"], "s", "e", "id", bucket_seconds=bucket)
+    got = islands(_spark_df(spark, pdf), ["k1", "k2"], "s", "e", "id", bucket_rows=bucket)
     cols = ["k1", "k2", "island_start", "island_end", "n_sessions"]
     assert rows_of(got, cols) == rows_of(expected, cols)
 
 
 def test_islands_invariants(spark):
     pdf = _random_sessions(21, n=600, with_bad=False)
-    got = islands(_spark_df(spark, pdf), ["k1", "k2"], "s", "e", "id", bucket_seconds=120).toPandas()
+    got = islands(_spark_df(spark, pdf), ["k1", "k2"], "s", "e", "id", bucket_rows=3).toPandas()
     assert got["n_sessions"].sum() == len(pdf)
     for _, grp in got.groupby(["k1", "k2"]):
         grp = grp.sort_values("island_start")

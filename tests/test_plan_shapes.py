@@ -24,16 +24,28 @@ def _windows(plan: str):
     return [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
 
 
-def test_interval_windows_never_span_a_whole_key(spark):
-    df = _sessions(spark)
-    for out in (islands(df, ["k1", "k2"], "s", "e", "id"),
-                hull_intervals(df, ["k1", "k2"], "s", "e", "id"),
-                hull_intervals(df, ["k1", "k2"], "s", "e", "id", labels=["lab"])):
-        wins = _windows(_plan(out))
-        assert wins, "expected window operators"
-        # row-level windows are partitioned by the time bucket; the only windows keyed
-        # by the key alone run over the one-row-per-bucket summary, ordered by bucket
-        assert all("__bucket" in w for w in wins), wins
+def test_island_windows_never_span_a_whole_key(spark):
+    wins = _windows(_plan(islands(_sessions(spark), ["k1", "k2"], "s", "e", "id")))
+    assert wins, "expected window operators"
+    # row-level windows are partitioned by the bucket; the only windows keyed
+    # by the key alone run over the one-row-per-bucket summary, ordered by bucket
+    assert all("__bucket" in w for w in wins), wins
+
+
+def _executed(df) -> str:
+    df.collect()
+    return _plan(df).split("== Initial Plan ==")[0]
+
+
+def test_hull_moves_rows_once_and_copies_none_per_label(spark):
+    """Shuffles: borders, sessions to (key, bucket), bucket tables, hulls; the others are reuses of these."""
+    for labels in (["lab"], []):
+        plan = _executed(hull_intervals(_sessions(spark), ["k1", "k2"], "s", "e", "id", labels=labels))
+        moved = [line for line in plan.splitlines() if re.search(r"\bExchange (hash|range|single)", line)]
+        assert len([line for line in moved if "ReusedExchange" not in line]) <= 4, plan
+        assert not _windows(plan)
+        # what is aggregated by label comes from the sessions' own entries: no join brings labels to sessions
+        assert not re.search(r"Join \[.*lab", plan)
 
 
 def test_interval_plans_have_no_pair_join(spark):
