@@ -35,6 +35,7 @@ each; extra columns are passed on if named in ``keep``; no rows give no rows.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -47,15 +48,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from rollbook.llm.common import Remembered, dealt, materialise, nullable, scratch, ship
+from rollbook.llm.common import dealt, materialise, nullable, scratch, ship
 
 CHUNK_BYTES = 8 << 20
 SHARD_PAIRS = 1 << 19
 MOST_SHARDS = 4096
 #: Characters of distinct stretches that are encoded at once; links of a group that are listed without counting ids.
 _BATCH, _SMALL = 200_000, 256
-#: Stretches of a generation whose ids a worker keeps (some 40 MB).
-_KNOWN = 120_000
+#: Stretches that a worker keeps solved (some 200 MB) before it starts anew.
+_KNOWN = 500_000
 _WIDE = 0xFFFF
 _CUT = re.compile("(?<=[^\\s▁]) (?=[^\\s▁])")
 
@@ -101,7 +102,7 @@ class Tokenizers:
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         most = max(len(self.a_bytes), self.width)
         self.text = [b"%d%s" % (k, mark) for k in range(most) for mark in (b",", b"|", b";")]
-        self.known = Remembered(_KNOWN)
+        self.known = Known()
         self.text_sizes = np.array([len(t) for t in self.text], np.int64)
 
     @classmethod
@@ -177,43 +178,50 @@ class Stretches:
         self.good = np.ones(n, bool)
         self.n_a, self.n_b = np.zeros(n, np.int64), np.zeros(n, np.int64)
         plain = [k for k, u in enumerate(texts) if t.cuts and u and not (u[0].isspace() or u[-1].isspace() or "▁" in u)]
-        new, size = [], 0
-        for u in [*t.known.missing({texts[k] for k in plain}), None]:
-            if new and (u is None or size >= _BATCH):
-                self._remember(t, new)
-                new, size = [], 0
-            if u is not None:
-                new.append(u)
-                size += len(u)
-        ids = [t.known[texts[k]] for k in plain]
+        ids: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+        order, batch, size = [], [], 0
+        for k in [*plain, -1]:
+            if batch and (k < 0 or size >= _BATCH):
+                order += self._together(t, texts, batch, ids)
+                batch, size = [], 0
+            if k >= 0:
+                batch.append(k)
+                size += len(texts[k])
         rest = np.ones(n, bool)
         rest[plain] = False
-        ids += [self._ids(t, texts[k]) for k in np.flatnonzero(rest).tolist()]
-        order = np.concatenate([np.array(plain, np.int64), np.flatnonzero(rest)])
-        good = np.array([x is not None for x in ids], bool)
-        self.good[order] = good
-        order, ids = order[good], [x for x in ids if x is not None]
-        for side, counts in enumerate((self.n_a, self.n_b)):
-            counts[order] = [len(x[side]) // 4 for x in ids]
-        self._align(t, order, *(np.frombuffer(b"".join([x[side] for x in ids]), np.int32).astype(np.int64) for side in (0, 1)))
-
-    @staticmethod
-    def _ids(t: Tokenizers, text: str) -> tuple[bytes, bytes] | None:
-        a, b, good = t.encode(text)
-        return (np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if good else None
-
-    def _remember(self, t: Tokenizers, new: list[str]) -> None:
-        """Ids of stretches that may stand side by side, encoded as one text and cut at their ends."""
-        a, b, good = t.encode(" ".join(new))
-        sides, ends = [], np.cumsum([1 + len(u.encode()) for u in new])
-        for sizes, x in ((t.a_sizes, a), (t.b_sizes, b)):
-            x = np.array(x, np.int32)
+        order += self._one_by_one(t, texts, np.flatnonzero(rest).tolist(), ids)
+        self._align(t, np.array(order, np.int64), *(np.concatenate([np.zeros(0, np.int64), *x]) for x in ids))
+
+    def _together(self, t: Tokenizers, texts: list[str], some: list[int], ids: tuple[list, list]) -> list[int]:
+        """Encode stretches that may stand side by side as one text."""
+        parts = [texts[k] for k in some]
+        a, b, good = t.encode(" ".join(parts))
+        ends = np.cumsum([1 + len(u) for u in parts]) if good and sum(map(len, parts)) == len("".join(parts).encode()) \
+            else np.cumsum([1 + len(u.encode()) for u in parts])
+        for sizes, x, out, counts in ((t.a_sizes, a, ids[0], self.n_a), (t.b_sizes, b, ids[1], self.n_b)):
+            x = np.array(x, np.int64)
             at = np.searchsorted(np.cumsum(sizes[x]), ends) + 1
             good = good and at[-1] == len(x)
-            raw, at = x.tobytes(), (4 * at).tolist()
-            sides.append([raw[i:j] for i, j in zip([0, *at], at)])
-        for k, u in enumerate(new):
-            t.known[u] = (sides[0][k], sides[1][k]) if good else self._ids(t, u)
+            if good:
+                counts[some] = np.diff(at, prepend=0)
+                out.append(x)
+        if good:
+            return some
+        if len(ids[0]) > len(ids[1]):
+            ids[0].pop()
+        return self._one_by_one(t, texts, some, ids)
+
+    def _one_by_one(self, t: Tokenizers, texts: list[str], some: list[int], ids: tuple[list, list]) -> list[int]:
+        kept = []
+        for k in some:
+            a, b, self.good[k] = t.encode(texts[k])
+            self.n_a[k] = self.n_b[k] = 0
+            if self.good[k]:
+                self.n_a[k], self.n_b[k] = len(a), len(b)
+                ids[0].append(np.array(a, np.int64))
+                ids[1].append(np.array(b, np.int64))
+                kept.append(k)
+        return kept
 
     def _align(self, t: Tokenizers, order: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         """Groups, their text and links, per stretch in its first order."""
@@ -261,6 +269,29 @@ class Stretches:
         self.sizes = np.bincount(owner, minlength=n)
 
 
+class Known:
+    """The stretches that a worker has met, solved once each; emptied beyond ``_KNOWN`` of them after a chunk."""
+
+    _COLUMNS = ("good", "n_a", "n_b", "n_groups", "n_links", "sizes", "pairs", "times")
+
+    def __init__(self) -> None:
+        self.place = _Place()
+        self.text: list[bytes] = []
+        self.good = np.zeros(0, bool)
+        self.n_a = self.n_b = self.n_groups = self.n_links = self.sizes = self.times = np.zeros(0, np.int64)
+        self.pairs = np.zeros(0, np.uint32)
+
+    def solve(self, t: Tokenizers) -> None:
+        """Align the stretches that came since the last call."""
+        new = list(itertools.islice(self.place, len(self.text), None))
+        if new:
+            made = Stretches(t, new)
+            self.text += made.text
+            for c in self._COLUMNS:
+                setattr(self, c, np.concatenate([getattr(self, c), getattr(made, c)]))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+
 _OUT = ("chunk bigint, kind int, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, places binary, "
         "pairs binary, holders binary, links binary, sizes binary, times binary")
 
@@ -270,44 +301,50 @@ def _chunks(paths: tuple[str, str], schema: pa.Schema, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = Tokenizers.load(*paths)
         chunk = TaskContext.get().partitionId() << 32
-        known = _Place()
+        known = t.known
         docs: list[np.ndarray] = []
         rests: list[pa.Array] = []
         filled = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            made = Stretches(t, list(known))
-            pairs, links = np.unique(made.pairs, return_inverse=True)
-            starts = np.cumsum(made.sizes) - made.sizes
+            known.solve(t)
+            used = np.unique(np.concatenate(docs))
+            local = np.zeros(len(known.text), np.int64)
+            local[used] = np.arange(len(used))
+            sizes, entries = known.sizes[used], _ranges(known.starts[used], known.sizes[used])
+            pairs, links = np.unique(known.pairs[entries], return_inverse=True)
+            starts = np.cumsum(sizes) - sizes
             holders = np.zeros(len(pairs), np.int64)
             rows, held, spread = [], [], 0
 
             def count() -> None:
                 ids = np.repeat(np.arange(len(held)), [len(h) for h in held])
                 units = np.concatenate(held)
-                ids = np.repeat(ids, made.sizes[units])
-                both = np.unique(ids * len(pairs) + links[_ranges(starts[units], made.sizes[units])])
+                ids = np.repeat(ids, sizes[units])
+                both = np.unique(ids * len(pairs) + links[_ranges(starts[units], sizes[units])])
                 holders[:] += np.bincount(both % len(pairs), minlength=len(pairs))
 
             for places in docs:
                 row = {"chunk": chunk, "kind": 2, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "places": b""}
-                if len(places) and made.good[places].all():
-                    far = places[places >= _WIDE]  # in order of appearance: places of frequent stretches are small
-                    row |= {c: int(getattr(made, c)[places].sum()) for c in ("n_a", "n_b", "n_groups", "n_links")}
-                    row["groups_sha256"] = hashlib.sha256(b"".join([made.text[p] for p in places.tolist()])[:-1]).hexdigest()
+                if len(places) and known.good[places].all():
+                    row |= {c: int(getattr(known, c)[places].sum()) for c in ("n_a", "n_b", "n_groups", "n_links")}
+                    row["groups_sha256"] = hashlib.sha256(b"".join([known.text[p] for p in places.tolist()])[:-1]).hexdigest()
+                    places = local[places]
+                    far = places[places >= _WIDE]  # in order of first appearance: places of frequent stretches are small
                     row["places"] = np.minimum(places, _WIDE).astype(np.uint16).tobytes() + far.astype(np.uint32).tobytes()
                     held.append(np.unique(places))
-                    spread += int(made.sizes[held[-1]].sum())
+                    spread += int(sizes[held[-1]].sum())
                     if spread > 1 << 20:
                         count()
                         held, spread = [], 0
                 rows.append(row)
             if held:
                 count()
-            other = np.flatnonzero(made.times != 1)
+            times = known.times[entries]
+            other = np.flatnonzero(times != 1)
             rows.append({"chunk": chunk, "kind": 1, "pairs": pairs.tobytes(), "holders": holders.astype(np.uint32).tobytes(),
-                         "links": links.astype(np.uint32).tobytes(), "sizes": made.sizes.astype(np.uint32).tobytes(),
-                         "times": np.stack([other, made.times[other]]).astype(np.int64).tobytes()})
+                         "links": links.astype(np.uint32).tobytes(), "sizes": sizes.astype(np.uint32).tobytes(),
+                         "times": np.stack([other, times[other]]).astype(np.int64).tobytes()})
             rest = pa.concat_arrays([*rests, pa.nulls(1, rests[0].type)])
             yield pa.RecordBatch.from_arrays(
                 [rest if f.name == "rest" else pa.array([r.get(f.name) for r in rows], f.type) for f in schema], schema=schema)
@@ -317,13 +354,15 @@ def _chunks(paths: tuple[str, str], schema: pa.Schema, chunk_bytes: int):
             for k, text in enumerate(batch.column("text")):
                 text = text.as_py()
                 parts = t.stretches(text) if text else []
-                docs.append(np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)))
+                docs.append(np.fromiter(map(known.place.__getitem__, parts), np.int64, len(parts)))
                 filled += 64 + len(text or "")
                 if filled >= chunk_bytes:
                     rests.append(batch.column("rest").slice(done, k + 1 - done))
                     done = k + 1
                     yield from flush()
-                    chunk, known, docs, rests, filled = chunk + 1, _Place(), [], [], 0
+                    chunk, docs, rests, filled = chunk + 1, [], [], 0
+                    if len(known.text) > _KNOWN:
+                        known.__init__()
             if done < batch.num_rows:
                 rests.append(batch.column("rest").slice(done))
         if docs:
