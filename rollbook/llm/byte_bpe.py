@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.common import Remembered, ship
 
-#: Pieces of a generation that a worker keeps encoded (some 60 MB), and texts that are replayed at once.
-_CACHE_LIMIT = 300_000
+#: Bytes of a generation of encoded pieces that a worker keeps, and texts that are replayed at once.
+_CACHE_LIMIT = 32 << 20
 _TEXTS = 256
 
 
