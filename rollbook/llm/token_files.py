@@ -17,7 +17,8 @@ only its own frame is decompressed (:func:`lookup`).
 The dictionary is trained on the serialized ids of a bounded sample (the
 ``sample_docs`` documents with the smallest hash of their id; of each, at most
 ``SAMPLE_BYTES`` bytes at an offset given by the hash). All documents are then
-encoded in one pass behind one range shuffle on doc_id.
+encoded in one pass behind one range shuffle on doc_id and a hash of the text,
+so rows that share an id, or have none, are spread over many tasks.
 
 Texts are encoded with the tokenizers library. The vocabulary's normaliser
 turns every white space into a token boundary and composes no character across
@@ -47,7 +48,8 @@ from rollbook.llm.common import Remembered, scratch, ship
 BLOCK_DOCS = 1024
 BLOCK_BYTES = 4_000_000
 SAMPLE_BYTES = 16_384
-_CACHE_LIMIT = 300_000
+#: Bytes of a generation of encoded parts that a worker keeps.
+_CACHE_LIMIT = 64 << 20
 _BLOCKS = ("shard int, block int, dict_hash string, first_doc bigint, last_doc bigint, block_tokens bigint, "
            "doc_ids array<bigint>, n_tokens array<bigint>, offsets array<bigint>, frames binary")
 
@@ -55,12 +57,21 @@ _BLOCKS = ("shard int, block int, dict_hash string, first_doc bigint, last_doc b
 class PartEncoder:
     """Whole texts to little-endian unsigned 32-bit ids, by their blank-separated parts."""
 
+    _loaded: dict[str, PartEncoder] = {}
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known = Remembered(_CACHE_LIMIT)
 
+    @classmethod
+    def load(cls, path: str) -> PartEncoder:
+        """The worker's encoder: loaded once, its table warm for the next task."""
+        if path not in cls._loaded:
+            cls._loaded[path] = cls(path)
+        return cls._loaded[path]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         known = self.known
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
@@ -109,7 +120,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, sample_docs: int = 400, si
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         _serial()
-        encoder = PartEncoder(tokenizer)
+        encoder = PartEncoder.load(tokenizer)
         for pdf in batches:
             ids = encoder([t if isinstance(t, str) else "" for t in pdf["text"]])
             cut = []
@@ -150,7 +161,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
         _serial()
         shard, number = TaskContext.get().partitionId(), 0
-        encoder, compress = PartEncoder(tokenizer), zstandard.ZstdCompressor(level, _dictionary(shared.value)).compress
+        encoder, compress = PartEncoder.load(tokenizer), zstandard.ZstdCompressor(level, _dictionary(shared.value)).compress
         ids: list[int | None] = []
         counts: list[int] = []
         frames: list[bytes] = []
@@ -186,7 +197,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             yield flush()
 
     ordered = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")))
+               .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text")))
     ordered.mapInPandas(blocks, _BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
     # starts: prefix sums over shards (one row per shard), then within each shard
     sizes = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").select(
@@ -242,7 +253,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """A few documents by id: only blocks whose range holds one are read, only their frames decompressed."""
+    """A few documents by id: only blocks whose range holds one are read, only their frames decompressed.
+
+    Rows without an id have no id to be looked up by; ``read_token_files`` gives them."""
     blocks, read = _opened(spark, path)
     ids = [int(i) for i in doc_ids]
     inside = F.lit(False)
