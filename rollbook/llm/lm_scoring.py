@@ -12,11 +12,11 @@ The word and bigram tables grow with the corpus, so none is broadcast:
 
 1. One pass over whole texts writes chunks of documents in input order, at most
    ``CHUNK_DOCS`` of them and about ``CHUNK_TOKENS`` tokens: the chunk's words (eight bytes
-   each) and the documents' tokens as places among them. Only these are
-   shuffled from here on. Ids play no part, so null or repeated ones do not
+   each) and the documents' tokens as places among them. They are written in
+   buckets of the chunk's number and read where they lie from here on. Ids play no part, so null or repeated ones do not
    gather in a chunk.
 2. A chunk counts its distinct bigrams and words for background and target and
-   sends them, packed, to ``RANGES`` hash ranges of the 64-bit keys.
+   sends them, packed, to hash ranges of the 64-bit keys, as many as the corpus has ``RANGE_TOKENS``.
 3. A range adds up the counts of all chunks, which gives the exact corpus
    counts, and answers each chunk with the counts of the keys that it asked
    about, in its order. The answers to a key of any frequency are one entry per
@@ -42,18 +42,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import materialise, ship
+from rollbook.llm.common import materialise, materialise_by, ship
 
 #: Least size of the vocabulary that the unigram model is smoothed over.
 CLASSES = 1 << 16
-RANGES = 4096
+#: Tokens of the corpus to a hash range, and the least number of ranges (as leading bits of the 64-bit keys).
+RANGE_TOKENS, RANGE_BITS = 1 << 20, 12
 CHUNK_DOCS = 8192
 CHUNK_TOKENS = 2 << 20
 #: Stands before the first word; words have keys from 1.
 START = 0
 #: Odd factors that make the keys of bigrams and words out of word keys.
 _PAIR, _WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_SHIFT = np.uint64(52)
 _WIDE = 0xFFFF
 
 
@@ -129,22 +129,25 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "doc_id": pa.array(ids, mask=np.frombuffer(r["nulls"], bool)), "n": pa.array(sizes)})
 
 
-def _word_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for words in batch.column("words").to_pylist():
-            keys = np.unique(np.frombuffer(words, np.uint64))
-            first, last, ranges = _cuts(keys)
-            yield pa.RecordBatch.from_pydict({
-                "range": pa.array(ranges), "keys": pa.array([keys[s:e].tobytes() for s, e in zip(first, last)], pa.binary())})
+def _word_ranges(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words in batch.column("words").to_pylist():
+                keys = np.unique(np.frombuffer(words, np.uint64))
+                first, last, ranges = _cuts(keys, bits)
+                yield pa.RecordBatch.from_pydict({
+                    "range": pa.array(ranges), "keys": pa.array([keys[s:e].tobytes() for s, e in zip(first, last)], pa.binary())})
+
+    return run
 
 
 def _distinct_words(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"n": [len(np.unique(np.frombuffer(b"".join(pdf["keys"]), np.uint64)))]})
 
 
-def _cuts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last place of each range in sorted keys, and the ranges."""
-    ranges = (keys >> _SHIFT).astype(np.int32)
+def _cuts(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last place of each range (leading ``bits``) in sorted keys, and the ranges."""
+    ranges = (keys >> np.uint64(64 - bits)).astype(np.int32)
     first = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])) if len(ranges) else np.zeros(0, np.int64)
     return first, np.append(first[1:], len(ranges)) if len(ranges) else first, ranges[first]
 
@@ -164,10 +167,10 @@ def _unpack(packed, sizes) -> np.ndarray:
     return np.concatenate(out, axis=1) if out else np.zeros((4, 0), np.int64)
 
 
-def _pack_keys(keys: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[int, list[bytes]]:
-    """Sorted keys as steps within their range (52 bits at most), six or seven bytes each."""
+def _pack_keys(keys: np.ndarray, first: np.ndarray, last: np.ndarray, bits: int) -> tuple[int, list[bytes]]:
+    """Sorted keys as steps within their range (52 bits at most, ``bits`` being 12 or more), six or seven bytes each."""
     steps = np.diff(keys, prepend=keys[:1])
-    steps[first] = keys[first] & np.uint64((1 << 52) - 1)
+    steps[first] = keys[first] & np.uint64((1 << 64 - bits) - 1)
     width = 6 if not len(steps) or steps.max() < 1 << 48 else 7
     flat = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width])
     return width, [flat[s:e].tobytes() for s, e in zip(first, last)]
@@ -218,24 +221,27 @@ class _Chunk:
 _COUNTS = "chunk bigint, range int, width int, keys binary, counts binary"
 
 
-def _count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _count(bits: int):
     """A chunk's distinct bigrams and words with their counts, packed by range.
 
     Four counts a key: occurrences in background and target; of a word also as a document's last.
     """
-    chunk = _Chunk(left.iloc[0])
-    aim = np.isin(chunk.ids, right["target"].to_numpy(np.int64)) & ~chunk.nulls
-    counts = np.zeros((4, len(chunk.keys)), np.int64)
-    for r, of, last in ((0, slice(None), slice(None)), (1, np.repeat(aim, chunk.sizes), aim[chunk.sizes > 0])):
-        counts[r, :chunk.n_pairs] = np.bincount(chunk.pair[of], minlength=chunk.n_pairs)
-        counts[r, chunk.n_pairs:] = np.bincount(chunk.places[of], minlength=chunk.n_words)
-        counts[r + 2, chunk.n_pairs:] = np.bincount(chunk.places[chunk.last[last]], minlength=chunk.n_words)
-    counts = counts[:, chunk.order]
-    first, last, ranges = _cuts(chunk.keys)
-    width, keys = _pack_keys(chunk.keys, first, last)
-    return pd.DataFrame({"chunk": np.full(len(first), left["chunk"].iloc[0], np.int64), "range": ranges,
-                         "width": np.full(len(first), width, np.int32), "keys": keys,
-                         "counts": [_pack(counts[:, s:e].ravel()) for s, e in zip(first, last)]})
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        chunk = _Chunk(left.iloc[0])
+        aim = np.isin(chunk.ids, right["target"].to_numpy(np.int64)) & ~chunk.nulls
+        counts = np.zeros((4, len(chunk.keys)), np.int64)
+        for r, of, last in ((0, slice(None), slice(None)), (1, np.repeat(aim, chunk.sizes), aim[chunk.sizes > 0])):
+            counts[r, :chunk.n_pairs] = np.bincount(chunk.pair[of], minlength=chunk.n_pairs)
+            counts[r, chunk.n_pairs:] = np.bincount(chunk.places[of], minlength=chunk.n_words)
+            counts[r + 2, chunk.n_pairs:] = np.bincount(chunk.places[chunk.last[last]], minlength=chunk.n_words)
+        counts = counts[:, chunk.order]
+        first, last, ranges = _cuts(chunk.keys, bits)
+        width, keys = _pack_keys(chunk.keys, first, last, bits)
+        return pd.DataFrame({"chunk": np.full(len(first), left["chunk"].iloc[0], np.int64), "range": ranges,
+                             "width": np.full(len(first), width, np.int32), "keys": keys,
+                             "counts": [_pack(counts[:, s:e].ravel()) for s, e in zip(first, last)]})
+
+    return run
 
 
 def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -255,11 +261,11 @@ def loss(pair: np.ndarray, context: np.ndarray, word: np.ndarray, total: int, vo
     return -np.log((pair + mu * unigram) / (context + mu))
 
 
-def _score(totals: tuple, starts: tuple, vocabulary: int, mu: float):
+def _score(totals: tuple, starts: tuple, vocabulary: int, mu: float, bits: int):
     """``totals``, ``starts``: tokens and documents with tokens, of background and target."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         chunk = _Chunk(left.iloc[0])
-        first, last, _ = _cuts(chunk.keys)
+        first, last, _ = _cuts(chunk.keys, bits)
         counts = np.empty((4, len(chunk.keys)), np.int64)
         counts[:, chunk.order] = _unpack(right.sort_values("range")["counts"], (last - first).tolist())
         diff = np.zeros(len(chunk.places))
@@ -282,7 +288,7 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, mu: float = 50
     """doc_id, n_tokens, ce_difference per row of ``docs`` (doc_id, text); ``targets`` has a doc_id column."""
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = materialise(texts.mapInArrow(_chunks(chunk_docs), _CHUNKS), "word-chunks")
+    chunks = materialise_by(texts.mapInArrow(_chunks(chunk_docs), _CHUNKS), "word-chunks", "chunk")
     each = chunks.select("chunk", "ids", "nulls", "sizes").mapInArrow(_documents, "chunk bigint, doc_id bigint, n bigint")
     each = each.groupBy("chunk", "doc_id").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("full"))
     each = materialise(each, "chunk-documents")
@@ -290,10 +296,11 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, mu: float = 50
     aims = materialise(each.filter("doc_id IS NOT NULL").join(named, "doc_id", "left_semi"), "chunk-targets")
     sums = [df.agg(F.sum("n"), F.sum("full")).first() for df in (each, aims)]
     totals, starts = zip(*((s[0] or 0, s[1] or 0) for s in sums))
-    vocabulary = (chunks.select("words").mapInArrow(_word_ranges, "range int, keys binary")
+    bits = max(RANGE_BITS, (-(-totals[0] // RANGE_TOKENS) - 1).bit_length())
+    vocabulary = (chunks.select("words").mapInArrow(_word_ranges(bits), "range int, keys binary")
                   .groupBy("range").applyInPandas(_distinct_words, "n bigint").agg(F.sum("n")).first()[0] or 0)
     marks = aims.select("chunk", F.col("doc_id").alias("target"))
-    counts = chunks.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInPandas(_count, _COUNTS)
+    counts = chunks.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInPandas(_count(bits), _COUNTS)
     answers = counts.groupBy("range").applyInPandas(_answer, "chunk bigint, range int, counts binary")
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        _score(totals, starts, max(CLASSES, vocabulary), mu), "doc_id bigint, n_tokens bigint, ce_difference double")
+        _score(totals, starts, max(CLASSES, vocabulary), mu, bits), "doc_id bigint, n_tokens bigint, ce_difference double")
