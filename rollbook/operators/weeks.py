@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.dates import format_week_range, week_start, weeks_between
+from rollbook.operators.skew import ROWS_PER_TASK, salted_join
 
 # Fixed values that must equal the reference's.
 PRE_PROGRAM = "pre-program start"
@@ -42,9 +43,9 @@ def week_label(date_col: Column, program_start: Column, week_number: Column,
 
 
 def upcoming_scaffold(participants: DataFrame, spine: DataFrame, on: str, as_of: Column,
-                      person_cols: Sequence[str]) -> DataFrame:
-    """One row per participant per week starting after ``as_of``."""
-    j = participants.join(spine.filter(F.col("week_start_date") > as_of), on=on, how="inner")
+                      person_cols: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """One row per participant per week starting after ``as_of``; large programmes are dealt to several tasks."""
+    j = salted_join(participants, spine.filter(F.col("week_start_date") > as_of), [on], rows_per_task=rows_per_task)
     return j.select(F.col(on), *[F.col(c) for c in person_cols if c != on],
                     F.col("week_number").cast("string").alias("week_number"),
                     format_week_range("week_start_date", "week_end_date").alias("week_range"))

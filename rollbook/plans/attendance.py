@@ -34,9 +34,10 @@ Both plans are lazy; ``publish`` writes the staging table and builds gold from i
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +50,7 @@ from rollbook.operators.grid import entity_grid, expand_date_range
 from rollbook.operators.intervals import BUCKET_ROWS, merge_intervals, presence_ratio
 from rollbook.operators.joins import match_null_safe, substring_join
 from rollbook.operators.rollup import pivot_form
+from rollbook.operators.skew import ROWS_PER_TASK, salted_join
 from rollbook.operators.status import overall_status, row_status
 from rollbook.operators.weeks import UPCOMING, upcoming_scaffold, week_label, week_spine
 from rollbook.quality import conform
@@ -97,6 +99,7 @@ class AttendanceOptions:
     staff_pattern: str = STAFF_EMAIL_PATTERN
     grid_salt: int = 8
     bucket_rows: int = BUCKET_ROWS
+    rows_per_task: int = ROWS_PER_TASK  # learners of a programme that one task joins to its lessons or weeks
     strict_form_dates: bool = True      # DATE(text) raises on bad text, as the warehouse does
     waiver_form_ids: Sequence[str] = WAIVER_FORM_IDS
     waiver_questions: Mapping[str, str] = field(default_factory=lambda: dict(WAIVER_QUESTIONS))
@@ -180,25 +183,51 @@ def _excuses(t: TableRegistry) -> DataFrame:
 _CELL = ("primary_user_service_id", "program_code", "lesson_id")
 
 
+def _pairs_filled(own: Column, other: Column) -> Column:
+    """The original's combinations of two lists of rows: per measure the first non-null. A row without a gap stays itself."""
+    row = lambda a, b: F.struct(*[F.coalesce(a[m], b[m]).alias(m) for m in _MEASURES])
+    whole = lambda a: reduce(lambda x, y: x & y, [a[m].isNotNull() for m in _MEASURES])
+    return F.flatten(F.transform(own, lambda a: F.when(whole(a), F.array(row(a, a))).otherwise(
+        F.transform(other, lambda b: row(a, b)))))
+
+
 def attended_cells(t: TableRegistry, compute: DataFrame, o: AttendanceOptions) -> DataFrame:
     """Attendance per (learner, programme, lesson), own sessions first, then those found through the alias table.
 
-    Folded on the attendance side, before the learner x lesson grid sees it, so
-    the grid is joined once. A learner with several session labels or several
-    aliases gets the original's combinations (per measure the first non-null);
-    cells that neither lookup reaches are absent.
+    ``compute`` is used once: a cell's label rows become one array, each account
+    is joined once to what the alias table says of it, and the original's
+    combinations (per measure the first non-null) are made inside the cell.
+    Cells that neither lookup reaches are absent. With ``alt_key="primary"``
+    the second lookup is the cell itself, so the alias table only tells whose
+    gaps are filled from their other rows.
     """
-    own = compute.select(*_CELL, *_MEASURES)
-    look = "primary_user_service_id" if o.alt_key == "primary" else "primary_alt_account_user_service_id"
-    alias = t.ref("alt_accounts").filter(F.col("primary_alt_account_user_service_id").isNotNull()) \
-        .select("primary_user_service_id", F.col(look).alias("__look")).distinct()
-    other = compute.select(F.col("primary_user_service_id").alias("__look"), *_CELL[1:],
-                           *[F.col(m).alias(f"__o_{m}") for m in _MEASURES])
-    reached = alias.join(other.select("__look", *_CELL[1:]).distinct(), "__look").select(*_CELL)
-    cells = own.select(*_CELL).unionByName(reached).distinct()
-    both = cells.join(own.withColumn("__own", F.lit(True)), [*_CELL], "left") \
-        .join(alias, "primary_user_service_id", "left").join(other, ["__look", *_CELL[1:]], "left")
-    return both.select(*_CELL, *[F.coalesce(F.col(m), F.col(f"__o_{m}")).alias(m) for m in _MEASURES]).distinct()
+    rows = compute.groupBy(*_CELL).agg(F.collect_set(F.struct(*_MEASURES)).alias("__rows"))
+    alias = t.ref("alt_accounts").filter(F.col("primary_alt_account_user_service_id").isNotNull())
+    if o.alt_key == "primary":
+        named = alias.select("primary_user_service_id", F.lit(True).alias("__named")).distinct()
+        cells = rows.join(named, "primary_user_service_id", "left")
+        got = F.when(F.col("__named"), _pairs_filled(F.col("__rows"), F.col("__rows"))).otherwise(F.col("__rows"))
+    else:
+        # what an account is to others: the primaries that look it up, each with the number of accounts it looks up
+        looks = alias.select("primary_user_service_id", F.col("primary_alt_account_user_service_id").alias("__look")).distinct()
+        counts = looks.groupBy("primary_user_service_id").agg(F.count(F.lit(1)).alias("__n"))
+        known = looks.join(counts, "primary_user_service_id").groupBy(F.col("__look").alias("__account")).agg(
+            F.collect_list(F.struct("primary_user_service_id", "__n")).alias("__lookers"))
+        use = F.struct("primary_user_service_id", F.lit(True).alias("own"), F.lit(None).cast("bigint").alias("n"))
+        lent = F.transform(F.coalesce("__lookers", F.array().cast(known.schema["__lookers"].dataType)), lambda k: F.struct(
+            k["primary_user_service_id"].alias("primary_user_service_id"), F.lit(False).alias("own"), k["__n"].alias("n")))
+        uses = rows.join(known, F.col("primary_user_service_id") == F.col("__account"), "left") \
+            .select(F.explode(F.concat(F.array(use), lent)).alias("u"), *_CELL[1:], "__rows")
+        none = F.array(F.struct(*[F.lit(None).cast(compute.schema[m].dataType).alias(m) for m in _MEASURES]))
+        cells = uses.groupBy(F.col("u.primary_user_service_id").alias("primary_user_service_id"), *_CELL[1:]).agg(
+            F.first(F.when(F.col("u.own"), F.col("__rows")), ignorenulls=True).alias("__own"),
+            F.collect_list(F.when(~F.col("u.own"), F.col("__rows"))).alias("__others"), F.max("u.n").alias("__n"))
+        # an account that is looked up and was not there lends a row of nulls
+        cells = cells.join(counts.withColumnRenamed("__n", "__all"), "primary_user_service_id", "left")
+        absent = F.size("__others") < F.coalesce("__all", F.lit(0))
+        others = F.concat(F.flatten("__others"), F.when(absent | (F.size("__others") == 0), none).otherwise(F.slice(none, 1, 0)))
+        got = _pairs_filled(F.coalesce("__own", none), others)
+    return cells.select(*_CELL, F.explode(F.array_distinct(got)).alias("__row")).select(*_CELL, "__row.*")
 
 
 def excused_days(t: TableRegistry, learners: DataFrame) -> DataFrame:
@@ -319,7 +348,7 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
 
     wk = weeks(t)
     part = participants(t)
-    pl = part.join(lbw, "program_code")
+    pl = salted_join(part, lbw, ["program_code"], rows_per_task=o.rows_per_task)
     w = wk.select(F.col("program_code").alias("__w_pc"), "week_start_date", "week_end_date", "week_number")
     pl = pl.withColumn("__wk", week_start("lesson_date"))
     pl = pl.join(w, (pl["program_code"] == w["__w_pc"]) & (pl["__wk"] == w["week_start_date"]), "left")
@@ -371,7 +400,7 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
         "attendance_percentage", overall.alias("attendance_overall_status")).distinct()
 
     upcoming = upcoming_scaffold(part, wk, "program_code", today,
-                                 ["primary_user_service_id", "participant_name", "participant_email"])
+                                 ["primary_user_service_id", "participant_name", "participant_email"], o.rows_per_task)
     upcoming = upcoming.select(
         "program_code", "week_number", "week_range", "primary_user_service_id", "participant_name",
         "participant_email", F.lit(None).cast("string").alias("lesson_title"),
