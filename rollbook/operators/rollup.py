@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions.safe import safe_divide
@@ -21,19 +21,13 @@ def weighted_avg_or_avg(value: str, weight: str) -> Column:
     return F.when(F.sum(w) > 0, safe_divide(F.sum(v * w), F.sum(w))).otherwise(F.avg(F.col(value)))
 
 
-def _member_rows(df: DataFrame, member_col: str, members) -> DataFrame:
-    """Rows whose member is in ``members``: a literal list (pushed-down ``IN``) or a
-    one-column DataFrame of member codes (semi-join, broadcast by size only)."""
+def _numbered(base: DataFrame, member_col: str, members) -> tuple[DataFrame, Column, bool]:
+    """``base``, whether a row's member is in the set, and whether the set is a short list that fits 63 bits."""
     if isinstance(members, DataFrame):
-        codes = members.select(members.columns[0]).withColumnRenamed(members.columns[0], member_col)
-        return df.join(codes, on=member_col, how="left_semi")
-    return df.filter(F.col(member_col).isin(list(members)))
-
-
-def members_count(df: DataFrame, key: str, member_col: str, members) -> DataFrame:
-    """``count(distinct member)`` per key over rows whose member is in the set."""
-    return _member_rows(df, member_col, members).groupBy(key) \
-        .agg(F.count_distinct(member_col).alias("num_members"))
+        codes = members.select(F.col(members.columns[0]).alias("__code")).distinct()
+        return base.join(codes, F.col(member_col) == F.col("__code"), "left"), F.col("__code").isNotNull(), False
+    members = list(dict.fromkeys(members))
+    return base, F.coalesce(F.col(member_col).isin(members), F.lit(False)), len(members) <= 63
 
 
 def regional_rollup(base: DataFrame, key: str, group_cols: Sequence[str], member_col: str,
@@ -44,14 +38,39 @@ def regional_rollup(base: DataFrame, key: str, group_cols: Sequence[str], member
     ``base`` rows pass through unchanged; region rows group the member rows
     by ``group_cols`` (which include ``key``) and set ``member_col`` to
     ``region_code``. ``members`` is a literal list (the reference's five
-    country codes) or a DataFrame of codes. The count per key is a small
-    aggregate applied back with a semi-join on the key.
+    country codes) or a DataFrame of codes.
+
+    ``base`` is read once: every member row is expanded to itself and a copy
+    for its region group, one aggregate makes the region rows (equal base rows
+    are counted and come out as often as they went in), and the members of a
+    key are bits that are joined by OR, per group and then over the key's
+    groups, and counted (sets of codes beyond 63 listed ones).
     """
-    counts = members_count(base, key, member_col, members).filter(F.col("num_members") >= min_members)
-    rows = _member_rows(base, member_col, members).join(counts.select(key), on=key, how="left_semi")
-    region = rows.groupBy(*group_cols).agg(*[expr.alias(name) for name, expr in aggs.items()]) \
-        .withColumn(member_col, F.lit(region_code))
-    return base.unionByName(region.select(*base.columns))
+    rows, is_member, short = _numbered(base, member_col, members)
+    copies = rows.withColumn("__region", F.explode(F.when(is_member, F.array(F.lit(False), F.lit(True))).otherwise(
+        F.array(F.lit(False)))))
+    region = F.col("__region")
+    own = F.when(~region, F.struct(*[F.col(c) for c in base.columns]))
+    if short:
+        place = F.array_position(F.array(*[F.lit(m) for m in dict.fromkeys(members)]), F.col(member_col)).cast("int") - 1
+        seen = F.bit_or(F.when(region, F.call_function("shiftleft", F.lit(1).cast("bigint"), place)))
+        count = lambda w: F.bit_count(F.bit_or("__seen").over(w))
+    else:
+        seen = F.collect_set(F.when(region, F.col(member_col)))
+        count = lambda w: F.size(F.array_distinct(F.flatten(F.collect_set("__seen").over(w))))
+    grouped = copies.groupBy(own.alias("__own"), *[F.when(region, F.col(c)).alias(f"__g_{c}") for c in group_cols]).agg(
+        F.count(F.lit(1)).alias("__n"), seen.alias("__seen"), *[expr.alias(f"__a_{name}") for name, expr in aggs.items()])
+    # base rows stand alone in the window of the keys: their partition is the row itself
+    spanned = grouped.withColumn("__members", count(Window.partitionBy("__own", f"__g_{key}")))
+    made = {**{c: F.col(f"__g_{c}") for c in group_cols}, **{c: F.col(f"__a_{c}") for c in aggs}, member_col: F.lit(region_code)}
+    # columns take the wider of the two types, as a union does
+    empty = lambda df: base.sparkSession.createDataFrame([], df.schema)
+    wide = empty(base).unionByName(empty(spanned.select(*[made[c].alias(c) for c in base.columns]))).schema
+    own_row, region_row = (F.struct(*[source[c].cast(wide[c].dataType).alias(c) for c in base.columns])
+                           for source in ({c: F.col("__own")[c] for c in base.columns}, made))
+    out = F.when(F.col("__own").isNotNull(), F.array_repeat(own_row, F.col("__n").cast("int"))).when(
+        F.col(f"__g_{key}").isNotNull() & (F.col("__members") >= min_members), F.array(region_row))
+    return spanned.select(F.explode(out).alias("r")).select("r.*")
 
 
 def pivot_form(responses: DataFrame, questions: DataFrame, mapping: Mapping[str, str],

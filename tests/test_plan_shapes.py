@@ -70,3 +70,20 @@ def test_or_join_is_planned_as_equi_joins(spark):
     right = spark.createDataFrame([(dt.date(2024, 1, 1), "b")], "d date, k string")
     plan = _plan(any_key_match(left, right, [("day", "d")], ["e1", "e2", "e3"], "k", "w"))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_rollup_reads_its_base_once(spark, tmp_path):
+    from rollbook.operators.rollup import regional_rollup
+
+    rows = [("P1", "DEU", "x", 1), ("P1", "FRA", "x", 2), ("P1", "FRA", "x", 2), ("P2", "DEU", "x", 4), (None, "DEU", "x", 5),
+            (None, "FRA", "x", 6), ("P1", "USA", "y", 7), ("P3", None, "x", 8), ("P1", "ITA", "y", 9)]
+    spark.createDataFrame(rows, "program string, country string, phase string, n int").write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    region = [("P1", "EUR", "x", 5), ("P1", "EUR", "y", 9)]
+    codes = spark.createDataFrame([("DEU",), ("FRA",), ("ITA",), ("DEU",)], "code string")
+    for members in (["DEU", "FRA", "ITA", "DEU"], codes, [*"ABCDEFGH", *map(str, range(70)), "DEU", "FRA", "ITA"]):
+        out = regional_rollup(base, "program", ["program", "phase"], "country", members, "EUR", {"n": F.sum("n")})
+        assert sorted(map(tuple, out.collect()), key=str) == sorted(rows + region, key=str)
+        assert _plan(out).split("== Initial Plan ==")[0].count("FileScan parquet") == 1
+    three = regional_rollup(base, "program", ["program", "phase"], "country", ["DEU", "FRA", "ITA"], "EUR", {"n": F.sum("n")}, 4)
+    assert three.count() == len(rows)
