@@ -33,11 +33,13 @@ Both plans are lazy; ``publish`` writes the staging table and builds gold from i
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
-from typing import Mapping, Sequence
+from typing import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,8 +55,8 @@ from rollbook.operators.rollup import pivot_form
 from rollbook.operators.skew import ROWS_PER_TASK, salted_join
 from rollbook.operators.status import overall_status, row_status
 from rollbook.operators.weeks import UPCOMING, upcoming_scaffold, week_label, week_spine
-from rollbook.quality import conform
-from rollbook.sinks.snapshot import write_clustered
+from rollbook.quality import Check, checked_write, conform, test_name
+from rollbook.sinks.snapshot import clustered
 from rollbook.sources.tables import TableRegistry
 
 # Fixed values that must equal the reference's (placeholders it ships for the
@@ -414,11 +416,66 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
     return conform(out, GOLD_CONTRACT)
 
 
+#: Fixed value: the gold contract's primary key (declared, not enforced, in the original).
+GOLD_KEY = ("program_code", "primary_user_service_id", "week_number", "lesson_title")
+STAGING_LAYOUT = ("program_code", "primary_user_service_id")
+
+
+def gold_checks(severity: str = "warn") -> list[Check]:
+    """Tests of the gold table: its primary key, and its key columns' nulls."""
+    checks = [Check(test_name("general", "attendance", "primary_key"), column=",".join(GOLD_KEY), key=GOLD_KEY,
+                    severity=severity, quality_dimension="uniqueness", tags=("tst",))]
+    for c in GOLD_KEY[:3]:
+        checks.append(Check(test_name("general", "attendance", c), column=c, broken=F.col(c).isNull(), severity=severity,
+                            quality_dimension="completeness", tags=("tst",), context=GOLD_KEY))
+    # a lesson that has been held has a title; weeks to come have none
+    checks.append(Check(test_name("general", "attendance", "lesson_title"), column="lesson_title",
+                        broken=F.col("lesson_title").isNull(), where=f"attendance_overall_status <> '{UPCOMING}'",
+                        severity=severity, quality_dimension="completeness", tags=("tst",), context=GOLD_KEY))
+    return checks
+
+
+def write_staging(staged: DataFrame, path: str, table: str) -> DataFrame:
+    """Staging as an external table at ``path``: a bucket per (programme, learner) hash, sorted, as many as shuffle
+    partitions. Gold's join and aggregates on these columns then read it without an exchange; a large programme is
+    spread over all buckets by its learners."""
+    spark = staged.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged.repartition(n, *STAGING_LAYOUT).write.format("parquet").mode("overwrite").option("path", path) \
+        .bucketBy(n, *STAGING_LAYOUT).sortBy(*STAGING_LAYOUT).saveAsTable(table)
+    return spark.table(table)
+
+
+@contextmanager
+def partial_key_joins(spark: SparkSession) -> Iterator[None]:
+    """While open, a join may use a side's partitioning by some of its keys (the staging table's layout)."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def publish(t: TableRegistry, ctx: RunContext, staging_path: str, gold_path: str,
-            o: AttendanceOptions = AttendanceOptions()) -> DataFrame:
-    """Build both attendance tables: staging is written and read back (a lost executor re-reads
-    files, and gold's plan starts from a table of known size), then gold is checked and written."""
-    staging(t, ctx, o).write.mode("overwrite").parquet(staging_path)
-    staged = t.spark.read.parquet(staging_path)
-    write_clustered(gold(t, ctx, o, staged), gold_path, ["program_code", "lesson_title"])
-    return t.spark.read.parquet(gold_path)
+            o: AttendanceOptions = AttendanceOptions(), staging_table: str = "rollbook_attendance_staging",
+            log_path: str | None = None, failures_path: str | None = None, limit: int | None = 500,
+            severity: str = "warn", run_id: str | None = None) -> DataFrame:
+    """Build both attendance tables and return gold as it was written.
+
+    Staging is written in gold's layout and read back (a lost executor re-reads
+    files, and gold's plan starts from a table of known size). Gold is checked
+    against its contract, laid out by programme and lesson, and tested while it is
+    written: one row per test is appended at ``log_path`` (default: beside
+    gold), failing rows go to ``failures_path``. With ``severity="error"`` a broken
+    key raises ``CheckFailed`` after the log is written.
+    """
+    spark = t.spark
+    staged = write_staging(staging(t, ctx, o), staging_path, staging_table)
+    with partial_key_joins(spark):
+        laid_out = clustered(gold(t, ctx, o, staged), ["program_code", "lesson_title"])
+        checked_write(laid_out, lambda df: df.write.mode("overwrite").parquet(gold_path), lambda: spark.read.parquet(gold_path),
+                      gold_checks(severity), log_path or f"{gold_path.rstrip('/')}_log", run_id or uuid.uuid4().hex,
+                      ctx.created_at(), failures_path, limit)
+    return spark.read.parquet(gold_path)

@@ -23,7 +23,9 @@ table is pre-aggregated to one row per (programme, country) before its join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +34,7 @@ from rollbook.functions.dates import format_month, month_start, parse_month
 from rollbook.functions.safe import safe_divide
 from rollbook.operators.rollup import regional_rollup, weighted_avg_or_avg
 from rollbook.operators.status import phase_bucket, placement_rate, retention_rate, run_rate
-from rollbook.quality import conform
+from rollbook.quality import Check, CheckFailed, append_log, conform, run_checks, test_name
 from rollbook.sinks.snapshot import (
     guard_full_refresh, has_data, read_snapshot, should_snapshot, snapshot_exists, snapshot_merge,
 )
@@ -199,9 +201,36 @@ def snapshot_rows(t: TableRegistry, ctx: RunContext, target: str | None,
     return conform(rows, SNAPSHOT_CONTRACT)
 
 
-def run_snapshot(t: TableRegistry, ctx: RunContext, target: str,
-                 members=EUROPEAN_COUNTRIES) -> dict:
-    """Build and write the snapshot; returns what happened (for logs and tests)."""
+#: Fixed value: the contract's primary key (declared, not enforced, in the original).
+PRIMARY_KEY = ("program_code", "country", "snapshot_date")
+
+
+def snapshot_checks(rows: DataFrame, severity: str = "warn") -> list[Check]:
+    """Tests of a snapshot's rows: the primary key and its columns' nulls."""
+    return [Check(test_name("general", "mbr_snapshot", "primary_key"), column=",".join(PRIMARY_KEY), rows=rows, key=PRIMARY_KEY,
+                  severity=severity, quality_dimension="uniqueness", tags=("tst",)),
+            *[Check(test_name("general", "mbr_snapshot", c), column=c, rows=rows, broken=F.col(c).isNull(), severity=severity,
+                    quality_dimension="completeness", tags=("tst",)) for c in PRIMARY_KEY]]
+
+
+def log_snapshot(spark: SparkSession, target: str, ctx: RunContext, log_path: str, severity: str, run_id: str | None) -> None:
+    """Test the written rows of today in one scan, append the log, and raise if a check of severity 'error' failed."""
+    rows = read_snapshot(spark, target).filter(F.col("snapshot_date") == ctx.as_of())
+    results = run_checks(snapshot_checks(rows, severity)).collect()  # a row per check
+    append_log(spark.createDataFrame(results), log_path, run_id or uuid.uuid4().hex, ctx.created_at())
+    failed = [r["test_name"] for r in results if r["status"] == "fail"]
+    if failed:
+        raise CheckFailed(f"failed checks: {failed}")
+
+
+def run_snapshot(t: TableRegistry, ctx: RunContext, target: str, members=EUROPEAN_COUNTRIES,
+                 log_path: str | None = None, severity: str = "warn", run_id: str | None = None) -> dict:
+    """Build and write the snapshot; returns what happened (for logs and tests).
+
+    With ``log_path`` today's rows are tested after the write (primary key,
+    nulls) and a row per test is appended there; with ``severity="error"`` a broken
+    key raises ``CheckFailed``.
+    """
     guard_full_refresh(ctx)
     spark = t.spark
     first = not has_data(spark, target)
@@ -215,6 +244,8 @@ def run_snapshot(t: TableRegistry, ctx: RunContext, target: str,
         return {"mode": "incremental", "written": False, "snapshot_exists": exists}
     rows = snapshot_rows(t, ctx, target, members)
     n = snapshot_merge(rows, target, MERGE_KEY)
+    if log_path:
+        log_snapshot(spark, target, ctx, log_path, severity, run_id)
     return {"mode": "incremental", "written": True, "rows_today": n}
 
 

@@ -94,6 +94,7 @@ def snapshot_merge(new_rows: DataFrame, path: str, key: Sequence[str],
     batch = new_rows.withColumn(partition_col, dated.cast(new_rows.schema[partition_col].dataType))
     merged = batch
     if has_data(spark, path):
+        batch = cut_lineage(batch)  # its dates, its keys and its rows are read: computed once
         table = read_snapshot(spark, path)
         current = table.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
         kept = _with_columns_of(current, batch).join(batch.select(*key), on=list(key), how="left_anti")
@@ -114,9 +115,13 @@ def evolve_table_schema(spark: SparkSession, table: str, df: DataFrame) -> list[
     return [f.name for f in added]
 
 
+def clustered(df: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
+    """The rows in ranges of ``cluster_by``, sorted: each file written from it holds one range of the
+    columns, so min/max statistics prune scans. Ranges are cut by sampled row counts,
+    so a programme with a third of all rows is spread over many files."""
+    return df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+
+
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], mode: str = "overwrite") -> None:
-    """Full rebuild in ranges of ``cluster_by``: each file holds one range of the
-    columns, sorted, so min/max statistics prune scans. Ranges are cut by sampled
-    row counts, so a programme with a third of all rows is spread over many files."""
-    df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by) \
-        .write.mode(mode).parquet(path)
+    """Full rebuild in the layout of ``clustered``."""
+    clustered(df, cluster_by).write.mode(mode).parquet(path)
