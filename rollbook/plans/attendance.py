@@ -86,6 +86,9 @@ GOLD_COLUMNS = (
 )
 
 
+#: Columns that the written staging table is bucketed and sorted by.
+STAGING_LAYOUT = ("program_code", "primary_user_service_id")
+
 # The gold contract's types (all others are strings).
 _GOLD_TYPES = {"has_excused_attendance": T.BooleanType(), "is_exempt": T.BooleanType(),
                "has_waived_attendance": T.BooleanType(), "attendance_percentage": T.DoubleType()}
@@ -337,8 +340,14 @@ def exemptions(t: TableRegistry) -> DataFrame:
 
 
 def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOptions(),
-         staged: DataFrame | None = None) -> DataFrame:
-    """Participant x week x weekday attendance with statuses, plus upcoming weeks (13 columns)."""
+         staged: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+    """Participant x week x weekday attendance with statuses, plus upcoming weeks (13 columns).
+
+    ``staged``: the staging table if it is written already; ``buckets``: of how many
+    buckets in the layout of ``write_staging``. The participants' lessons are then
+    brought to that layout, and neither the join to staging nor the aggregate
+    behind it moves staging rows (plan it within ``partial_key_joins``).
+    """
     today = ctx.today_utc()
     # staging() ends with DISTINCT, so its rows need no second dedupe
     stg = staged.distinct() if staged is not None else staging(t, ctx, o)
@@ -365,10 +374,12 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
                    F.col("lesson_title").alias("__a_title"), F.col(match).alias("__a_match"),
                    "has_participant_attended_flag", "has_excused_attendance", "is_exempt",
                    "attendance_percentage")
+    who = ["primary_user_service_id", "participant_email"]
+    plc = match_null_safe(plc, waived_days(t, o, part.select(*who).distinct()), [*who, "lesson_date"], "left")
+    if buckets:
+        plc = plc.repartition(buckets, *STAGING_LAYOUT)
     j = plc.join(a, (plc["program_code"] == a["__a_pc"]) & (plc["primary_user_service_id"] == a["__a_pid"])
                  & (plc["lesson_title"] == a["__a_title"]) & (plc[match] == a["__a_match"]), "left")
-    who = ["primary_user_service_id", "participant_email"]
-    j = match_null_safe(j, waived_days(t, o, part.select(*who).distinct()), [*who, "lesson_date"], "left")
     hit = F.col("__a_pid").isNotNull()
     keys8 = ["program_code", "week_number", "week_range", "primary_user_service_id", "participant_name",
              "participant_email", "lesson_title", "day_of_week"]
@@ -418,7 +429,6 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
 
 #: Fixed value: the gold contract's primary key (declared, not enforced, in the original).
 GOLD_KEY = ("program_code", "primary_user_service_id", "week_number", "lesson_title")
-STAGING_LAYOUT = ("program_code", "primary_user_service_id")
 
 
 def gold_checks(severity: str = "warn") -> list[Check]:
@@ -435,12 +445,12 @@ def gold_checks(severity: str = "warn") -> list[Check]:
     return checks
 
 
-def write_staging(staged: DataFrame, path: str, table: str) -> DataFrame:
-    """Staging as an external table at ``path``: a bucket per (programme, learner) hash, sorted, as many as shuffle
-    partitions. Gold's join and aggregates on these columns then read it without an exchange; a large programme is
+def write_staging(staged: DataFrame, path: str, table: str, buckets: int | None = None) -> DataFrame:
+    """Staging as an external table at ``path``: a bucket per (programme, learner) hash, sorted, by default as many as
+    shuffle partitions. Gold's join and aggregates on these columns then read it without an exchange; a large programme is
     spread over all buckets by its learners."""
     spark = staged.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged.repartition(n, *STAGING_LAYOUT).write.format("parquet").mode("overwrite").option("path", path) \
         .bucketBy(n, *STAGING_LAYOUT).sortBy(*STAGING_LAYOUT).saveAsTable(table)
     return spark.table(table)
@@ -472,9 +482,10 @@ def publish(t: TableRegistry, ctx: RunContext, staging_path: str, gold_path: str
     key raises ``CheckFailed`` after the log is written.
     """
     spark = t.spark
-    staged = write_staging(staging(t, ctx, o), staging_path, staging_table)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged = write_staging(staging(t, ctx, o), staging_path, staging_table, buckets)
     with partial_key_joins(spark):
-        laid_out = clustered(gold(t, ctx, o, staged), ["program_code", "lesson_title"])
+        laid_out = clustered(gold(t, ctx, o, staged, buckets), ["program_code", "lesson_title"])
         checked_write(laid_out, lambda df: df.write.mode("overwrite").parquet(gold_path), lambda: spark.read.parquet(gold_path),
                       gold_checks(severity), log_path or f"{gold_path.rstrip('/')}_log", run_id or uuid.uuid4().hex,
                       ctx.created_at(), failures_path, limit)
