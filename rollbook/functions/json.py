@@ -14,15 +14,31 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def json_scalar(col, path: str) -> Column:
-    """Scalar at ``path`` as text; NULL for missing keys, objects, arrays, bad JSON."""
-    node = F.try_variant_get(F.try_parse_json(_c(col)), path, "variant")
+def parsed(col) -> Column:
+    """The document as VARIANT (NULL for bad JSON): parse once, then read many paths."""
+    return F.try_parse_json(_c(col))
+
+
+def variant_scalar(doc: Column, path: str) -> Column:
+    """Scalar at ``path`` of a parsed document as text; NULL for missing keys, objects, arrays."""
+    node = F.try_variant_get(doc, path, "variant")
     kind = F.schema_of_variant(node)
     is_container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     return F.when(node.isNull() | is_container, F.lit(None).cast("string")) \
         .otherwise(F.try_variant_get(node, "$", "string"))
 
 
+def variant_query(doc: Column, path: str) -> Column:
+    """JSON text of the node at ``path`` of a parsed document; NULL for a missing path."""
+    node = F.try_variant_get(doc, path, "variant")
+    return F.when(node.isNotNull(), F.to_json(node))
+
+
+def json_scalar(col, path: str) -> Column:
+    """Scalar at ``path`` as text; NULL for missing keys, objects, arrays, bad JSON."""
+    return variant_scalar(parsed(col), path)
+
+
 def json_bool(col, path: str, strict: bool = True) -> Column:
     """``CAST(JSON_VALUE(x, path) AS BOOL)``: only 'true'/'false' (any case) convert.
 
@@ -39,5 +55,4 @@ def json_bool(col, path: str, strict: bool = True) -> Column:
 def json_query(col, path: str) -> Column:
     """``JSON_QUERY``: the JSON text of the node at ``path`` (object, array or
     JSON-encoded scalar); NULL for a missing path or bad JSON."""
-    node = F.try_variant_get(F.try_parse_json(_c(col)), path, "variant")
-    return F.when(node.isNotNull(), F.to_json(node))
+    return variant_query(parsed(col), path)

@@ -143,6 +143,36 @@ def islands(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: st
         .drop("island_key")
 
 
+def sessionize(df: DataFrame, keys: Sequence[str], start: str, end: str, id_col: str, gap_seconds: int,
+               last: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Stitch drops and re-joins: records of a key that are at most ``gap_seconds`` apart are one session.
+
+    Returns per session: ``keys, join_time, leave_time, duration_seconds`` (present,
+    without the gaps), ``failover_count`` (gaps stitched over; overlapping or touching
+    records are none), ``failover_seconds`` (their length), ``n_records`` and the
+    ``last`` columns of its last record (by start, end, id). Two bucketed island scans: records
+    to stretches of presence, stretches to sessions. A record with a null key or
+    bound is a session of its own, without failovers.
+    """
+    keys, last = list(keys), list(last)
+    bad = _any_null([*keys, start, end])
+    latest = F.struct(F.col(start).alias("s"), F.col(end).alias("e"), F.col(id_col).alias("i"), *[F.col(c) for c in last])
+    present = scan_islands(df.filter(~bad), keys, start, end, id_col, bucket_rows).groupBy(*keys, "island_key").agg(
+        F.min(start).alias("__s"), F.max(end).alias("__e"), F.count(F.lit(1)).alias("__n"), F.max(latest).alias("__last"))
+    present = present.withColumn("__until", F.col("__e") + F.make_dt_interval(secs=F.lit(gap_seconds))).drop("island_key")
+    whole = scan_islands(present, keys, "__s", "__until", "__s", bucket_rows).groupBy(*keys, "island_key").agg(
+        F.min("__s").alias("join_time"), F.max("__e").alias("leave_time"),
+        F.sum(seconds_between("__s", "__e")).alias("duration_seconds"), (F.count(F.lit(1)) - 1).alias("failover_count"),
+        F.sum("__n").alias("n_records"), F.max("__last").alias("__last"))
+    whole = whole.withColumn("failover_seconds", seconds_between("join_time", "leave_time") - F.col("duration_seconds"))
+    out = ["join_time", "leave_time", "duration_seconds", "failover_count", "failover_seconds", "n_records"]
+    single = df.filter(bad).select(
+        *keys, F.col(start).alias("join_time"), F.col(end).alias("leave_time"), seconds_between(start, end).alias("duration_seconds"),
+        F.lit(0).cast("bigint").alias("failover_count"), F.lit(0).cast("bigint").alias("failover_seconds"),
+        F.lit(1).cast("bigint").alias("n_records"), *last)
+    return whole.select(*keys, *out, *[F.col(f"__last.{c}").alias(c) for c in last]).unionByName(single)
+
+
 _START, _REACH, _LOOSE = 0, 1, 2
 
 

@@ -4,7 +4,8 @@
 * ``any_key_match``: ``day = d AND key IN (k1, k2, k3)`` as one equi-join per key;
 * ``substring_join``: equal key plus ``LIKE '%' || t || '%'`` residual;
 * ``week_join``: ``date BETWEEN week_start AND week_end`` as an equi-join on
-  the Monday of the date (the spine's weeks are Monday-aligned and 7 days).
+  the Monday of the date (the spine's weeks are Monday-aligned and 7 days), or on
+  bins for any other calendar.
 
 None of them uses a nested-loop join; Catalyst and AQE choose broadcast or
 sort-merge per side from sizes in bytes, so no side is hinted.
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.dates import week_start
+from rollbook.operators.ranges import span_join
+
 
 def _and(conds: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
@@ -99,11 +102,17 @@ def substring_join(left: DataFrame, right: DataFrame, eq: Sequence[tuple[str, st
 
 
 def week_join(dates: DataFrame, weeks: DataFrame, eq: Sequence[tuple[str, str]], date_col: str,
-              week_start_col: str = "week_start_date", how: str = "left") -> DataFrame:
+              week_start_col: str = "week_start_date", how: str = "left", week_end_col: str = "week_end_date",
+              monday_weeks: bool = True) -> DataFrame:
     """``d.key = w.key AND d.date BETWEEN w.week_start AND w.week_end`` as an equi-join.
 
-    Exact when every spine row spans Monday..Sunday, which ``week_spine`` guarantees.
+    With ``monday_weeks`` every spine row must span Monday..Sunday, which
+    ``week_spine`` guarantees, and the date's Monday is the key. Any other calendar
+    (weeks from Sunday, sprints of ten days, overlapping spans) is joined on the
+    bins that its spans cover (``ranges.span_join``).
     """
+    if not monday_weeks:
+        return span_join(dates, weeks, eq, date_col, week_start_col, week_end_col, how)
     d = dates.withColumn("__wk", week_start(date_col))
     conds = [d[a] == weeks[b] for a, b in eq] + [d["__wk"] == weeks[week_start_col]]
     return d.join(weeks, _and(conds), how).drop("__wk")
