@@ -31,8 +31,8 @@ from rollbook.llm.common import materialise, ship
 
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 2048
-#: Stretches in which the lists are read.
-STEPS = 8
+#: Shares of the lists at which the bounds are compared, and queries whose bounds are held at once.
+DEPTHS, TOGETHER = (0.25, 0.5, 0.75, 0.875, 1.0), 256
 _OUT = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -43,47 +43,58 @@ def integer_vector(vector: Column, scale: int = 1024) -> Column:
 
 
 class SortedLists:
-    """The candidates of a block with one sorted list per dimension."""
+    """The candidates of a block with one sorted list per dimension; ``read`` counts list entries that queries read."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()  # dimension -> candidates, ascending
-        self.sorted = np.take_along_axis(vectors.T, self.order, axis=1).astype(np.float64)
-
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the k best candidates, ties to smaller ids."""
-        n, dims = self.vectors.shape
-        own = self.ids == query_id
-        active = np.flatnonzero(query)
-        q = query.astype(np.float64)
-        known = np.zeros(n)
-        unread = np.ones((n, dims))
-        worst = np.where(q > 0, self.sorted[:, 0], self.sorted[:, -1]) * q if n else np.zeros(dims)
-        slack = 1e-9 * (1 + float(np.abs(q) @ np.maximum(np.abs(self.sorted[:, 0]), np.abs(self.sorted[:, -1])))) if n else 0
-        front = np.zeros(dims)
-        contenders = np.flatnonzero(~own)
-        stretch = max(k, -(-n // STEPS))
-        read = 0
-        while read < n and len(contenders) > k:
-            stop = min(n, read + stretch)
-            for d in active:
-                part = slice(n - stop, n - read) if q[d] > 0 else slice(read, stop)
-                where = self.order[d, part]
-                known[where] += q[d] * self.sorted[d, part]
-                unread[where, d] = 0
-                front[d] = q[d] * self.sorted[d, n - stop if q[d] > 0 else stop - 1]
-            read = stop
-            low, high = known + unread @ worst, known + unread @ front
-            low[own], high[own] = -np.inf, -np.inf
-            if n - own.sum() <= k:
-                break
-            kth = np.partition(low, n - k)[n - k]
-            contenders = np.flatnonzero(high >= kth - slack)
-            if len(contenders) <= 4 * k + stretch // 4:
-                break
-        scores = self.vectors[contenders] @ query
-        best = np.lexsort((self.ids[contenders], -scores))[:k]
-        return self.ids[contenders][best], scores[best]
+        self.values = vectors.astype(np.float64)
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.place = np.empty_like(order)  # of each candidate in each list, ascending
+        np.put_along_axis(self.place, order, np.arange(len(ids))[:, None], axis=0)
+        self.sorted = np.take_along_axis(self.values, order, axis=0)
+        self.read = 0
+
+    def _bounds(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of all scores once ``depth`` entries of every list are read from their best ends."""
+        n = len(self.ids)
+        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+        if depth >= n:
+            exact = queries @ self.values.T
+            return exact, exact
+        top, bottom = self.place >= n - depth, self.place < depth
+        fill = lambda from_top, from_bottom: (up @ np.where(top, self.values, from_top).T
+                                              + down @ np.where(bottom, self.values, from_bottom).T)
+        low = fill(self.sorted[0], self.sorted[-1])
+        high = fill(self.sorted[n - depth], self.sorted[depth - 1])
+        return low, high
+
+    def top(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query the ids and exact scores of its k best candidates, ties to smaller ids."""
+        n = len(self.ids)
+        found: list = [None] * len(queries)
+        q = queries.astype(np.float64)
+        reach = np.maximum(np.abs(self.sorted[0]), np.abs(self.sorted[-1])) if n else np.zeros(queries.shape[1])
+        for a in range(0, len(queries), TOGETHER):
+            todo = np.arange(a, min(len(queries), a + TOGETHER))
+            for share in DEPTHS:
+                if not len(todo):
+                    break
+                depth = max(1, min(n, int(np.ceil(share * n)))) if n else 0
+                low, high = self._bounds(q[todo], depth)
+                own = self.ids == query_ids[todo][:, None]
+                low[own] = high[own] = -np.inf
+                kth = np.partition(low, n - k, axis=1)[:, n - k] if n > k else np.full(len(todo), -np.inf)
+                slack = 1e-9 * (1 + np.abs(q[todo]) @ reach)
+                contend = (high >= (kth - slack)[:, None]) & ~own
+                done = (contend.sum(axis=1) <= max(4 * k, n // 32)) | (depth >= n)
+                for row in np.flatnonzero(done).tolist():
+                    some = np.flatnonzero(contend[row])
+                    scores = self.vectors[some] @ queries[todo[row]]
+                    best = np.lexsort((self.ids[some], -scores))[:k]
+                    found[todo[row]] = self.ids[some][best], scores[best]
+                self.read += int(done.sum()) * depth * queries.shape[1]
+                todo = todo[~done]
+        return found
 
 
 def _block(k: int):
@@ -94,9 +105,8 @@ def _block(k: int):
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if is_query.any() and not is_query.all():
             lists = SortedLists(ids[~is_query], vectors[~is_query])
-            for i in np.flatnonzero(is_query):
-                found, scores = lists.top(int(ids[i]), vectors[i], k)
-                out.append((np.full(len(found), ids[i]), found, scores))
+            for query_id, (best, scores) in zip(ids[is_query], lists.top(ids[is_query], vectors[is_query], k)):
+                out.append((np.full(len(best), query_id), best, scores))
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols)))
 
