@@ -41,20 +41,22 @@ def participant_failover(spark, d):
 
 # D6 ------------------------------------------------------------------------------------
 _HOSTS_SQL = """
-hosts AS (SELECT s_suppkey AS host_id, ' User' || (s_suppkey % 80) || '@Example.org' AS email,
+hosts AS (SELECT s_suppkey AS host_id, ' User' || (s_suppkey - (s_suppkey % 5 = 0)::INT) || '@Example.org' AS email,
                  DATE '2024-01-01' + CAST(s_suppkey % 5 AS INTEGER) AS updated_at FROM supplier),
-users AS (SELECT c_custkey AS uid, 'user' || (c_custkey % 1000) || '@example.org' AS email FROM customer),
+users AS (SELECT c_custkey AS uid, 'user' || (c_custkey - (c_custkey % 7 = 0)::INT) || '@example.org' AS email FROM customer),
 pairs AS (SELECT host_id, uid, updated_at FROM hosts JOIN users ON lower(trim(hosts.email)) = users.email)"""
 
 
 def _hosts(spark, d):
-    mail = lambda key, n: F.concat(F.lit("user"), (F.col(key) % n).cast("string"), F.lit("@example.org"))
+    # every so often a host or a user has the address of the one before
+    mail = lambda key, n, name, at: F.concat(
+        F.lit(name), (F.col(key) - (F.col(key) % n == 0).cast("int")).cast("string"), F.lit(at))
     hosts = read_table(spark, d, "supplier").select(
         F.col("s_suppkey").alias("host_id"),
-        F.concat(F.lit(" User"), (F.col("s_suppkey") % 80).cast("string"), F.lit("@Example.org")).alias("email"),
+        mail("s_suppkey", 5, " User", "@Example.org").alias("email"),
         F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("s_suppkey") % 5).cast("int")).alias("updated_at"))
     users = read_table(spark, d, "customer").select(
-        F.col("c_custkey").alias("primary_user_service_id"), mail("c_custkey", 1000).alias("email"))
+        F.col("c_custkey").alias("primary_user_service_id"), mail("c_custkey", 7, "user", "@example.org").alias("email"))
     return hosts, users
 
 

@@ -76,11 +76,13 @@ def regional_rollup(base: DataFrame, key: str, group_cols: Sequence[str], member
 def pivot_form(responses: DataFrame, questions: DataFrame, mapping: Mapping[str, str],
                group_cols: Sequence[str], form_ids: Sequence[str] | None = None,
                question_col: str = "question_id", form_col: str = "form_id",
-               response_col: str = "response") -> DataFrame:
+               response_col: str = "response", rest: str | None = None) -> DataFrame:
     """Long form answers -> one column per question (``MAX(CASE WHEN q = id THEN r END)``).
 
     Questions and responses are joined case-insensitively on (question, form);
-    ``form_ids`` keeps forms whose upper-cased id is listed.
+    ``form_ids`` keeps forms whose upper-cased id is listed. ``rest`` names a column
+    for the answers to questions that ``mapping`` does not name: a sorted array
+    of ``question=answer``; without it they are left out, as in the original.
     """
     q = questions.select(F.col(question_col).alias("__qid"), F.col(form_col).alias("__qform"))
     r = responses
@@ -90,6 +92,9 @@ def pivot_form(responses: DataFrame, questions: DataFrame, mapping: Mapping[str,
                & (F.lower(r[form_col]) == F.lower(q["__qform"])), "inner")
     cols = [F.max(F.when(F.col("__qid") == qid, F.col(response_col))).alias(out)
             for qid, out in mapping.items()]
+    if rest:
+        other = F.concat(F.col("__qid"), F.lit("="), F.col(response_col))
+        cols.append(F.array_sort(F.collect_set(F.when(~F.col("__qid").isin(list(mapping)), other))).alias(rest))
     return j.groupBy(*group_cols).agg(*cols)
 
 

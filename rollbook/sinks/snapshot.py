@@ -59,15 +59,17 @@ def snapshot_exists(spark: SparkSession, path: str, day: dt.date,
     return spark.read.parquet(path).filter(F.col(partition_col) == F.lit(day)).limit(1).count() > 0
 
 
+def gate_open(friday, month_end, exists_today):
+    """The gate's rule for booleans or Columns of them: a Friday or a month's last day, without a snapshot so far."""
+    return (friday | month_end) & (exists_today == False)  # noqa: E712 (works for Columns too)
+
+
 def should_snapshot(ctx: RunContext, exists_today: bool) -> bool:
     """Gate: override, or (Friday or last day of month) and no snapshot yet today."""
     if ctx.override:
         return True
     day = ctx.as_of_date
-    next_day = day + dt.timedelta(days=1)
-    friday = day.isoweekday() == 5
-    month_end = next_day.month != day.month
-    return (friday or month_end) and not exists_today
+    return gate_open(day.isoweekday() == 5, (day + dt.timedelta(days=1)).month != day.month, exists_today)
 
 
 def _with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
