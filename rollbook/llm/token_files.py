@@ -35,6 +35,7 @@ columns are ignored; no rows give empty tables.
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +50,7 @@ BLOCK_DOCS = 1024
 BLOCK_BYTES = 4_000_000
 SAMPLE_BYTES = 16_384
 #: Bytes of a generation of encoded parts that a worker keeps.
-_CACHE_LIMIT = 64 << 20
+_CACHE_LIMIT = 96 << 20
 _BLOCKS = ("shard int, block int, dict_hash string, first_doc bigint, last_doc bigint, block_tokens bigint, "
            "doc_ids array<bigint>, n_tokens array<bigint>, offsets array<bigint>, frames binary")
 
@@ -63,6 +64,10 @@ class PartEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        #: ids that end a word
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
         self.known = Remembered(_CACHE_LIMIT)
 
     @classmethod
@@ -84,23 +89,39 @@ class PartEncoder:
             self._encode(units[k:k + 16384])
         for p, (stem, tail) in made.items():
             known[p] = known[stem] + known[tail] if tail else known[stem]
-        return [b"".join([known[p] for p in ps]) for ps in parts]
+        return [b"".join(map(known.__getitem__, ps)) for ps in parts]
 
     @staticmethod
     def _stem(part: bytes) -> tuple[bytes, ...]:
         """A word and the stops behind it: letters and stops never share a token of the vocabulary's pattern."""
         stem = part.rstrip(b".,")
-        if len(stem) < len(part) and stem and stem.decode("utf-8", "replace")[-1].isalpha():
+        # a letter that stays one when folded: that of U+0130 ends in a mark, which would join the stops
+        if len(stem) < len(part) and stem and stem.decode("utf-8", "replace")[-1].lower().isalpha():
             return stem, part[len(stem):]
         return part, b""
 
     def _encode(self, units: list[bytes]) -> None:
-        """Ids of separate units in one call; word_ids tell which unit an id belongs to."""
-        got = self.tokenizer.encode([u.decode("utf-8", "replace") for u in units], is_pretokenized=True,
-                                    add_special_tokens=False)
-        cut = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(units) + 1)) * 4
+        """Ids of separate units in one call; where each is one word of the vocabulary's pattern, its last id is marked
+        as a word's end, for the others word_ids tell which unit an id belongs to."""
+        words, others = [], []
+        for unit in units:
+            text = unit.decode("utf-8", "replace")
+            plain = unit.isalpha() or (text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text))
+            (words if plain else others).append((unit, text))
+        if words:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([t for _, t in words])], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(words) and ends[-1] == len(ids):
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                self.known.update(zip([u for u, _ in words], [raw[a:b] for a, b in zip([0, *ends], ends)]))
+            else:
+                others += words
+        if not others:
+            return
+        got = self.tokenizer.encode([t for _, t in others], is_pretokenized=True, add_special_tokens=False)
+        cut = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(others) + 1)) * 4
         ids, cut = np.array(got.ids, "<u4").tobytes(), cut.tolist()
-        for unit, start, end in zip(units, cut, cut[1:]):
+        for (unit, _), start, end in zip(others, cut, cut[1:]):
             self.known[unit] = ids[start:end]
 
 
@@ -182,9 +203,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         held = 0
         for pdf in batches:
             keys = pdf["doc_id"].astype("Int64")
-            for k in range(0, len(pdf), 256):
-                texts = [t if isinstance(t, str) else "" for t in pdf["text"].iloc[k:k + 256]]
-                for key, got in zip(keys.iloc[k:k + 256], encoder(texts)):
+            for k in range(0, len(pdf), 1024):
+                texts = [t if isinstance(t, str) else "" for t in pdf["text"].iloc[k:k + 1024]]
+                for key, got in zip(keys.iloc[k:k + 1024], encoder(texts)):
                     got += end
                     ids.append(None if key is pd.NA else int(key))
                     counts.append(len(got) // 4)

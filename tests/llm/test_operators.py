@@ -68,6 +68,29 @@ def test_token_files_match_whole_text_encoding(spark, docs, odd):
         assert sorted(got) == sorted(want)
 
 
+def test_part_encoder_equals_whole_texts_of_odd_characters():
+    import random
+
+    rnd, whole, parts = random.Random(3), tokenizer(), token_files.PartEncoder(P.path("word_bpe_49k.json"))
+    letters = "aàÀ\u0130ıßẞσςΣǅʰªｆ①e\u0301\u0308ŉ'.,!<|>-_0９ \u00a0\u2003\n한각\u1100\u1161梦\u00ad\u200b\u0345ᲀꙋ"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 40))) for _ in range(4000)]
+    for text, got in zip(texts, parts(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_token_files_with_a_third_of_the_rows_on_one_id(spark):
+    rows = [(7 if i % 3 == 0 else i, f"text number {i}") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    path = token_files.write_token_files(frame, scratch(spark, "t"), P.path("word_bpe_49k.json"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert spark.read.parquet(f"{path}/blocks").filter("first_doc <= 7 AND last_doc >= 7").select("shard").distinct().count() > 1
+    got = token_files.read_token_files(spark, path).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows)
+    ends = sorted((r.start, r.n_tokens, r.doc_id) for r in got)
+    assert all(a[0] + a[1] == b[0] and a[2] <= b[2] for a, b in zip(ends, ends[1:]))
+
+
 def test_token_files_short_document_access_and_empty_table(spark, docs, odd, none):
     path = token_files.write_token_files(docs, scratch(spark, "t"), P.path("word_bpe_49k.json"))
     everything = {r.doc_id: (r.start, r.n_tokens, bytes(r.ids)) for r in token_files.read_token_files(spark, path).collect()}
