@@ -28,9 +28,6 @@ Defined results for odd input
       are judged by the estimate of their whole language (large cells included),
       and those of a language with fewer than ``LEAST`` by that of all documents;
       only a table with fewer than ``LEAST`` in all has no estimate;
-    * with ``min_group`` given, smaller groups are pooled with the other small
-      groups of the language, then with all small pools, and a last pool that
-      is still small has no estimate and rejects nothing;
     * repeated rows count as often as they occur; ties at the ``h``-th distance
       are all taken in (whole bins);
     * extra columns pass through untouched.
@@ -56,7 +53,7 @@ SCALE = 1024
 FLOORS = (0.03, 0.2, 0.35, 0.25)
 P = len(FLOORS)
 #: Documents from which a (language, source) has an estimate of its own, and which any estimate needs.
-CELL, LEAST = 200, 10 * P
+CELL, LEAST = 10 * P, 10 * P
 _SYMBOLS = r"[#*$%&|<>]"
 _X = [f"_x{i}" for i in range(P)]
 
@@ -253,19 +250,6 @@ def fit_mcd(rows: DataFrame, share: float = 0.75, max_steps: int = 30, tolerance
             .drop("_rank", "_start", "_all"))
 
 
-def _pooled(cells: DataFrame, min_group: int) -> tuple[DataFrame, DataFrame]:
-    """Groups of which those under ``min_group`` have no estimate: who is fitted in which, who is judged by which."""
-    small = F.col("_n") < min_group
-    pools = cells.withColumn("_pool", F.sum(F.when(small, F.col("_n"))).over(Window.partitionBy("_lang")))
-    group = (F.when(~small, F.concat_ws(" ", F.lit("own"), "_lang", "_source"))
-             .when(F.col("_pool") >= min_group, F.concat_ws(" ", F.lit("lang"), "_lang"))
-             .otherwise(F.lit("rest")))
-    groups = materialise(pools.select("_lang", "_source", group.alias("_g"), "_n"), "quality-groups")
-    sized = groups.groupBy("_g").agg(F.sum("_n").alias("_all")).filter(F.col("_all") >= min_group).select("_g")
-    groups = groups.drop("_n").join(sized, "_g", "left_semi")
-    return groups, groups
-
-
 def _nested(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Cells, whole languages and all documents: who is fitted in which, who is judged by which."""
     cells = materialise(cells.withColumn("_pool", F.sum("_n").over(Window.partitionBy("_lang"))), "quality-cells")
@@ -279,13 +263,12 @@ def _nested(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def robust_outliers(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-                    keep: list[str] | None = None, share: float = 0.75, min_group: int | None = None,
+                    keep: list[str] | None = None, share: float = 0.75,
                     cutoff: float = 45.0, max_steps: int = 30, tolerance: float = 1e-3) -> DataFrame:
     """Counts, base rule, squared distance and verdict for every row of ``docs``.
 
-    ``keep``: columns passed through (default: all). ``min_group``: if given,
-    groups under it stay unjudged; else every document that passes the base
-    rules is judged. ``cutoff`` is compared with
+    ``keep``: columns passed through (default: all). Every document that passes the
+    base rules is judged. ``cutoff`` is compared with
     the squared Mahalanobis distance over four statistics; 45 leaves a tail
     of 4e-9 at the normal distribution, so only gross departures go.
     Returns ``keep`` + counts + ``base_failed``, ``distance2`` (null without an
@@ -300,7 +283,7 @@ def robust_outliers(docs: DataFrame, text: str = "text", lang: str = "lang", sou
 
     good = stats.filter(~F.col("base_failed"))
     cells = good.groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("_n"))
-    fitted, judges = _nested(cells) if min_group is None else _pooled(cells, min_group)
+    fitted, judges = _nested(cells)
 
     rows = good.select("_lang", "_source", *_X).join(fitted, ["_lang", "_source"]).select("_g", *_X)
     rows = materialise(rows, "mcd-rows")

@@ -249,32 +249,10 @@ def test_counts_match_brute_force(spark, docs, odd):
             assert tuple(r)[1:] == brute_counts(r.text)
 
 
-def test_mcd_matches_brute_force_and_rejects_outliers(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    got = robust_outliers.robust_outliers(docs, keep=["doc_id", "lang", "source"], min_group=10**9).toPandas()
-    assert (got[~got.base_failed].kept).all()  # no group is large enough: nothing is rejected
-    got = robust_outliers.robust_outliers(docs, keep=["doc_id", "lang"], min_group=100, tolerance=1e-9).toPandas()
-    rows = got[~got.base_failed]
-    n, chars = rows.n_words.to_numpy(), rows.word_chars.to_numpy()
-    x = np.round(robust_outliers.SCALE * np.stack([
-        np.log(chars / n), np.log1p(100 * rows.n_symbols / chars), np.log1p(rows.n_dup_lines),
-        np.arcsin(np.sqrt(rows.n_repeat_words / n))], axis=1))
-    pools = rows.groupby("lang").size()  # every (lang, source) is small here; so are some languages
-    group = rows.lang.where(rows.lang.map(pools) >= 100, "rest").to_numpy()
-    for g in set(group):
-        if (group == g).sum() >= 100:
-            assert np.allclose(rows.distance2[group == g], brute_mcd(x[group == g]), rtol=1e-5, atol=1e-6)
-        else:
-            assert rows.distance2[group == g].isna().all()
-    labels = pd.read_parquet("/root/testdata/sf0.01/labels.parquet")
-    judged = got.merge(labels, on="doc_id")
-    judged = judged[~judged.base_failed]
-    assert judged[judged.quality == 1].kept.all() and judged[judged.quality == 0].kept.mean() < 0.1
-
-
-@pytest.mark.parametrize("table, source", [(SMALL, "source"), ("/root/testdata/sf0.01", "if(doc_id % 7 = 0, 'rare', 'big')")])
+@pytest.mark.parametrize("table, source", [(SMALL, "source"), ("/root/testdata/sf0.01", "if(doc_id % 7 = 0, 'rare', 'big')"),
+                                           ("/root/testdata/sf0.1", "source")])
 def test_every_base_passing_document_is_judged(spark, table, source):
-    """Small cells by their whole language, small languages by all documents."""
+    """(language, source) cells by themselves, small ones by their whole language, small languages by all documents."""
     docs = spark.read.parquet(f"{table}/documents.parquet").withColumn("source", F.expr(source))
     got = robust_outliers.robust_outliers(docs, keep=["doc_id", "lang", "source"], tolerance=1e-9).toPandas()
     rows = got[~got.base_failed].reset_index(drop=True)
@@ -299,7 +277,7 @@ def test_outliers_odd_input(spark, odd, none):
     got = robust_outliers.robust_outliers(odd, keep=["doc_id", "score"]).collect()
     assert len(got) == len(ODD) and all(r.base_failed for r in got if r.n_words < 50)
     assert robust_outliers.keep_inliers(odd).columns == odd.columns
-    assert robust_outliers.keep_inliers(odd, min_group=1).count() <= 2
+    assert robust_outliers.keep_inliers(odd).count() <= 2
     assert robust_outliers.robust_outliers(none).count() == 0
 
 
@@ -591,3 +569,8 @@ def test_main_text_column(spark):
 
 def test_draw_is_fixed():
     assert hashlib.md5(b"12#7").hexdigest()[:8]  # the draw is this number over 2 ** 32
+
+
+def test_near_duplicates_refuse_a_similarity_that_they_cannot_find(docs):
+    with pytest.raises(ValueError, match="85"):
+        near_duplicates.near_duplicates(docs, percent=80)
