@@ -80,14 +80,14 @@ def rake(cells: DataFrame, tau: dict[str, float], iterations: int,
     return cells
 
 
-def probabilities(cells: DataFrame, budget: float, rounds: int = 8) -> DataFrame:
-    """Adds ``probability`` to raked cells."""
+def probabilities(cells: DataFrame, budget: float) -> DataFrame:
+    """Adds ``probability`` to raked cells; ends when no further cell is taken whole, after as many rounds as cells at most."""
     cells = materialise(cells, "raked")
     ratio = F.col("weight") / F.col("tokens")
     total, weight = cells.agg(F.sum("tokens").cast("double"), F.sum("weight")).first()
     wanted = budget * (total or 0.0)
     scale = wanted / weight if weight else 0.0
-    for _ in range(rounds):  # cells taken whole leave their share of the budget to the others
+    while True:  # cells taken whole leave their share of the budget to the others
         full = F.lit(scale) * ratio >= 1
         whole, rest = cells.filter("tokens > 0").agg(
             F.sum(F.when(full, F.col("tokens"))).cast("double"), F.sum(F.when(~full, F.col("weight")))).first()

@@ -303,6 +303,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """Groups of near-duplicates; ``percent`` is at least 85 (the candidate margins are made for it).
 
     doc_id, n_shingles, component_id (smallest doc_id of its group), kept (doc_id = component_id) per row."""
+    if not 85 <= percent <= 100:
+        raise ValueError("percent is 85 to 100: below that, lists and sketch margins would miss links")
     ship(docs.sparkSession)
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
     rows = materialise(ids.mapInPandas(_sketch_rows, _SKETCH_SCHEMA), "sketches")
