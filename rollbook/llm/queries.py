@@ -26,32 +26,43 @@ REPLY_SCHEMA = {"reply": {"properties": {"prompt": "string", "turn": "integer"},
 
 
 def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn calls the tool ``reply``; the assistant's next turn is its result, and a call depends on
-    the call two turns before it. The record goes out as its md5."""
+    """Each user turn calls the tool ``reply``; the assistant's next turn is its result, and a call depends on the
+    calls two and four turns before it. By the text's length modulo 7 the arguments lack the prompt (0), have a
+    number in its place (1), have a name too many (2), or are right. The record goes out as its md5."""
     turns = table(spark, sf_dir, "conversations")
     call = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"),
                                  (F.col("turn") + turn).cast("string"))
+    rest = F.length("text") % 7
+    arguments = (F.when(rest == 0, F.to_json(F.struct("turn")))
+                 .when(rest == 1, F.to_json(F.struct("turn", F.length("text").alias("prompt"))))
+                 .when(rest == 2, F.to_json(F.struct("turn", F.col("text").alias("prompt"), F.lit(True).alias("note"))))
+                 .otherwise(F.to_json(F.struct("turn", F.col("text").alias("prompt")))))
     calls = turns.filter("role = 'user'").select(
-        "conv_id", call(0).alias("call_id"), F.lit("reply").alias("name"),
-        F.to_json(F.struct("turn", F.col("text").alias("prompt"))).alias("arguments"),
-        F.when(F.col("turn") >= 2, F.array(call(-2))).alias("depends_on"), "turn")
+        "conv_id", call(0).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"),
+        F.when(F.col("turn") >= 4, F.array(call(-2), call(-4))).when(F.col("turn") >= 2, F.array(call(-2))).alias("depends_on"), "turn")
     results = turns.filter("role = 'assistant'").select(call(-1).alias("call_id"), F.col("text").alias("content"), "turn")
     out = tool_calls.link_calls(calls, results, REPLY_SCHEMA)
     return out.select("conv_id", "call_id", "turn", F.col("level").cast("bigint").alias("level"), "linked", "valid",
+                      F.array_join("violations", ",").alias("violations"),
                       "missing_dependencies", F.md5(F.col("record").cast("binary")).alias("record_md5"))
 
 
-_OP2_SQL = """WITH RECURSIVE u AS (SELECT DISTINCT conv_id, turn, text, 'c' || conv_id || '-' || turn AS call_id
+_OP2_SQL = """WITH RECURSIVE u0 AS (SELECT DISTINCT conv_id, turn, text, 'c' || conv_id || '-' || turn AS call_id
   FROM conversations WHERE role = 'user'),
+u AS (SELECT *, CASE WHEN text IS NULL THEN 0 WHEN length(text) % 7 < 3 THEN length(text) % 7 ELSE 3 END AS form FROM u0),
 a AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content FROM conversations WHERE role = 'assistant' GROUP BY ALL),
-l AS (SELECT conv_id, turn, 0 AS level FROM u WHERE NOT EXISTS (SELECT 1 FROM u p WHERE p.conv_id = u.conv_id AND p.turn = u.turn - 2)
-  UNION ALL SELECT u.conv_id, u.turn, l.level + 1 FROM l JOIN u ON u.conv_id = l.conv_id AND u.turn = l.turn + 2)
-SELECT u.conv_id, u.call_id, u.turn, l.level::BIGINT AS level, a.content IS NOT NULL AS linked, true AS valid,
-  (u.turn >= 2 AND l.level = 0)::BIGINT AS missing_dependencies,
-  md5('{"arguments":{"prompt":' || to_json(u.text) || ',"turn":' || u.turn || '},"call_id":' || to_json(u.call_id) ||
-      ',"content":' || coalesce(to_json(a.content)::VARCHAR, 'null') || ',"conv_id":' || u.conv_id || ',"level":' || l.level ||
-      ',"name":"reply","valid":true}') AS record_md5
-FROM u JOIN l USING (conv_id, turn) LEFT JOIN a USING (conv_id, turn)"""
+near AS (SELECT u.*, CASE WHEN b.turn IS NOT NULL THEN u.turn - 2 WHEN d.turn IS NOT NULL THEN u.turn - 4 END AS below,
+                (u.turn >= 2 AND b.turn IS NULL)::BIGINT + (u.turn >= 4 AND d.turn IS NULL)::BIGINT AS missing_dependencies
+         FROM u LEFT JOIN u b ON b.conv_id = u.conv_id AND b.turn = u.turn - 2 LEFT JOIN u d ON d.conv_id = u.conv_id AND d.turn = u.turn - 4),
+l AS (SELECT conv_id, turn, 0 AS level FROM near WHERE below IS NULL
+  UNION ALL SELECT n.conv_id, n.turn, l.level + 1 FROM l JOIN near n ON n.conv_id = l.conv_id AND n.below = l.turn)
+SELECT n.conv_id, n.call_id, n.turn, l.level::BIGINT AS level, a.content IS NOT NULL AS linked, form = 3 AS valid,
+  ['required:prompt', 'type:prompt', 'additional', ''][form + 1] AS violations, missing_dependencies,
+  md5('{"arguments":{' || CASE form WHEN 0 THEN '' WHEN 1 THEN '"prompt":' || length(text) || ',' ELSE
+      CASE form WHEN 2 THEN '"note":true,' ELSE '' END || '"prompt":' || to_json(text) || ',' END || '"turn":' || n.turn || '},"call_id":' ||
+      to_json(n.call_id) || ',"content":' || coalesce(to_json(a.content)::VARCHAR, 'null') || ',"conv_id":' || n.conv_id ||
+      ',"level":' || l.level || ',"name":"reply","valid":' || (form = 3)::VARCHAR || '}') AS record_md5
+FROM near n JOIN l USING (conv_id, turn) LEFT JOIN a USING (conv_id, turn)"""
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

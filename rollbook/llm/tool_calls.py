@@ -3,7 +3,9 @@
 Calls (conv_id, call_id, name, arguments, depends_on, turn) and results
 (call_id, content, turn) are linked by a hash join on the identifier. Calls are
 ordered topologically: level 0 depends on nothing, any other call stands one
-level above its highest dependency. Runs of single dependencies are contracted by
+level above its highest dependency. A dependency that a later dependency of the same
+call depends on itself cannot be the highest and is left out (only among
+dependencies on earlier turns, which form no cycle). Runs of single dependencies are contracted by
 pointer doubling, then each round settles the calls whose dependencies are
 settled (keyed joins on call_id, never a group per conversation). Arguments are parsed and checked against the tool's schema
 (required names, types, no unknown names unless the schema allows them). Each
@@ -58,12 +60,27 @@ def _chains(single: DataFrame) -> DataFrame:
     return cur
 
 
+def _without_shortcuts(links: DataFrame, turns: DataFrame) -> DataFrame:
+    """``links`` (call_id, on) without those that lead where another link leads in two steps, turn by turn downwards.
+
+    Such a link is never the highest dependency's: what is two steps down lies a level lower.
+    """
+    placed = materialise(links.join(turns, "call_id").join(turns.select(F.col("call_id").alias("on"), F.col("turn").alias("on_turn")), "on")
+                         .select("call_id", "turn", "on", "on_turn"), "call-turns")
+    down = placed.filter("on_turn < turn")
+    two = down.select("call_id", F.col("on").alias("mid")).join(
+        down.select(F.col("call_id").alias("mid"), "on"), "mid").select("call_id", "on").distinct()
+    return placed.join(two.join(down.select("call_id", "on"), ["call_id", "on"], "left_semi"), ["call_id", "on"], "left_anti") \
+        .select("call_id", "on")
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(call_id, level, missing_dependencies) for calls with ``depends_on`` (array of call ids or null).
 
     Runs of calls with a single dependency are contracted to their heads first,
     so a conversation of thousands of turns takes a few rounds; the remaining
     rounds are as many as there are layers of calls with several dependencies.
+    With a ``turn`` column, dependencies that others imply are left out before.
     """
     ids = calls.select("call_id")
     wanted = calls.select("call_id", F.explode(F.array_distinct(
@@ -72,6 +89,8 @@ def levels(calls: DataFrame) -> DataFrame:
     links = materialise(known, "call-links")
     missing = links.filter("_known IS NULL").groupBy("call_id").agg(F.count(F.lit(1)).alias("missing_dependencies"))
     links = links.filter("_known").select("call_id", "on")
+    if "turn" in calls.columns:
+        links = materialise(_without_shortcuts(links, calls.select("call_id", "turn")), "call-links")
     degree = links.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min("on").alias("on"))
     degree = materialise(degree, "call-degree")
     chains = _chains(degree.filter("n = 1"))

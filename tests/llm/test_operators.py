@@ -138,6 +138,27 @@ def test_levels_of_long_chains_layers_and_cycles(spark):
     assert got == want | dict.fromkeys(("x", "y", "z", "above", "top", "self"))
 
 
+def test_levels_with_turns_equal_levels_without(spark):
+    """Calls on several earlier ones, cycles and links to later turns among them."""
+    import random
+
+    rnd = random.Random(6)
+    rows = [(f"a{i}", [f"a{i - k}" for k in (1, 2, 5) if i >= k] or None, i) for i in range(120)]  # settled without a round a layer
+    rows += [(f"r{i}", [f"r{rnd.randrange(40)}" for _ in range(rnd.randrange(3))], rnd.randrange(9)) for i in range(40)]
+    rows += [(f"d{i}", [f"d{rnd.randrange(i)}" for _ in range(rnd.randrange(4))] if i else None, i // 2) for i in range(60)]
+    rows += [("x", ["y", "z"], 1), ("y", ["z", "x"], 2), ("z", ["x", "y"], 3), ("n", ["a3", "a2"], None)]
+    frame = spark.createDataFrame(rows, "call_id string, depends_on array<string>, turn int")
+    with_turns = {r.call_id: r.level for r in tool_calls.levels(frame).collect()}
+    on = {c: set(d or ()) for c, d, _ in rows}
+    want: dict = {}
+    while True:  # plain rounds
+        new = {c: 1 + max((want[d] for d in ds), default=-1) for c, ds in on.items() if c not in want and all(d in want for d in ds)}
+        if not new:
+            break
+        want |= new
+    assert with_turns == {c: want.get(c) for c in on} and with_turns["a119"] == 119
+
+
 # ------------------------------------------------------------------ 3 mixing
 
 def test_mix_meets_its_marginals(spark, docs):
