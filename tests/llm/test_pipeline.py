@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -84,10 +85,38 @@ def test_pipeline_on_an_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Null texts and ids, repeated rows, null language and source, and columns with the stages' own names."""
+    docs = table(spark, SF, "documents").filter("doc_id < 400").withColumns(
+        {"score": F.lit("mine"), "kept": F.col("doc_id"), "_g": F.lit(1), "rest": F.lit(None).cast("string"), "probability": F.lit("p")})
+    good = table(spark, SF, "labels").filter("quality = 1 AND doc_id < 400").limit(3).select("doc_id")
+    some = docs.join(good, "doc_id", "left_semi")
+    odd = docs.limit(4).withColumn("doc_id", F.col("doc_id") + 10_000)
+    every = docs.unionByName(some).unionByName(  # repeated rows; rows without an id; odd texts
+        some.withColumn("doc_id", F.lit(None).cast("bigint"))).unionByName(
+        odd.withColumns({"text": F.lit(None).cast("string"), "lang": F.lit(None).cast("string")})).unionByName(
+        odd.withColumns({"doc_id": F.col("doc_id") + 10, "text": F.lit(" \t\n"), "source": F.lit(None).cast("string")}))
+    every.write.parquet(str(tmp_path / "documents.parquet"))
+    table(spark, SF, "labels").write.parquet(str(tmp_path / "labels.parquet"))
+    now = table(spark, str(tmp_path), "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        before, now = now, materialise(stage(spark, now, str(tmp_path)), "odd")
+        if name != "byte-level BPE":
+            assert now.columns == every.columns, name
+            assert now.filter("score <> 'mine' OR probability <> 'p' OR rest IS NOT NULL").count() == 0
+        if name == "quality rules":
+            assert now.filter("text IS NULL OR doc_id >= 10000").count() == 0  # no words: the base rules fail
+            assert now.filter("doc_id IS NULL").count() == before.filter("doc_id IS NULL").count() == 3
+        if name == "near-duplicates":
+            assert now.filter("doc_id IS NULL").count() == 3
+            assert now.filter("doc_id IS NOT NULL").count() == now.filter("doc_id IS NOT NULL").select("doc_id").distinct().count()
+    assert now.columns == ["doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256"] and now.count() > 0
+
+
 def test_queries_are_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} <= {k.split("_")[0] + "_" for k in names if k.startswith("op")}
-    assert set(queries.ORACLE_SQL) <= set(queries.QUERIES) and len(queries.QUERIES) == 10
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} <= {k.split("_")[0] + "_" for k in names if k.startswith("op")}
+    assert set(queries.ORACLE_SQL) <= set(queries.QUERIES) and len(queries.QUERIES) == 13
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 
