@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir). All but the last return the columns of
 ``documents``; the last returns per document its id, token count and the
 digests of its token ids and of the bytes decoded from them.
+
+Defined results: null, empty and short texts fail the base rules and go; rows
+with a null id are judged like others, link with nothing and stay through the
+near-duplicate stage; rows that share an id come out of it as one; null
+languages and sources are values of their own; further columns of ``documents``,
+whatever their names, pass through the first four stages and are left out by
+the last; no rows give no rows.
 """
 
 from __future__ import annotations
