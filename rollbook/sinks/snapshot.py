@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,17 +34,16 @@ def guard_full_refresh(ctx: RunContext) -> None:
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
-    """Does ``path`` hold a data file? A folder left by an empty first run does not count."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    files = fs.listFiles(hpath, True)
-    while files.hasNext():
-        if files.next().getPath().getName().endswith(".parquet"):
-            return True
-    return False
+    """Does ``path`` hold a data file? A folder left by an empty first run does not count.
+
+    Files are listed by Spark's reader, whatever the store; no content is read."""
+    files = spark.read.format("binaryFile").options(pathGlobFilter="*.parquet", recursiveFileLookup="true")
+    try:
+        return not files.load(path).select("path").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
