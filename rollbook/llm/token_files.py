@@ -35,6 +35,7 @@ columns are ignored; no rows give empty tables.
 from __future__ import annotations
 
 import hashlib
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -50,11 +51,15 @@ BLOCK_DOCS = 1024
 BLOCK_BYTES = 4_000_000
 SAMPLE_BYTES = 16_384
 #: Bytes of a generation of encoded parts that a worker keeps.
-_CACHE_LIMIT = 96 << 20
+_CACHE_LIMIT = 128 << 20
 _BLOCKS = ("shard int, block int, dict_hash string, first_doc bigint, last_doc bigint, block_tokens bigint, "
            "doc_ids array<bigint>, n_tokens array<bigint>, offsets array<bigint>, frames binary")
 
 
+#: Stops behind a word of plain letters: letters and stops never share a token of the vocabulary's pattern.
+_STOPS = re.compile(rb"(?<=[a-z])([.,]+)(?=[\x20\x09-\x0D]|\Z)")
+
+
 class PartEncoder:
     """Whole texts to little-endian unsigned 32-bit ids, by their blank-separated parts."""
 
@@ -82,7 +87,7 @@ class PartEncoder:
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         # bytes: only \x20 and \x09-\x0D split, only A-Z fold (the vocabulary folds case itself; a text with the
         # mark of a special token is left as it is, since those are matched before folding)
-        parts = [(r if b"<|" in r else r.lower()).split() for r in raw]
+        parts = [(r if b"<|" in r else _STOPS.sub(rb" \1", r.lower())).split() for r in raw]
         made = {p: self._stem(p) for p in known.missing(set().union(*parts))}
         units = known.missing({u for pair in made.values() for u in pair}, same_batch=True)
         for k in range(0, len(units), 16384):
