@@ -57,7 +57,7 @@ _BLOCKS = ("shard int, block int, dict_hash string, first_doc bigint, last_doc b
 
 
 #: Stops behind a word of plain letters: letters and stops never share a token of the vocabulary's pattern.
-_STOPS = re.compile(rb"(?<=[a-z])([.,]+)(?=[\x20\x09-\x0D]|\Z)")
+_STOPS = re.compile(rb"[.,](?<=[a-z][.,])[.,]*(?=[\x20\x09-\x0D]|\Z)")
 
 
 class PartEncoder:
@@ -82,12 +82,12 @@ class PartEncoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[str | bytes]) -> list[bytes]:
         known = self.known
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        raw = [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") for t in texts]
         # bytes: only \x20 and \x09-\x0D split, only A-Z fold (the vocabulary folds case itself; a text with the
         # mark of a special token is left as it is, since those are matched before folding)
-        parts = [(r if b"<|" in r else _STOPS.sub(rb" \1", r.lower())).split() for r in raw]
+        parts = [(r if b"<|" in r else _STOPS.sub(rb" \g<0>", r.lower())).split() for r in raw]
         made = {p: self._stem(p) for p in known.missing(set().union(*parts))}
         units = known.missing({u for pair in made.values() for u in pair}, same_batch=True)
         for k in range(0, len(units), 16384):
@@ -209,7 +209,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         for pdf in batches:
             keys = pdf["doc_id"].astype("Int64")
             for k in range(0, len(pdf), 1024):
-                texts = [t if isinstance(t, str) else "" for t in pdf["text"].iloc[k:k + 1024]]
+                texts = [b"" if t is None else bytes(t) for t in pdf["text"].iloc[k:k + 1024]]
                 for key, got in zip(keys.iloc[k:k + 1024], encoder(texts)):
                     got += end
                     ids.append(None if key is pd.NA else int(key))
@@ -222,7 +222,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if ids:
             yield flush()
 
-    ordered = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
+    ordered = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
                .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text")))
     ordered.mapInPandas(blocks, _BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
     # starts: prefix sums over shards (one row per shard), then within each shard
