@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from rollbook.llm.common import Remembered, ship
 
 #: Bytes of a generation of encoded pieces that a worker keeps, and texts that are replayed at once.
-_CACHE_LIMIT = 32 << 20
+_CACHE_LIMIT = 24 << 20
 _TEXTS = 256
 
 

@@ -59,7 +59,7 @@ PROBES = 32
 MARGIN = 38 / 64
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 2_000_000
-_CACHE_LIMIT = 500_000
+_CACHE_LIMIT = 100_000
 _PAD = np.uint32(0xFFFFFFFF)
 
 

@@ -33,7 +33,7 @@ from rollbook.llm.common import ship
 
 BUCKETS = 1 << 14
 FACTORS = 8
-_CACHE_LIMIT = 300_000
+_CACHE_LIMIT = 100_000
 #: Byte classes counted for the structure statistics.
 _CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b"\n", b" \t\r\x0b\x0c",
             b"#*$%&|<>", b"!?", b".,;:'\"()-", bytes(range(128, 256)))
