@@ -196,9 +196,11 @@ def _pairs_filled(own: Column, other: Column) -> Column:
         F.transform(other, lambda b: row(a, b)))))
 
 
-def attended_cells(t: TableRegistry, compute: DataFrame, o: AttendanceOptions) -> DataFrame:
+def _attended(t: TableRegistry, compute: DataFrame, o: AttendanceOptions) -> DataFrame:
     """Attendance per (learner, programme, lesson), own sessions first, then those found through the alias table.
 
+    One row per cell, with its distinct rows of measures in the array ``__attended``.
+
     ``compute`` is used once: a cell's label rows become one array, each account
     is joined once to what the alias table says of it, and the original's
     combinations (per measure the first non-null) are made inside the cell.
@@ -232,7 +234,12 @@ def attended_cells(t: TableRegistry, compute: DataFrame, o: AttendanceOptions) -
         absent = F.size("__others") < F.coalesce("__all", F.lit(0))
         others = F.concat(F.flatten("__others"), F.when(absent | (F.size("__others") == 0), none).otherwise(F.slice(none, 1, 0)))
         got = _pairs_filled(F.coalesce("__own", none), others)
-    return cells.select(*_CELL, F.explode(F.array_distinct(got)).alias("__row")).select(*_CELL, "__row.*")
+    return cells.select(*_CELL, F.array_distinct(got).alias("__attended"))
+
+
+def attended_cells(t: TableRegistry, compute: DataFrame, o: AttendanceOptions) -> DataFrame:
+    """The rows of ``_attended``, one by one."""
+    return _attended(t, compute, o).select(*_CELL, F.explode("__attended").alias("__row")).select(*_CELL, "__row.*")
 
 
 def excused_days(t: TableRegistry, learners: DataFrame) -> DataFrame:
@@ -272,24 +279,41 @@ def exempt_lessons(t: TableRegistry) -> DataFrame:
                       json_bool("overrides", "$.is_required").alias("__required")).distinct()
 
 
+def _look_up(rows: DataFrame, person: Sequence[str], place: str, value: str) -> DataFrame:
+    """One row per person: ``value`` as a map by ``place``, which no two rows of a person share."""
+    return rows.filter(F.col(place).isNotNull()).groupBy(*person) \
+        .agg(F.map_from_entries(F.collect_list(F.struct(place, value))).alias(value))
+
+
 def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOptions()) -> DataFrame:
     """Learner x lesson attendance with excuses and exemptions (23 columns), lazy.
 
-    The grid is joined once to each of three small results (attendance,
-    excuses, exemptions), each distinct on what it adds, and deduplicated once.
+    What is known of a learner (attendance and exemptions by lesson, excuses by day)
+    is brought to the learner as maps before the grid is made, so no row of the grid is
+    moved after it: each looks up its lesson and its day. Learners and lessons are
+    distinct and so is each list that is looked up, hence the rows are too.
     """
-    learners = users(t)
-    grid = entity_grid(learners, lessons(t), on=["program_code"], salt_buckets=o.grid_salt)
-    grid = grid.withColumn("__day", F.to_date("lesson_start_date_ts"))
-    out = grid.join(attended_cells(t, session_attendance(t, o), o), list(_CELL), "left") \
-        .join(exempt_lessons(t), list(_CELL), "left")
-    out = match_null_safe(out, excused_days(t, learners),
-                          ["primary_user_service_id", "participant_email", "program_code", "__day"], "left")
+    learners, lesson = users(t), "lesson_id"
+    person, address = ["primary_user_service_id", "program_code"], ["primary_user_service_id", "participant_email", "program_code"]
+    attended = _look_up(_attended(t, session_attendance(t, o), o), person, lesson, "__attended")
+    exempt = exempt_lessons(t).groupBy(*_CELL).agg(
+        F.collect_set(F.coalesce(~F.col("__required"), F.lit(False))).alias("__exempt"))
+    told = ["has_excused_attendance", "excuse_submitted_date", "excuse_reason"]
+    excused = excused_days(t, learners).groupBy(*address, "__day").agg(F.collect_set(F.struct(*told)).alias("__excused"))
+    who = learners.join(attended, person, "left").join(_look_up(exempt, person, lesson, "__exempt"), person, "left")
+    who = match_null_safe(who, _look_up(excused, address, "__day", "__excused"), address, "left")
+    grid = entity_grid(who, lessons(t), on=["program_code"], salt_buckets=o.grid_salt, counted=learners)
+    out = grid.withColumns({
+        "__attended": F.try_element_at("__attended", F.col(lesson)), "__exempt": F.try_element_at("__exempt", F.col(lesson)),
+        "__excused": F.try_element_at("__excused", F.to_date("lesson_start_date_ts"))})
+    for found in ("__attended", "__exempt", "__excused"):
+        out = out.withColumn(found, F.explode_outer(found))
     return out.withColumns({
-        "has_excused_attendance": F.coalesce("has_excused_attendance", F.lit(False)),
-        "is_exempt": F.coalesce(~F.col("__required"), F.lit(False)),
+        **{m: F.col(f"__attended.{m}") for m in _MEASURES}, **{c: F.col(f"__excused.{c}") for c in told[1:]},
+        "has_excused_attendance": F.coalesce("__excused.has_excused_attendance", F.lit(False)),
+        "is_exempt": F.coalesce("__exempt", F.lit(False)),
         "edw_created_at": ctx.created_at(),
-    }).select(*STAGING_COLUMNS).distinct()
+    }).select(*STAGING_COLUMNS)
 
 
 def weeks(t: TableRegistry) -> DataFrame:
@@ -349,7 +373,7 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
     behind it moves staging rows (plan it within ``partial_key_joins``).
     """
     today = ctx.today_utc()
-    # staging() ends with DISTINCT, so its rows need no second dedupe
+    # the rows of staging() are distinct, they need no second dedupe
     stg = staged.distinct() if staged is not None else staging(t, ctx, o)
     day = F.to_date(F.coalesce(F.to_date("lesson_start_date_ts"), F.to_date("meeting_start_time_ts")))
     raw = stg.withColumn("lesson_date", day).withColumn("day_of_week", day_name(day)) \
