@@ -93,12 +93,15 @@ def substring_join(left: DataFrame, right: DataFrame, eq: Sequence[tuple[str, st
 
     ``%`` and ``_`` inside the right text stay wildcards, as in the SQL.
     The equi-key keeps this a hash/sort-merge join; only rows of one key
-    are tested against each other.
+    are tested against each other. A right text without wildcards or escapes
+    is searched as it is, only others are compiled to a pattern per pair.
     """
     l, r = left.alias("__l"), right.alias("__r")
     conds = [F.col(f"__l.{a}") == F.col(f"__r.{b}") for a, b in eq]
+    text, part = F.col(f"__l.{left_text}"), F.col(f"__r.{right_text}")
+    plain = F.translate(part, "%_\\", "") == part
     like = F.expr(f"`__l`.`{left_text}` LIKE concat('%', `__r`.`{right_text}`, '%')")
-    return l.join(r, _and(conds) & like, how)
+    return l.join(r, _and(conds) & F.when(plain, text.contains(part)).otherwise(like), how)
 
 
 def week_join(dates: DataFrame, weeks: DataFrame, eq: Sequence[tuple[str, str]], date_col: str,

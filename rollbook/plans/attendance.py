@@ -383,23 +383,25 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
 
     wk = weeks(t)
     part = participants(t)
-    pl = salted_join(part, lbw, ["program_code"], rows_per_task=o.rows_per_task)
-    w = wk.select(F.col("program_code").alias("__w_pc"), "week_start_date", "week_end_date", "week_number")
-    pl = pl.withColumn("__wk", week_start("lesson_date"))
-    pl = pl.join(w, (pl["program_code"] == w["__w_pc"]) & (pl["__wk"] == w["week_start_date"]), "left")
+    # weeks meet the lessons and waived days the participants before the product of both; all that follows are maxima,
+    # so a row of the product may come twice
+    w = wk.select(F.col("program_code").alias("__w_pc"), "week_start_date", "week_end_date", "week_number").distinct()
+    lbw = lbw.withColumn("__wk", week_start("lesson_date"))
+    lbw = lbw.join(w, (lbw["program_code"] == w["__w_pc"]) & (lbw["__wk"] == w["week_start_date"]), "left").drop("__w_pc", "__wk")
+    who = ["primary_user_service_id", "participant_email"]
+    waived = waived_days(t, o, part.select(*who).distinct()).groupBy(*who).agg(F.collect_set("lesson_date").alias("__waived_days"))
+    pl = salted_join(match_null_safe(part, waived, who, "left"), lbw, ["program_code"], rows_per_task=o.rows_per_task)
     number, rng = week_label(F.col("lesson_date"), F.col("program_start_ts"), F.col("week_number"),
                              F.col("week_start_date"), F.col("week_end_date"))
     plc = pl.select("program_code", "primary_user_service_id", "participant_name", "participant_email",
                     "lesson_title", "day_of_week", "lesson_date", number.alias("week_number"),
-                    rng.alias("week_range")).distinct()
+                    rng.alias("week_range"), F.array_contains("__waived_days", F.col("lesson_date")).alias("__waived"))
 
     match = "day_of_week" if o.match_attendance_on == "weekday" else "lesson_date"
     a = raw.select(F.col("program_code").alias("__a_pc"), F.col("primary_user_service_id").alias("__a_pid"),
                    F.col("lesson_title").alias("__a_title"), F.col(match).alias("__a_match"),
                    "has_participant_attended_flag", "has_excused_attendance", "is_exempt",
                    "attendance_percentage")
-    who = ["primary_user_service_id", "participant_email"]
-    plc = match_null_safe(plc, waived_days(t, o, part.select(*who).distinct()), [*who, "lesson_date"], "left")
     if buckets:
         plc = plc.repartition(buckets, *STAGING_LAYOUT)
     j = plc.join(a, (plc["program_code"] == a["__a_pc"]) & (plc["primary_user_service_id"] == a["__a_pid"])
@@ -414,14 +416,16 @@ def gold(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOpt
         F.max(F.when(hit, F.col("attendance_percentage"))).alias("attendance_percentage"),
         F.max(F.coalesce("__waived", F.lit(False))).alias("has_waived_attendance"))
 
-    fe = exemptions(t)
-    fj = substring_join(ag, fe, eq=[("primary_user_service_id", "learner_id")],
+    # a learner's exemptions hold in all programmes; entered under each, they meet rows laid out by programme and learner
+    fe = exemptions(t).join(part.select(F.col("program_code").alias("__fe_pc"), F.col("primary_user_service_id").alias("learner_id"))
+                            .distinct(), "learner_id")
+    fj = substring_join(ag, fe, eq=[("program_code", "__fe_pc"), ("primary_user_service_id", "learner_id")],
                         left_text="lesson_title", right_text="fe_title")
     status = row_status(F.col("optional") == "true", F.col("has_excused_attendance"),
                         F.col("has_participant_attended_flag"))
     keys7 = [k for k in keys8 if k != "lesson_title"]
     final = fj.groupBy(*keys7).agg(
-        F.array_join(F.array_sort(F.collect_set("lesson_title")), " / ").alias("lesson_title"),
+        F.array_join(F.sort_array(F.collect_set("lesson_title")), " / ").alias("lesson_title"),
         F.max(status).alias("week_attendance"),
         F.max("has_excused_attendance").alias("has_excused_attendance"),
         F.when(F.max("optional") == "true", F.lit("true")).otherwise(F.lit("false")).alias("is_exempt"),
