@@ -45,3 +45,21 @@ def test_substring_join_equals_like_for_plain_and_wild_texts(spark):
     for how in ("inner", "left"):
         want = left.join(right, F.expr("k = j AND t LIKE concat('%', p, '%')"), how)
         assert rows_of(substring_join(left, right, [("k", "j")], "t", "p", how)) == rows_of(want)
+
+
+def test_published_gold_is_not_moved_for_the_exemptions(spark, tmp_path):
+    """Rows laid out by programme and learner for staging stay there up to the join with the exemptions, and behind it."""
+    tables, name = attendance_tables(spark), "staging_of_test_gold_grid"
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    staged = attendance.write_staging(attendance.staging(tables, CTX), str(tmp_path / "s"), name, 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with attendance.partial_key_joins(spark):
+            plan = attendance.gold(tables, CTX, staged=staged, buckets=8)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql(f"DROP TABLE {name}")
+    lines = plan.splitlines()
+    until = next(i for i, x in enumerate(lines) if re.search(r"SortMergeJoin .*__a_pc", x))
+    assert any(re.search(r"SortMergeJoin .*learner_id", x) for x in lines[:until])
+    assert not any("Exchange" in x for x in lines[:until]), lines[:until]
