@@ -37,7 +37,7 @@ import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
-from typing import Iterator, Mapping, Sequence
+from typing import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -185,6 +185,8 @@ def _excuses(t: TableRegistry) -> DataFrame:
     return latest.drop("form_id")
 
 
+#: Column of a learner's part of the grid, and the most parts.
+_PART, _MOST_PARTS = "__bucket_part", 1 << 30
 _CELL = ("primary_user_service_id", "program_code", "lesson_id")
 
 
@@ -206,9 +208,10 @@ def _attended(t: TableRegistry, compute: DataFrame, o: AttendanceOptions) -> Dat
     combinations (per measure the first non-null) are made inside the cell.
     Cells that neither lookup reaches are absent. With ``alt_key="primary"``
     the second lookup is the cell itself, so the alias table only tells whose
-    gaps are filled from their other rows.
+    gaps are filled from their other rows. Rows move once, to their account: cells
+    are made there and meet the alias table there, be it broadcast or not.
     """
-    rows = compute.groupBy(*_CELL).agg(F.collect_set(F.struct(*_MEASURES)).alias("__rows"))
+    rows = compute.repartition("primary_user_service_id").groupBy(*_CELL).agg(F.collect_set(F.struct(*_MEASURES)).alias("__rows"))
     alias = t.ref("alt_accounts").filter(F.col("primary_alt_account_user_service_id").isNotNull())
     if o.alt_key == "primary":
         named = alias.select("primary_user_service_id", F.lit(True).alias("__named")).distinct()
@@ -279,30 +282,63 @@ def exempt_lessons(t: TableRegistry) -> DataFrame:
                       json_bool("overrides", "$.is_required").alias("__required")).distinct()
 
 
-def _look_up(rows: DataFrame, person: Sequence[str], place: str, value: str) -> DataFrame:
-    """One row per person: ``value`` as a map by ``place``, which no two rows of a person share."""
-    return rows.filter(F.col(place).isNotNull()).groupBy(*person) \
-        .agg(F.map_from_entries(F.collect_list(F.struct(place, value))).alias(value))
+def _met(learners: DataFrame, attended: DataFrame, exempt: DataFrame, excused: DataFrame, part: Column,
+         lay_out: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The learners with what is known of each, as maps that no two rows of a learner share an entry of.
 
-
-def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOptions()) -> DataFrame:
+    Learners and facts lie in one table, so all of them move once, to their part, and no
+    learner is moved with its maps. A null account or programme has neither attendance nor
+    exemptions; excuses meet the learner's address, null or not.
+    """
+    person = ["primary_user_service_id", "program_code"]
+    told = [c for c in learners.columns if c not in person]
+
+    def facts(rows: DataFrame, name: str, *kept: str) -> DataFrame:
+        return rows.select(*person, F.struct(*kept).alias(name))
+
+    known = lambda rows: rows.dropna(subset=list(_CELL))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        facts(learners, "__who", *told), facts(known(attended), "__attended", "lesson_id", "__attended"),
+        facts(known(exempt), "__exempt", "lesson_id", "__exempt"),
+        facts(excused.filter(F.col("__day").isNotNull()), "__excused", "participant_email", "__day", "__excused")])
+    per = lay_out(rows.withColumn(_PART, part)).groupBy(_PART, *person).agg(
+        *[F.collect_list(c).alias(c) for c in ("__who", "__attended", "__exempt", "__excused")])
+    own = F.filter("__excused", lambda x: x["participant_email"].eqNullSafe(F.col("__one.participant_email")))
+    return per.withColumn("__one", F.explode("__who")).select(
+        _PART, *person, *[F.col(f"__one.{c}") for c in told],
+        F.map_from_entries("__attended").alias("__attended"), F.map_from_entries("__exempt").alias("__exempt"),
+        F.map_from_entries(F.transform(own, lambda x: F.struct(x["__day"], x["__excused"]))).alias("__excused"))
+
+
+def staging(t: TableRegistry, ctx: RunContext, o: AttendanceOptions = AttendanceOptions(),
+            buckets: int | None = None) -> DataFrame:
     """Learner x lesson attendance with excuses and exemptions (23 columns), lazy.
 
     What is known of a learner (attendance and exemptions by lesson, excuses by day)
     is brought to the learner as maps before the grid is made, so no row of the grid is
     moved after it: each looks up its lesson and its day. Learners and lessons are
     distinct and so is each list that is looked up, hence the rows are too.
+
+    Learners lie in parts by the hash of programme and account, and the grid is made there. Each task
+    has those of one of ``buckets`` (default: as many as shuffle partitions), the same as in
+    ``write_staging`` of as many, so the rows need not be moved to be written.
     """
-    learners, lesson = users(t), "lesson_id"
-    person, address = ["primary_user_service_id", "program_code"], ["primary_user_service_id", "participant_email", "program_code"]
-    attended = _look_up(_attended(t, session_attendance(t, o), o), person, lesson, "__attended")
+    lesson, n = "lesson_id", buckets or int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    learners = users(t)
+    address = ["primary_user_service_id", "participant_email", "program_code"]
     exempt = exempt_lessons(t).groupBy(*_CELL).agg(
         F.collect_set(F.coalesce(~F.col("__required"), F.lit(False))).alias("__exempt"))
     told = ["has_excused_attendance", "excuse_submitted_date", "excuse_reason"]
     excused = excused_days(t, learners).groupBy(*address, "__day").agg(F.collect_set(F.struct(*told)).alias("__excused"))
-    who = learners.join(attended, person, "left").join(_look_up(exempt, person, lesson, "__exempt"), person, "left")
-    who = match_null_safe(who, _look_up(excused, address, "__day", "__excused"), address, "left")
-    grid = entity_grid(who, lessons(t), on=["program_code"], salt_buckets=o.grid_salt, counted=learners)
+    # the task is the part modulo n, that is the bucket; the rest keeps the programmes of a bucket apart
+    part = F.pmod(F.hash(*STAGING_LAYOUT), F.lit(n)) + F.lit(n) * F.pmod(F.hash("program_code"), F.lit(_MOST_PARTS // n))
+
+    def lay_out(rows: DataFrame) -> DataFrame:
+        return rows.repartitionById(n, F.col(_PART))
+
+    who = _met(learners, _attended(t, session_attendance(t, o), o), exempt, excused, part, lay_out)
+    grid = entity_grid(who, lessons(t), on=["program_code"], salt_buckets=o.grid_salt,
+                       counted=learners.withColumn(_PART, part), part=_PART, lay_out=lay_out)
     out = grid.withColumns({
         "__attended": F.try_element_at("__attended", F.col(lesson)), "__exempt": F.try_element_at("__exempt", F.col(lesson)),
         "__excused": F.try_element_at("__excused", F.to_date("lesson_start_date_ts"))})
@@ -473,13 +509,14 @@ def gold_checks(severity: str = "warn") -> list[Check]:
     return checks
 
 
-def write_staging(staged: DataFrame, path: str, table: str, buckets: int | None = None) -> DataFrame:
+def write_staging(staged: DataFrame, path: str, table: str, buckets: int | None = None, laid_out: bool = False) -> DataFrame:
     """Staging as an external table at ``path``: a bucket per (programme, learner) hash, sorted, by default as many as
     shuffle partitions. Gold's join and aggregates on these columns then read it without an exchange; a large programme is
-    spread over all buckets by its learners."""
+    spread over all buckets by its learners. Rows that are ``laid_out`` (``staging`` with as many buckets) are written where
+    they are."""
     spark = staged.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged.repartition(n, *STAGING_LAYOUT).write.format("parquet").mode("overwrite").option("path", path) \
+    (staged if laid_out else staged.repartition(n, *STAGING_LAYOUT)).write.format("parquet").mode("overwrite").option("path", path) \
         .bucketBy(n, *STAGING_LAYOUT).sortBy(*STAGING_LAYOUT).saveAsTable(table)
     return spark.table(table)
 
@@ -502,7 +539,7 @@ def publish(t: TableRegistry, ctx: RunContext, staging_path: str, gold_path: str
             severity: str = "warn", run_id: str | None = None) -> DataFrame:
     """Build both attendance tables and return gold as it was written.
 
-    Staging is written in gold's layout and read back (a lost executor re-reads
+    Staging is made and written in gold's layout and read back (a lost executor re-reads
     files, and gold's plan starts from a table of known size). Gold is checked
     against its contract, laid out by programme and lesson, and tested while it is
     written: one row per test is appended at ``log_path`` (default: beside
@@ -511,7 +548,7 @@ def publish(t: TableRegistry, ctx: RunContext, staging_path: str, gold_path: str
     """
     spark = t.spark
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = write_staging(staging(t, ctx, o), staging_path, staging_table, buckets)
+    staged = write_staging(staging(t, ctx, o, buckets), staging_path, staging_table, buckets, laid_out=True)
     with partial_key_joins(spark):
         laid_out = clustered(gold(t, ctx, o, staged, buckets), ["program_code", "lesson_title"])
         checked_write(laid_out, lambda df: df.write.mode("overwrite").parquet(gold_path), lambda: spark.read.parquet(gold_path),

@@ -63,3 +63,31 @@ def test_published_gold_is_not_moved_for_the_exemptions(spark, tmp_path):
     until = next(i for i, x in enumerate(lines) if re.search(r"SortMergeJoin .*__a_pc", x))
     assert any(re.search(r"SortMergeJoin .*learner_id", x) for x in lines[:until])
     assert not any("Exchange" in x for x in lines[:until]), lines[:until]
+
+
+def test_published_staging_is_made_where_it_is_written(spark, tmp_path, monkeypatch):
+    """Learners lie in the table's buckets before they meet their facts and lessons: no row of the grid, and no learner with
+    its maps, is moved to be joined or written, and each bucket is one file."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    name = "staging_of_test_made_where_written"
+    try:
+        rows = attendance.staging(attendance_tables(spark), CTX, buckets=16)
+        plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+        staged = attendance.write_staging(rows, str(tmp_path / "s"), name, 16, laid_out=True)
+        assert rows_of(staged) == rows_of(attendance.staging(attendance_tables(spark), CTX))
+        buckets = [int(re.search(r"_(\d{5})\.", x).group(1)) for x in staged.inputFiles()]
+        assert len(buckets) == len(set(buckets)) > 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    join = next(i for i, x in enumerate(plan) if "SortMergeJoin" in x)
+    assert not any("Exchange" in x for x in plan[:join])
+    maps = next(i for i, x in enumerate(plan) if i > join and "Generate" in x)  # the learners' side comes first
+    first = next(i for i, x in enumerate(plan) if i > join and "Exchange" in x)
+    assert maps < first and "REPARTITION_BY_NUM" in plan[first], plan[join:first + 1]
+    published, write = [], attendance.write_staging
+    monkeypatch.setattr(attendance, "write_staging", lambda *a, **k: published.append((a[3], k)) or write(*a, **k))
+    attendance.publish(attendance_tables(spark), CTX, str(tmp_path / "p"), str(tmp_path / "g"), staging_table=f"{name}_p")
+    spark.sql(f"DROP TABLE IF EXISTS {name}_p")
+    assert published == [(int(spark.conf.get("spark.sql.shuffle.partitions")), {"laid_out": True})]
